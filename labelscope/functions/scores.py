@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from labelscope.functions.bind import bind
+
 # First letter of a run key and the generation it stands for.
 GENERATION = {
     "A": "Gen 1 · Klassisch (TF-IDF)",
@@ -20,8 +22,10 @@ def array_sum(values: Column) -> Column:
 
 def softmax(logits: Column) -> Column:
     """Softmax, shifted by the row maximum."""
-    powers = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    return F.transform(powers, lambda x: x / array_sum(powers))
+    powers = bind(
+        logits, lambda z: bind(F.array_max(z), lambda top: F.transform(z, lambda x: F.exp(x - top)))
+    )
+    return bind(powers, lambda p: bind(array_sum(p), lambda total: F.transform(p, lambda x: x / total)))
 
 
 def vector_norm(vector: Column) -> Column:
@@ -30,9 +34,10 @@ def vector_norm(vector: Column) -> Column:
 
 def l2_normalise(vector: Column) -> Column:
     """Vector of unit length; a zero vector stays as it is."""
-    norm = vector_norm(vector)
-    return F.transform(
-        vector, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(x.cast("double"))
+    divisor = lambda norm: F.when(norm > 0, norm).otherwise(1.0)
+    return bind(
+        vector.cast("array<double>"),
+        lambda v: bind(divisor(vector_norm(v)), lambda n: F.transform(v, lambda x: x / n)),
     )
 
 
@@ -42,7 +47,8 @@ def confidence(scores: Column) -> Column:
 
 def argmax_label(scores: Column, classes: Column) -> Column:
     """Class with the highest score; the first one wins a tie."""
-    return F.element_at(classes, F.array_position(scores, F.array_max(scores)).cast("int"))
+    place = bind(scores, lambda s: F.array_position(s, F.array_max(s)))
+    return F.get(classes, place.cast("int") - 1)
 
 
 def true_class_rank(scores: Column, classes: Column, y_true: Column) -> Column:
@@ -50,11 +56,16 @@ def true_class_rank(scores: Column, classes: Column, y_true: Column) -> Column:
 
     Equal scores keep the order of ``classes``.
     """
-    place = F.array_position(classes, y_true)
-    own = F.try_element_at(scores, F.nullif(place, F.lit(0)).cast("int"))
-    better = F.size(F.filter(scores, lambda s: s > own))
-    tied_before = F.size(F.filter(F.slice(scores, 1, place.cast("int") - 1), lambda s: s == own))
-    return F.when(place > 0, (better + tied_before + 1).cast("bigint"))
+    place = F.array_position(classes, y_true).cast("int")
+
+    def rank(s: Column) -> Column:
+        return bind(
+            F.get(s, place - 1),
+            lambda own: F.size(F.filter(s, lambda x: x > own))
+            + F.size(F.filter(F.slice(s, 1, place - 1), lambda x: x == own)) + 1,
+        )
+
+    return F.when(place > 0, bind(scores, rank).cast("bigint"))
 
 
 def generation(model_key: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from labelscope.functions.bind import bind
+
 # The characters a Unicode-aware strip or whitespace split removes.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
@@ -44,21 +46,23 @@ def tokenise_terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def char_grams(text: Column, n: int) -> Column:
-    """Character n-grams of the lower-cased text, whitespace runs taken as one blank."""
-    clean = F.regexp_replace(F.lower(text), f"[{WHITESPACE}]+", " ")
-    starts = F.sequence(F.lit(1), F.length(clean) - (n - 1))
-    grams = F.transform(starts, lambda i: F.substr(clean, i, F.lit(n)))
-    return F.when(F.length(clean) >= n, grams).otherwise(F.array().cast("array<string>"))
+def characters(text: Column) -> Column:
+    """Characters of the lower-cased text; two or more whitespace characters count as one blank."""
+    clean = F.regexp_replace(F.lower(text), f"[{WHITESPACE}]{{2,}}", " ")
+    return F.regexp_extract_all(clean, F.lit("(?s)."), F.lit(0))
+
+
+def grams(units: Column, low: int, high: int, glue: str) -> Column:
+    """All n-grams of ``units`` for n = low..high, joined by ``glue``."""
+    return bind(units, lambda u: F.concat(*[_grams(u, n, glue) for n in range(low, high + 1)]))
 
 
-def word_grams(tokens: Column, n: int) -> Column:
-    """Word n-grams joined by one blank."""
+def _grams(units: Column, n: int, glue: str) -> Column:
     if n == 1:
-        return tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+        return units
+    starts = F.sequence(F.lit(1), F.size(units) - (n - 1))
+    joined = F.transform(starts, lambda i: F.array_join(F.slice(units, i, n), glue))
+    return F.when(F.size(units) >= n, joined).otherwise(F.array().cast("array<string>"))
 
 
 def drop_stopwords(tokens: Column, stop_words: list[str]) -> Column:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -48,7 +48,10 @@ class TfidfModel:
         broadcast threshold joins in place; a larger one shuffles on the term, where the
         skew join splits frequent terms.
         """
-        counts = term_counts(corpus, self.options, keep)
+        return self.weigh(term_counts(corpus, self.options, keep), keep)
+
+    def weigh(self, counts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+        """``transform`` for term counts that are already there."""
         tf = F.col("tf").cast("double")
         if self.options.sublinear_tf:
             tf = 1 + F.log(tf)
@@ -61,14 +64,11 @@ class TfidfModel:
         return weighted.withColumn("weight", F.col("weight") / norm)
 
 
-def terms(options: TfidfOptions):
+def terms(options: TfidfOptions) -> Column:
     low, high = options.ngram_range
     if options.analyzer == "char":
-        parts = [tx.char_grams(F.col("text"), n) for n in range(low, high + 1)]
-    else:
-        tokens = tx.tokenise_terms(F.col("text"))
-        parts = [tx.word_grams(tokens, n) for n in range(low, high + 1)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+        return tx.grams(tx.characters(F.col("text")), low, high, "")
+    return tx.grams(tx.tokenise_terms(F.col("text")), low, high, " ")
 
 
 def term_counts(
@@ -90,16 +90,19 @@ def fit_tfidf(corpus: DataFrame, **options) -> TfidfModel:
     One shuffle of (term, partial count); a text counts a term once, decided inside the row.
     """
     chosen = TfidfOptions(**options)
-    n_docs = corpus.count()
+    seen = corpus.select(F.explode(F.array_distinct(terms(chosen))).alias("term"))
+    return fit_on_terms(seen, corpus.count(), chosen)
+
+
+def fit_on_terms(seen: DataFrame, n_docs: int, options: TfidfOptions) -> TfidfModel:
+    """Model from one row per (text, distinct term), such as stored term counts."""
     df = (
-        corpus.select(F.explode(F.array_distinct(terms(chosen))).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
-        .where((F.col("df") >= chosen.min_df) & (F.col("df") <= F.lit(chosen.max_df * n_docs)))
+        seen.groupBy("term").agg(F.count("*").alias("df"))
+        .where((F.col("df") >= options.min_df) & (F.col("df") <= F.lit(options.max_df * n_docs)))
     )
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1
-    table = stored(df.withColumn("idf", idf if chosen.use_idf else F.lit(1.0)), "vocabulary")
-    return TfidfModel(chosen, table, n_docs, table.count())
+    table = stored(df.withColumn("idf", idf if options.use_idf else F.lit(1.0)), "vocabulary")
+    return TfidfModel(options, table, n_docs, table.count())
 
 
 def sparse_features(

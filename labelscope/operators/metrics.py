@@ -160,7 +160,8 @@ def cohens_kappa(pairs: DataFrame) -> DataFrame:
 
 
 def latency_summary(
-    log: DataFrame, order: list[str], warmup: int = 5, measured: int = 30, params: str | None = None
+    log: DataFrame, order: list[str], warmup: int = 5, measured: int = 30, params: str | None = None,
+    digits: int = 2,
 ) -> DataFrame:
     """Median latency per family over up to ``measured`` calls after ``warmup`` ones.
 
@@ -173,5 +174,5 @@ def latency_summary(
         F.max(params).alias("params_mio"), F.round(F.max(params) * 4, 0).alias("size_mb")]
     return used.groupBy("family").agg(
         F.count("*").alias("n_measured"),
-        F.round(F.percentile("latency_ms", F.lit(0.5)), 2).alias("latency_ms"), *extra,
+        F.round(F.percentile("latency_ms", F.lit(0.5)), digits).alias("latency_ms"), *extra,
     )

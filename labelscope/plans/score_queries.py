@@ -68,9 +68,9 @@ def _(spark, d):
     return mt.confusion_matrix(i.predictions(spark, d), normalise=True)
 
 
-@query("top_confusions", f"""WITH {P} SELECT * FROM (SELECT model_key, y_true, y_pred, count(*) AS n,
-  row_number() OVER (PARTITION BY model_key ORDER BY count(*) DESC, y_true, y_pred) AS place
-  FROM predictions WHERE y_true <> y_pred GROUP BY ALL) WHERE place <= 15""")
+@query("top_confusions", f"""WITH {P} SELECT * FROM (SELECT *,
+  row_number() OVER (PARTITION BY model_key ORDER BY n DESC, y_true, y_pred) AS place FROM (SELECT model_key, y_true, y_pred,
+  count(*) AS n FROM predictions WHERE y_true <> y_pred GROUP BY ALL)) WHERE place <= 15""")
 def _(spark, d):
     return mt.top_confusions(i.predictions(spark, d), 15)
 
@@ -304,7 +304,7 @@ def measurements(spark, d):
     keys = F.lit([k for k, _ in i.RUNS[:4]] + ["X_unknown"])
     log = i.table(spark, d, "events").select(
         F.element_at(keys, place.cast("int")).alias("family"), F.col("value").alias("latency_ms"), "ts", "event_id", "user_id")
-    timed = mt.latency_summary(log, ["ts", "event_id"])
+    timed = mt.latency_summary(log, ["ts", "event_id"], digits=4)
     users = log.groupBy("family").agg(F.countDistinct("user_id").alias("users"), F.count("*").alias("n"))
     params = F.when(F.col("family") != "B_plain_knn", F.col("n") / 100)
     return timed.join(users, "family").select(
@@ -314,7 +314,7 @@ def measurements(spark, d):
 
 KEYS = "[" + ", ".join(f"'{k}'" for k in [k for k, _ in i.RUNS[:4]] + ["X_unknown"]) + "]"
 LOG = f"""log AS (SELECT {KEYS}[list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type)] AS family, value AS latency_ms, ts, event_id, user_id FROM events),
-  timed AS (SELECT family, count(*) AS n_measured, round(quantile_cont(latency_ms, 0.5), 2) AS latency_ms FROM (SELECT *,
+  timed AS (SELECT family, count(*) AS n_measured, round(quantile_cont(latency_ms, 0.5), 4) AS latency_ms FROM (SELECT *,
     row_number() OVER (PARTITION BY family ORDER BY ts, event_id) AS p FROM log) WHERE p BETWEEN 6 AND 35 GROUP BY family)"""
 OPS = f"""{R}, {LOG}, meas AS (SELECT t.family AS result_key, concat('family ', t.family) AS family,
     CASE WHEN t.family <> 'B_plain_knn' THEN u.n / 100 END AS params_mio, latency_ms, u.users * 4.0::DOUBLE AS size_mb
@@ -328,7 +328,7 @@ def _(spark, d):
     place = F.array_position(F.lit(i.EVENT_TYPES), F.col("event_type"))
     keys = F.lit([k for k, _ in i.RUNS[:4]] + ["X_unknown"])
     log = rows.select(F.element_at(keys, place.cast("int")).alias("family"), F.col("value").alias("latency_ms"), "ts", "event_id")
-    return mt.latency_summary(log, ["ts", "event_id"])
+    return mt.latency_summary(log, ["ts", "event_id"], digits=4)
 
 
 @query("ops_with_accuracy", f"WITH {OPS} SELECT * FROM ops")
@@ -423,13 +423,13 @@ def stub_completer(messages: pd.Series) -> pd.Series:
     """Deterministic stand-in for a language model: answers from the text's length."""
     def one(turns: str):
         n = len(json.loads(turns)[-1]["content"])
-        return [f"The label is {LABELS[n % 4]}.", LABELS[n % 4].upper(), "no idea", None][n % 7 % 4]
+        return [f"The label is {LABELS[n % 4]}.", LABELS[n % 4].upper(), "not sure", None][n % 7 % 4]
 
     return messages.map(one)
 
 
 STUB = """CASE length(text) % 7 % 4 WHEN 0 THEN concat('The label is ', ['de', 'en', 'es', 'fr'][length(text) % 4 + 1], '.')
-  WHEN 1 THEN upper(['de', 'en', 'es', 'fr'][length(text) % 4 + 1]) WHEN 2 THEN 'no idea' END"""
+  WHEN 1 THEN upper(['de', 'en', 'es', 'fr'][length(text) % 4 + 1]) WHEN 2 THEN 'not sure' END"""
 
 
 @query("cached_completion", f"SELECT doc_id AS row_id, {key_sql('text')} AS cache_key, {STUB} AS raw FROM documents")
@@ -442,12 +442,11 @@ def _(spark, d):
 
 
 @query("classify", f"""WITH a AS (SELECT doc_id AS row_id, {STUB} AS raw FROM documents)
-  SELECT row_id, raw, CASE WHEN raw IS NULL OR raw = 'no idea' THEN 'unknown' WHEN length(raw) = 2 THEN lower(raw)
+  SELECT row_id, raw, CASE WHEN raw IS NULL OR raw = 'not sure' THEN 'unknown' WHEN length(raw) = 2 THEN lower(raw)
     ELSE substr(raw, 14, 2) END AS y_pred FROM a""")
 def _(spark, d):
     made = lb.classify(i.corpus(spark, d), LABELS, lb.zero_shot(TASK, LABELS), stub_completer,
                        new_path(spark, "answers"), "stub-1", max_tokens=30)
-    # "The label is de." also holds no longer label, so the named one is found
     return made.select("row_id", "raw", "y_pred")
 
 
