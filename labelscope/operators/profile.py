@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelscope.functions import text as tx
+from labelscope.runtime import stored
 
 
 def class_distribution(corpus: DataFrame) -> DataFrame:
@@ -191,19 +192,32 @@ def exact_duplicates(corpus: DataFrame) -> DataFrame:
 
 
 def split_leakage(corpus: DataFrame) -> DataFrame:
-    """Normalised texts found in train and in test, one row each."""
-    return (
-        corpus.groupBy(tx.normalise_text(F.col("text")).alias("text"))
+    """Normalised texts found in train and in test, one row each.
+
+    Digests are grouped first, so texts are only read again, and shuffled, for the keys
+    that leak.
+    """
+    key = F.md5(tx.normalise_text(F.col("text")))
+    leaking = stored(
+        corpus.groupBy(key.alias("_key"))
         .agg(
             F.count_if(F.col("split") == "train").alias("n_train"),
             F.count_if(F.col("split") == "test").alias("n_test"),
         )
-        .where("n_train > 0 and n_test > 0")
+        .where("n_train > 0 and n_test > 0"),
+        "leaking-keys",
+    )
+    texts = (
+        corpus.select(key.alias("_key"), tx.normalise_text(F.col("text")).alias("text"))
+        .join(leaking.select("_key"), "_key", "left_semi")
+        .groupBy("_key").agg(F.min("text").alias("text"))
     )
+    return texts.join(leaking, "_key").select("text", "n_train", "n_test")
 
 
 def leakage_summary(leaks: DataFrame, examples: int = 5) -> DataFrame:
     """Number of leaking texts beside the first few of them, cut to 80 characters."""
+    leaks = stored(leaks, "leaks")
     return leaks.orderBy("text").limit(examples).select(
         F.substring("text", 1, 80).alias("example"),
         leaks.agg(F.count("*")).scalar().alias("n_leaking"),

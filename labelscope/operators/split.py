@@ -87,10 +87,11 @@ def stratified_subsample(corpus: DataFrame, per_class: int, seed: int = 42) -> D
 def exclude_holdout(corpus: DataFrame, holdout: DataFrame) -> DataFrame:
     """Rows whose (text, label) value does not occur in the holdout; copies go as well.
 
-    Texts are compared by digest, so the shuffle key stays short.
+    Texts are compared by digest. The holdout's digests are stored: as long as they fit the
+    broadcast threshold, the corpus is filtered in place.
     """
     key = F.sha2(F.to_json(F.struct("text", "label")), 256)
-    held = holdout.select(key.alias("_key")).distinct()
+    held = stored(holdout.select(key.alias("_key")).distinct(), "holdout-keys")
     return corpus.withColumn("_key", key).join(held, "_key", "left_anti").drop("_key")
 
 

@@ -296,8 +296,8 @@ def curve_sql(size: int) -> str:
       ORDER BY substr(md5(concat(row_id, ':42')), 1, 8), row_id) AS p FROM parts WHERE part = 'train') WHERE p <= {size}"""
     return f"""(WITH used AS ({used}), rows AS (SELECT row_id, label, text, true AS fit FROM used UNION ALL
       SELECT row_id, label, text, false FROM parts WHERE part = 'val' UNION ALL SELECT -1 - row_id, label, text, false FROM used), {bayes_sql()},
-    both AS (SELECT CASE WHEN row_id < 0 THEN 'train' ELSE 'val' END AS model_key, row_id, y_true, y_pred FROM predictions),
-    {i.METRICS_SQL.replace('FROM predictions', 'FROM both')}
+    sides AS (SELECT CASE WHEN row_id < 0 THEN 'train' ELSE 'val' END AS model_key, row_id, y_true, y_pred FROM predictions),
+    {i.METRICS_SQL.replace('FROM predictions', 'FROM sides')}
     SELECT CAST({size} AS BIGINT) AS per_class, (SELECT round(macro_f1, 6) FROM metrics WHERE model_key = 'train') AS train_f1,
       (SELECT round(macro_f1, 6) FROM metrics WHERE model_key = 'val') AS val_f1)"""
 
