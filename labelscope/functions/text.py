@@ -58,6 +58,8 @@ def characters(text: Column) -> Column:
 
 def grams(units: Column, low: int, high: int, glue: str) -> Column:
     """All n-grams of ``units`` for n = low..high, joined by ``glue``."""
+    if low == high == 1:
+        return units
     return bind(units, lambda u: F.concat(*[_grams(u, n, glue) for n in range(low, high + 1)]))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelscope.functions.answers import UNKNOWN
+from labelscope.runtime import stored
 
 
 def pair_counts(predictions: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def confusion_matrix(predictions: DataFrame, normalise: bool = False) -> DataFra
     ``share`` is the count over the row sum, at least 1. The zero cells come from the
     model's own label list, which is as long as its number of classes.
     """
-    pairs = pair_counts(predictions)
+    pairs = stored(pair_counts(predictions), "pairs")
     names = pairs.select("model_key", F.explode(F.array("y_true", "y_pred")).alias("label"))
     lists = names.groupBy("model_key").agg(F.collect_set("label").alias("labels"))
     zeros = (
@@ -125,8 +126,12 @@ def unknown_rate(predictions: DataFrame) -> DataFrame:
 
 def prompt_variant_report(predictions: DataFrame) -> DataFrame:
     """Accuracy, macro-F1 and unknown answers per prompt variant (the model_key)."""
-    return run_metrics(predictions).select("model_key", "n", "accuracy", "macro_f1").join(
-        unknown_rate(predictions).select("model_key", "n_unknown"), "model_key"
+    unknown = F.when(F.col("label") == UNKNOWN, F.col("predicted")).otherwise(0)
+    return label_stats(predictions).groupBy("model_key").agg(
+        F.sum("support").alias("n"),
+        F.round(F.sum("tp") / F.sum("support"), 6).alias("accuracy"),
+        F.round(F.avg("f1"), 6).alias("macro_f1"),
+        F.sum(unknown).alias("n_unknown"),
     )
 
 

@@ -24,6 +24,7 @@ def class_distribution(corpus: DataFrame) -> DataFrame:
 
 def class_size_extremes(distribution: DataFrame, n: int = 5) -> DataFrame:
     """The n largest and n smallest classes by train size."""
+    distribution = stored(distribution, "class-sizes")  # one row per class, read twice
     largest = distribution.orderBy(F.desc("train"), "label").limit(n)
     smallest = distribution.orderBy("train", "label").limit(n)
     side = lambda df, name: df.select(F.lit(name).alias("side"), "label", "train", "test")
@@ -68,8 +69,9 @@ def length_summary(lengths: DataFrame) -> DataFrame:
 
 def median_length_by_class(lengths: DataFrame, n: int = 5) -> DataFrame:
     """The n classes with the shortest and the longest median word count."""
-    medians = lengths.groupBy("label").agg(
-        F.percentile("n_words", F.lit(0.5)).alias("median_words")
+    medians = stored(
+        lengths.groupBy("label").agg(F.percentile("n_words", F.lit(0.5)).alias("median_words")),
+        "median-words",
     )
     shortest = medians.orderBy("median_words", "label").limit(n)
     longest = medians.orderBy(F.desc("median_words"), "label").limit(n)
@@ -107,13 +109,16 @@ def word_counts(corpus: DataFrame, stop_words: Sequence[str] | None = None) -> D
 
 
 def vocabulary_top(counts: DataFrame, top: int = 15) -> DataFrame:
-    """The most frequent words with the size of the whole vocabulary beside them."""
-    totals = counts.agg(F.sum("n").alias("total_tokens"), F.count("*").alias("distinct_tokens"))
-    best = counts.orderBy(F.desc("n"), "word").limit(top)
-    return best.select(
-        "word", "n",
-        totals.select("total_tokens").scalar().alias("total_tokens"),
-        totals.select("distinct_tokens").scalar().alias("distinct_tokens"),
+    """The most frequent words with the size of the whole vocabulary beside them.
+
+    The counts are stored, so the texts are cut into words once.
+    """
+    counts = stored(counts, "word-counts")
+    totals = counts.agg(F.struct(F.sum("n").alias("tokens"), F.count("*").alias("words"))).scalar()
+    return (
+        counts.orderBy(F.desc("n"), "word").limit(top)
+        .withColumn("_t", totals)
+        .select("word", "n", F.col("_t.tokens").alias("total_tokens"), F.col("_t.words").alias("distinct_tokens"))
     )
 
 
@@ -145,7 +150,7 @@ def class_vocab_overlap(
     sharing pairs. In list order (both labels descending) the first of them lie among the
     last few labels, so only these are paired up.
     """
-    best = top_words_by_class(corpus, k, stop_words).select("label", "word")
+    best = stored(top_words_by_class(corpus, k, stop_words).select("label", "word"), "top-words")
     sizes = best.groupBy("label").agg(F.count("*").alias("n"))
     a = best.select(F.col("label").alias("label_a"), "word")
     b = best.select(F.col("label").alias("label_b"), "word")
@@ -275,7 +280,9 @@ def context_window_check(
 
     Lengths are counted first, so the percentiles work on one row per distinct length.
     """
-    counts = lengths.groupBy(F.col(length_col).alias("n")).agg(F.count("*").alias("freq"))
+    counts = stored(
+        lengths.groupBy(F.col(length_col).alias("n")).agg(F.count("*").alias("freq")), "lengths"
+    )
     share = lambda above: F.round(
         F.sum(F.when(F.col("n") > above, F.col("freq")).otherwise(0)) / F.sum("freq") * 100, 6
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelscope.functions.text import hash_number
+from labelscope.runtime import stored
 
 
 def hits_per_model(predictions: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def bootstrap_ci(predictions: DataFrame, n_boot: int = 2000, seed: int = 0) -> D
     number (hash-based, by inverting its distribution) instead of n rows. The predictions
     are read once; the rest works on n_boot + O(sqrt(n)) rows per model.
     """
-    counts = hits_per_model(predictions)
+    counts = stored(hits_per_model(predictions), "hits")  # one row per model, read three times
     ladder = resample_distribution(counts).select(
         "model_key", F.col("cdf").alias("at"), "hits_k", F.lit(0).alias("is_draw")
     )

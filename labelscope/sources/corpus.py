@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelscope.runtime import stored
+
 
 def load_corpus(
     spark: SparkSession, path: str, id_col: str, text_col: str, label_col: str
@@ -41,17 +43,26 @@ def union_sources(
 
 
 def profile_corpus(corpus: DataFrame, split_col: str = "split") -> DataFrame:
-    """Per split and over all splits: rows, labels, median / max / min text length."""
-    length = F.length("text")
+    """Per split and over all splits: rows, labels, median / max / min text length.
+
+    One pass over the texts counts rows per (split, label, length); both levels come from
+    these counts.
+    """
+    counts = stored(
+        corpus.groupBy(F.col(split_col).alias("split"), "label", F.length("text").alias("n_chars"))
+        .agg(F.count("*").alias("freq")),
+        "length-counts",
+    )
     measures = [
-        F.count("*").alias("n_rows"),
+        F.sum("freq").alias("n_rows"),
         F.countDistinct("label").alias("n_labels"),
-        F.floor(F.percentile(length, F.lit(0.5))).cast("bigint").alias("median_chars"),
-        F.max(length).cast("bigint").alias("max_chars"),
-        F.min(length).cast("bigint").alias("min_chars"),
+        F.floor(F.percentile("n_chars", F.lit(0.5), F.col("freq"))).cast("bigint").alias("median_chars"),
+        F.max("n_chars").cast("bigint").alias("max_chars"),
+        F.min("n_chars").cast("bigint").alias("min_chars"),
     ]
-    per_split = corpus.groupBy(F.col(split_col).alias("split")).agg(*measures)
-    return per_split.unionByName(corpus.agg(F.lit("all").alias("split"), *measures))
+    return counts.groupBy("split").agg(*measures).unionByName(
+        counts.agg(F.lit("all").alias("split"), *measures)
+    )
 
 
 def head_rows(corpus: DataFrame, n: int = 4, width: int = 90) -> DataFrame:

@@ -12,7 +12,7 @@ from labelscope.operators import heads as hd
 from labelscope.operators import metrics as mt
 from labelscope.operators import neighbours as nn
 from labelscope.operators import tuning as tn
-from labelscope.runtime import new_path
+from labelscope.runtime import new_path, stored
 
 DOCS = [
     (0, "the card has not arrived yet", "arrival"), (1, "when will my card arrive", "arrival"),
@@ -170,7 +170,7 @@ def blobs(spark, n=240):
 
 def test_heads_beat_the_majority(spark):
     df = blobs(spark)
-    features = ft.dense_features(df, "v", ("vec_id", "label"))
+    features = stored(ft.dense_features(df, "v", ("vec_id", "label")).coalesce(1), "blobs")
     heads = [hd.logistic_head(features, C=10, class_weight="balanced"), hd.svc_head(features),
              hd.sgd_head(features, loss="log_loss"), hd.forest_head(features)]
     for head in heads:
