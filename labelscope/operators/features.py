@@ -185,12 +185,13 @@ def embed_corpus_cached(
     encoder_name: str,
     prefix: str = "",
     batch: int = 64,
+    rows_per_commit: int = 10_000_000,
 ) -> DataFrame:
     """(row_id, v): unit vectors of ``prefix + text``, each distinct text encoded once.
 
     The cache is a table (encoder, key, v) keyed by the text's digest; a call encodes only
-    keys that are not in it and appends them. Rows that share a text share its vector, and
-    a retried task cannot duplicate cache rows because a call appends in one commit.
+    keys that are not in it and appends them, ``rows_per_commit`` at a time. Rows that share
+    a text share its vector.
     """
     spark = corpus.sparkSession
     text = F.concat(F.lit(prefix), F.col("text"))
@@ -211,10 +212,30 @@ def embed_corpus_cached(
     missing = keyed.join(known.select("key"), "key", "left_anti").groupBy("key").agg(
         F.first("text").alias("text")
     )
-    fresh = missing.mapInPandas(encode, "key string, v array<double>")
-    fresh.select(F.lit(encoder_name).alias("encoder"), "key", "v").write.mode("append").parquet(cache_path)
+    append_in_waves(
+        missing, "key", rows_per_commit, cache_path,
+        lambda rows: rows.mapInPandas(encode, "key string, v array<double>").select(
+            F.lit(encoder_name).alias("encoder"), "key", "v"
+        ),
+    )
     cache = spark.read.parquet(cache_path).where(F.col("encoder") == encoder_name)
-    return keyed.select("row_id", "key").join(cache.select("key", "v"), "key").select("row_id", "v")
+    once = cache.select("key", "v").dropDuplicates(["key"])  # two calls may have met
+    return keyed.select("row_id", "key").join(once, "key").select("row_id", "v")
+
+
+def append_in_waves(
+    missing: DataFrame, key: str, rows_per_commit: int, path: str, compute: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Append ``compute(missing)`` to the table at ``path`` in commits of about ``rows_per_commit``.
+
+    The missing rows are stored and dealt out by the hash of their key. A run that breaks
+    off loses the wave it was in; the next one starts from what was committed.
+    """
+    todo = stored(missing, "missing")
+    waves = max(1, -(-todo.count() // rows_per_commit))
+    for wave in range(waves):
+        rows = todo if waves == 1 else todo.where(F.pmod(F.xxhash64(key), F.lit(waves)) == wave)
+        compute(rows).write.mode("append").parquet(path)
 
 
 def read_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:

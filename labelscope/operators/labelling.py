@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from labelscope.functions import text as tx
 from labelscope.functions.answers import UNKNOWN, message, parse_label, prompt_cache_key
-from labelscope.operators.features import read_cache
+from labelscope.operators.features import append_in_waves, read_cache
 from labelscope.operators.profile import top_words_by_class
 
 MakeMessages = Callable[[Column], Column]
@@ -50,14 +50,15 @@ def cached_completion(
     model: str,
     temperature: float = 0.0,
     max_tokens: int = 40,
+    rows_per_commit: int = 1_000_000,
 ) -> DataFrame:
     """(row_id, cache_key, raw): answers from the cache, computed only for unseen keys.
 
     ``completer`` maps a batch of message lists (JSON text) to raw answers; null means no
     answer. It runs in parallel on the executors. The shuffle carries keys and texts only:
     messages, with their long shared part, are built again next to the completer. Keys are
-    made distinct by partial aggregation, so copies of one text cost one call. A call
-    appends its answers in one commit; an interrupted run is resumed by calling again.
+    made distinct by partial aggregation, so copies of one text cost one call. Answers are
+    committed ``rows_per_commit`` at a time; an interrupted run is resumed by calling again.
     """
     key = prompt_cache_key(make_messages(F.col("text")), model, temperature, max_tokens)
     keyed = corpus.select("row_id", "text", key.alias("cache_key"))
@@ -65,7 +66,6 @@ def cached_completion(
     unseen = (
         keyed.join(cache.select("cache_key"), "cache_key", "left_anti")
         .groupBy("cache_key").agg(F.first("text").alias("text"))
-        .select("cache_key", F.to_json(make_messages(F.col("text"))).alias("messages"))
     )
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,8 +73,13 @@ def cached_completion(
             raw = completer(frame["messages"])
             yield pd.DataFrame({"cache_key": frame["cache_key"].to_numpy(), "raw": list(raw)})
 
-    unseen.mapInPandas(answer, "cache_key string, raw string").write.mode("append").parquet(cache_path)
-    answers = corpus.sparkSession.read.parquet(cache_path)
+    append_in_waves(
+        unseen, "cache_key", rows_per_commit, cache_path,
+        lambda rows: rows.select(
+            "cache_key", F.to_json(make_messages(F.col("text"))).alias("messages")
+        ).mapInPandas(answer, "cache_key string, raw string"),
+    )
+    answers = corpus.sparkSession.read.parquet(cache_path).dropDuplicates(["cache_key"])
     return keyed.select("row_id", "cache_key").join(answers, "cache_key").select(
         "row_id", "cache_key", "raw"
     )

@@ -17,10 +17,11 @@ def class_quotas(counts: DataFrame, fraction: float) -> DataFrame:
     everything = Window.partitionBy()
     n = F.sum("n").over(everything)
     target = F.ceil(F.round(n * F.lit(fraction), 6)).cast("bigint")
+    product = "cast(n as decimal(19, 0)) * cast(_target as decimal(19, 0))"  # too wide for bigint
     shares = counts.withColumn("_target", target).withColumn("_all", n).select(
         "label", "n", "_target",
-        F.expr("(n * _target) div _all").alias("_base"),
-        F.expr("(n * _target) % _all").alias("_rest"),
+        F.expr(f"({product}) div _all").alias("_base"),
+        F.expr(f"({product}) % _all").alias("_rest"),
     )
     by_rest = Window.partitionBy().orderBy(F.desc("_rest"), "label")
     missing = F.col("_target") - F.sum("_base").over(everything)

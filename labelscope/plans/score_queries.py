@@ -220,13 +220,17 @@ def _(spark, d):
 # ---- registries and logs
 
 
+def details(rows, salt=""):
+    """Model name and extra fields per run."""
+    return rows.select("model_key").distinct().select(
+        "model_key", F.concat(F.lit("model "), F.substring("model_key", 3, 20)).alias("model"),
+        F.create_map(F.lit("note"), F.concat(F.lit("seed"), F.lit(salt))).alias("extra"))
+
+
 def registry(spark, d, salt=""):
     """Measured runs with model name and extras; one run has no macro-F1."""
     rows = i.predictions(spark, d, salt)
-    details = rows.select("model_key").distinct().select(
-        "model_key", F.concat(F.lit("model "), F.substring("model_key", 3, 20)).alias("model"),
-        F.create_map(F.lit("note"), F.concat(F.lit("seed"), F.lit(salt))).alias("extra"))
-    runs = mt.evaluate_runs(rows, details)
+    runs = mt.evaluate_runs(rows, details(rows, salt))
     return runs.withColumn("macro_f1", F.when(F.col("model_key") != "D_prompt", F.col("macro_f1")))
 
 
@@ -241,9 +245,14 @@ R = f"{P}, {registry_sql()}"
 FLAT = ["model_key", "accuracy", "macro_f1", "weighted_f1", "model"]
 
 
-@query("evaluate_run", f"WITH {R} SELECT model_key, accuracy, macro_f1, weighted_f1, model, note FROM reg")
+@query("evaluate_run", f"""WITH {P}, {registry_sql()}
+  SELECT r.model_key, r.accuracy, round(m.macro_f1, 4) AS macro_f1, r.weighted_f1, model, note FROM reg r JOIN reg_metrics m USING (model_key)""")
 def _(spark, d):
-    return registry(spark, d).select(*FLAT, F.col("extra")["note"].alias("note"))
+    root, store = new_path(spark, "registry"), new_path(spark, "predictions")
+    rows = i.predictions(spark, d)
+    for part in (rows.where("model_key <> 'D_prompt'"), rows.where("model_key >= 'C'")):  # C is measured again
+        table = rn.evaluate_and_save(part, details(part), root, store)
+    return table.select(*FLAT, F.col("extra")["note"].alias("note"))
 
 
 @query("upsert_result", f"""WITH {P}, {i.predictions_sql('again', ':2')}, {registry_sql()}, {registry_sql('fresh', 'again', ':2')},

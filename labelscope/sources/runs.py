@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelscope.functions.answers import message
 from labelscope.functions.scores import generation
+from labelscope.operators.metrics import evaluate_runs
 
 
 def upsert_results(registry: DataFrame, new: DataFrame) -> DataFrame:
@@ -42,6 +44,36 @@ def load_predictions(
     return table if model_keys is None else table.where(F.col("model_key").isin(list(model_keys)))
 
 
+def read_registry(spark: SparkSession, root: str) -> tuple[int, DataFrame | None]:
+    """Newest version number of the registry below ``root`` and its rows (0, None if new)."""
+    try:
+        versions = spark.read.parquet(root)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return 0, None
+    newest = versions.agg(F.max("version")).first()[0]
+    return newest, versions.where(F.col("version") == newest).drop("version")
+
+
+def evaluate_and_save(
+    predictions: DataFrame, details: DataFrame, registry_root: str, predictions_path: str
+) -> DataFrame:
+    """Measure runs, store their predictions (with scores, if any), and upsert the registry.
+
+    The registry is written as a new ``version=N`` folder, so readers of an older version
+    are not disturbed. Returns the new version.
+    """
+    spark = predictions.sparkSession
+    save_predictions(predictions, predictions_path)
+    keys = [r["model_key"] for r in details.select("model_key").collect()]  # one per run
+    fresh = evaluate_runs(load_predictions(spark, predictions_path, keys), details)
+    version, registry = read_registry(spark, registry_root)
+    merged = upsert_results(fresh.limit(0) if registry is None else registry, fresh)
+    merged.write.parquet(f"{registry_root}/version={version + 1}")
+    return read_registry(spark, registry_root)[1]
+
+
 def list_models(predictions: DataFrame, scores_col: str = "scores") -> DataFrame:
     """Every run with predictions, and whether it has scores."""
     return (

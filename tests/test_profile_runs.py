@@ -140,3 +140,26 @@ def test_keyword_classifier(spark):
 def test_misses(spark):
     df = spark.createDataFrame([(k, "r", "a", "b" if k % 2 else "a") for k in range(9)], "row_id bigint, raw string, y_pred string, gold string")
     assert [r["row_id"] for r in lb.misses(df, 3).collect()] == [1, 3, 5]
+
+
+def test_waves_commit_everything_once(spark):
+    path = new_path(spark, "waves")
+    df = frame(spark)
+    shout = lambda messages: messages.map(lambda m: json.loads(m)[-1]["content"].upper())
+    got = lb.cached_completion(df, lb.zero_shot("S", ["a"]), shout, path, "m", rows_per_commit=2)
+    assert {r["row_id"]: r["raw"] for r in got.collect()} == {r[0]: r[1].upper() for r in ROWS}
+    assert spark.read.parquet(path).count() == len({r[1] for r in ROWS})
+
+
+def test_evaluate_and_save_makes_versions(spark):
+    root, store = new_path(spark, "registry"), new_path(spark, "store")
+    schema = "model_key string, row_id bigint, y_true string, y_pred string, scores array<double>"
+    details = lambda key: spark.createDataFrame([(key, "name", {"n": "1"})], "model_key string, model string, extra map<string,string>")
+    save = lambda key, preds: rn.evaluate_and_save(
+        spark.createDataFrame([(key, k, "x", p, [0.5]) for k, p in enumerate(preds)], schema), details(key), root, store)
+    assert save("A", "xx").count() == 1
+    table = save("B", "xy")
+    assert [(r["model_key"], r["accuracy"]) for r in table.orderBy("model_key").collect()] == [("A", 1.0), ("B", 0.5)]
+    assert {r["model_key"]: r["accuracy"] for r in save("A", "yy").collect()} == {"A": 0.0, "B": 0.5}
+    assert rn.read_registry(spark, root)[0] == 3
+    assert rn.list_models(rn.load_predictions(spark, store)).count() == 2
