@@ -7,18 +7,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelscope.runtime import stored
+from labelscope.runtime import spread_small, stored
 
 
 def load_corpus(
     spark: SparkSession, path: str, id_col: str, text_col: str, label_col: str
 ) -> DataFrame:
-    """One Parquet split as (row_id, text, label); the scan reads these three columns."""
-    return spark.read.parquet(path).select(
+    """One Parquet split as (row_id, text, label); the scan reads these three columns.
+
+    A file too small to be split is spread over the cores.
+    """
+    rows = spark.read.parquet(path).select(
         F.col(id_col).cast("bigint").alias("row_id"),
         F.col(text_col).cast("string").alias("text"),
         F.col(label_col).cast("string").alias("label"),
     )
+    return spread_small(rows, "row_id")
 
 
 def union_sources(

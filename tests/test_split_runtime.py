@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from labelscope.operators import split as sp
-from labelscope.runtime import ranked, shared_folder, stored
+from labelscope.runtime import ranked, shared_folder, spread_small, stored
 
 
 def corpus(spark, sizes):
@@ -85,3 +85,9 @@ def test_stored_table_lies_in_the_shared_folder(spark):
     table = stored(spark.range(3).withColumn("v", F.array(F.lit(1.5))), "probe")
     assert table.count() == 3
     assert shared_folder(spark).split(":")[-1] in table.inputFiles()[0]
+
+
+def test_only_small_scans_are_spread(spark):
+    small, large = spark.range(10).coalesce(1), spark.range(0, 100, 1, 64)
+    assert spread_small(small, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread_small(large, "id") is large
