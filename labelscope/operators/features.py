@@ -209,9 +209,8 @@ def embed_corpus_cached(
                 unit = np.divide(matrix, norms, out=matrix.copy(), where=norms > 0)
                 yield pd.DataFrame({"key": part["key"].to_numpy(), "v": list(unit)})
 
-    missing = keyed.join(known.select("key"), "key", "left_anti").groupBy("key").agg(
-        F.first("text").alias("text")
-    )
+    distinct = keyed.groupBy("key").agg(F.first("text").alias("text"))
+    missing = distinct.join(known.select("key"), "key", "left_anti")
     append_in_waves(
         missing, "key", rows_per_commit, cache_path,
         lambda rows: rows.mapInPandas(encode, "key string, v array<double>").select(
@@ -219,8 +218,8 @@ def embed_corpus_cached(
         ),
     )
     cache = spark.read.parquet(cache_path).where(F.col("encoder") == encoder_name)
-    once = cache.select("key", "v").dropDuplicates(["key"])  # two calls may have met
-    return keyed.select("row_id", "key").join(once, "key").select("row_id", "v")
+    vectors = one_per_key(cache.select("key", "v"), "key")
+    return keyed.select("row_id", "key").join(vectors, "key").select("row_id", "v")
 
 
 def append_in_waves(
@@ -238,6 +237,16 @@ def append_in_waves(
         compute(rows).write.mode("append").parquet(path)
 
 
+def one_per_key(cache: DataFrame, key: str) -> DataFrame:
+    """The cache itself, or a stored copy without repeats if two writers have met.
+
+    Either way the join that follows reads a plain table, so the skew join can split a
+    text that very many rows share.
+    """
+    repeats = cache.groupBy(key).count().where("count > 1")
+    return cache if repeats.isEmpty() else stored(cache.dropDuplicates([key]), "cache")
+
+
 def read_cache(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Cache table at ``path``, empty if nothing was written yet."""
     try:

@@ -21,6 +21,7 @@ from labelscope.functions.scores import argmax_label
 from labelscope.operators.metrics import run_metrics
 from labelscope.operators.neighbours import knn_classify
 from labelscope.operators.split import balanced_weights
+from labelscope.runtime import stored
 
 
 class Head:
@@ -45,7 +46,7 @@ def _fit(features: DataFrame, estimator, score_type: str, class_weight: str | No
     indexer = StringIndexer(inputCol="label", outputCol="y", stringOrderType="alphabetAsc").fit(features)
     data = indexer.transform(features)
     if class_weight == "balanced":
-        weights = balanced_weights(features).select("label", F.col("weight").alias("w"))
+        weights = stored(balanced_weights(features).select("label", F.col("weight").alias("w")), "weights")
         data = data.join(weights, "label")
     else:
         data = data.withColumn("w", F.lit(1.0))

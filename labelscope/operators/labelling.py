@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from labelscope.functions import text as tx
 from labelscope.functions.answers import UNKNOWN, message, parse_label, prompt_cache_key
-from labelscope.operators.features import append_in_waves, read_cache
+from labelscope.operators.features import append_in_waves, one_per_key, read_cache
 from labelscope.operators.profile import top_words_by_class
 
 MakeMessages = Callable[[Column], Column]
@@ -57,16 +57,14 @@ def cached_completion(
     ``completer`` maps a batch of message lists (JSON text) to raw answers; null means no
     answer. It runs in parallel on the executors. The shuffle carries keys and texts only:
     messages, with their long shared part, are built again next to the completer. Keys are
-    made distinct by partial aggregation, so copies of one text cost one call. Answers are
+    made distinct first, by partial aggregation, so copies of one text cost one call. Answers are
     committed ``rows_per_commit`` at a time; an interrupted run is resumed by calling again.
     """
     key = prompt_cache_key(make_messages(F.col("text")), model, temperature, max_tokens)
     keyed = corpus.select("row_id", "text", key.alias("cache_key"))
     cache = read_cache(corpus.sparkSession, cache_path, "cache_key string, raw string")
-    unseen = (
-        keyed.join(cache.select("cache_key"), "cache_key", "left_anti")
-        .groupBy("cache_key").agg(F.first("text").alias("text"))
-    )
+    distinct = keyed.groupBy("cache_key").agg(F.first("text").alias("text"))
+    unseen = distinct.join(cache.select("cache_key"), "cache_key", "left_anti")
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -79,7 +77,7 @@ def cached_completion(
             "cache_key", F.to_json(make_messages(F.col("text"))).alias("messages")
         ).mapInPandas(answer, "cache_key string, raw string"),
     )
-    answers = corpus.sparkSession.read.parquet(cache_path).dropDuplicates(["cache_key"])
+    answers = one_per_key(corpus.sparkSession.read.parquet(cache_path), "cache_key")
     return keyed.select("row_id", "cache_key").join(answers, "cache_key").select(
         "row_id", "cache_key", "raw"
     )

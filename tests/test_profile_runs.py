@@ -163,3 +163,12 @@ def test_evaluate_and_save_makes_versions(spark):
     assert {r["model_key"]: r["accuracy"] for r in save("A", "yy").collect()} == {"A": 0.0, "B": 0.5}
     assert rn.read_registry(spark, root)[0] == 3
     assert rn.list_models(rn.load_predictions(spark, store)).count() == 2
+
+
+def test_repeated_cache_rows_do_not_repeat_answers(spark):
+    path = new_path(spark, "twice")
+    df = frame(spark)
+    stub = lambda messages: messages.map(lambda m: "a")
+    lb.cached_completion(df, lb.zero_shot("S", ["a"]), stub, path, "m")
+    spark.read.parquet(path).limit(3).write.mode("append").parquet(path)  # as a second writer would
+    assert lb.cached_completion(df, lb.zero_shot("S", ["a"]), stub, path, "m").count() == len(ROWS)
