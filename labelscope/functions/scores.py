@@ -16,6 +16,13 @@ GENERATION = {
 }
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Rounding of the binary value. Spark's ``round`` works on the shortest decimal text, so a
+    number just below a tie, such as 0.60325, would go up."""
+    scale = float(10**digits)
+    return F.floor(value * scale + 0.5) / scale
+
+
 def array_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 

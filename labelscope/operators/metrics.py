@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelscope.functions.answers import UNKNOWN
+from labelscope.functions.scores import rounded
 from labelscope.runtime import stored
 
 
@@ -41,9 +42,9 @@ def run_metrics(predictions: DataFrame, digits: int = 6) -> DataFrame:
     """Accuracy, macro-F1 over all true and predicted labels, weighted F1, per model."""
     return label_stats(predictions).groupBy("model_key").agg(
         F.sum("support").alias("n"),
-        F.round(F.sum("tp") / F.sum("support"), digits).alias("accuracy"),
-        F.round(F.avg("f1"), digits).alias("macro_f1"),
-        F.round(F.sum(F.col("f1") * F.col("support")) / F.sum("support"), digits).alias("weighted_f1"),
+        rounded(F.sum("tp") / F.sum("support"), digits).alias("accuracy"),
+        rounded(F.avg("f1"), digits).alias("macro_f1"),
+        rounded(F.sum(F.col("f1") * F.col("support")) / F.sum("support"), digits).alias("weighted_f1"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelscope.functions.answers import message
-from labelscope.functions.scores import generation
+from labelscope.functions.scores import generation, rounded
 from labelscope.operators.metrics import evaluate_runs
 
 
@@ -19,7 +19,7 @@ def upsert_results(registry: DataFrame, new: DataFrame) -> DataFrame:
     Columns: model_key, accuracy, macro_f1, weighted_f1, model, extra map<string,string>.
     The result is a new table; write it to a new version folder.
     """
-    fresh = new.withColumn("accuracy", F.round("accuracy", 4))
+    fresh = new.withColumn("accuracy", rounded(F.col("accuracy"), 4))
     kept = registry.join(fresh, "model_key", "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True).orderBy(
         F.desc("accuracy"), "model_key"
