@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def overlap_counts(flat: np.ndarray, at: np.ndarray, other: np.ndarray) -> np.nd
 
 
 def _sides(table: pa.Table, side: int):
-    part = table.filter(pa.compute.equal(table["side"], side))
+    part = table.filter(pc.equal(table["side"], side))
     sets = part["items"].combine_chunks()
     sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
     at = sets.offsets.to_numpy().astype(np.int64)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from labelscope.llm import minhash
+from labelscope.llm import hosts, minhash, mixing, pii, quality, quotes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,79 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op5_minhash")
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_pii")
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
+#: Words of a text in DuckDB; an absent text has none.
+N_WORDS = "len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))"
+
+OP4_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, source, {N_WORDS} AS size,
+         CAST(concat('0x', substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) AS place
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS BIGINT) AS weight
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT *, CAST(sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+         / CAST(sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM sources WINDOW w AS (ORDER BY 3 * source_size / weight, source NULLS LAST)),
+targets AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), max(level) OVER () * weight) AS target FROM levels),
+placed AS (
+  SELECT s.*, t.source_size, t.target, CAST(round(target) AS BIGINT) AS due,
+         CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS full_reads,
+         coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(full_reads * size + greatest(0, least(size, due - full_reads * source_size - ahead)) AS BIGINT) AS taken
+FROM placed"""
+
+
+@query("op4_mixing", OP4_SQL)
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.assign(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+URL_RULES = (
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
+)
+
+
+@query("op8_hosts")
+def op8_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    return hosts.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+OP9_SQL = """
+WITH parts AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) AS d, unnest(embedding) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+whole AS (SELECT vec_id, d, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS v FROM parts),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.v * c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5"""
+
+
+@query("op9_topk", OP9_SQL)
+def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+@query("op10_quotes")
+def op10_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.conversations(table(spark, folder, "conversations"))

@@ -87,4 +87,4 @@ def test_word_splitting():
     words = tokens.split_words(pa.array(texts, pa.large_string()), lower=False)
     cut = [w for t in texts for w in BLANK.split(t) if w]
     assert len(words.hash) == len(cut) == len(set(words.hash.tolist()))
-    assert words.row.tolist() == [0, 0, 0, 2, 2, 4]
+    assert words.row.tolist() == [0, 0, 0, 2, 2, 2, 4]
