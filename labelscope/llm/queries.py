@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelscope.llm import hosts, minhash, mixing, pii, quality, quotes, topk
+from labelscope.llm import backoff, hosts, lines, minhash, mixing, pii, quality, quotes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,21 @@ def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_quotes")
 def op10_quotes(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(table(spark, folder, "conversations"))
+
+
+@query("op7_backoff")
+def op7_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return backoff.score(table(spark, folder, "documents"))
+
+
+@query("op3_lines")
+def op3_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    per_text = lines.by_document(lines.line_verdicts(docs))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
+    same = rows["doc_id"].eqNullSafe(per_text["doc_id"]) & (rows["text_key"] == per_text["text_key"])
+    return rows.join(per_text, same, "left").select(
+        rows["doc_id"], F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.size(F.coalesce("removed", F.array().cast("array<int>"))).cast("long").alias("n_removed"),
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+    )
