@@ -127,7 +127,7 @@ def link_counts(table: pa.Table, percent: int) -> pa.Table:
         shared = overlap_counts(flat, at, mine)
         linked = (100 * shared >= percent * (sizes + len(mine) - shared)) & (nodes != node) & (sizes > 0)
         links.append(int(linked.sum()))
-        first.append(min(ranks[linked], key=lambda r: tuple(r.values()), default=None))
+        first.append(min(ranks[linked], default=None))
     return pa.table({
         "node": others["node"], "links": pa.array(links, pa.int64()),
         "first": pa.array(first, part["rank"].type),

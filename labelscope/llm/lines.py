@@ -38,6 +38,8 @@ GRID = 8
 #: Share of the corpus's words from which a word is dealt over the grid.
 HOT = 0.01
 LAST = 2**63 - 1
+#: Size of the filter that picks the lines of candidate components; a fuller one lets more through.
+FILTER_BITS = 1 << 26
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -95,50 +97,75 @@ def parity(line: np.ndarray, key: np.ndarray, lines: int) -> np.ndarray:
     return np.packbits(odd.reshape(lines, 128), axis=1).view(np.int64).reshape(lines, 2)
 
 
-LINE_SCHEMA = ("doc_id long, text_key long, line int, n int, set_a long, set_b long, sketch_a long, sketch_b long, prefix array<long>")
+def compared(part: pa.RecordBatch, rank: np.ndarray, min_words: int):
+    """Lines with ``min_words`` distinct words: offsets into ``key``, text, number, and 128 bits of the set."""
+    line, key, at, owner, number = line_words(part.column("text"), rank)
+    chosen = np.flatnonzero(np.diff(at) >= min_words)
+    set_a, set_b = tokens.summed(tokens.mixed(key), at), tokens.summed(tokens.mixed(~key), at)
+    return line, key, at, chosen, owner[chosen], number[chosen], set_a[chosen].view(np.int64), set_b[chosen].view(np.int64)
 
 
-def line_sets(docs: DataFrame, rank, percent: int, min_words: int) -> DataFrame:
+def line_table(docs: DataFrame, rank, min_words: int) -> DataFrame:
+    """doc_id, text_key, line, node, check: a row per compared line; (node, check) are the bits of its set."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tokens.text_slices(batch):
-                line, key, at, owner, number = line_words(part.column("text"), rank.value)
-                n = np.diff(at)
-                sketch = parity(line, key, len(n))
-                set_a, set_b = tokens.summed(tokens.mixed(key), at), tokens.summed(tokens.mixed(~key), at)
-                chosen = np.flatnonzero(n >= min_words)
-                size = n[chosen] - (-(-percent * n[chosen] // 100)) + 1
-                prefix = np.concatenate([[0], np.cumsum(size)])
-                flat = np.arange(prefix[-1]) - np.repeat(prefix[:-1] - at[chosen], size)
+                *_, owner, number, node, check = compared(part, rank.value, min_words)
+                owner = pa.array(owner)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id").take(pa.array(owner[chosen])), "text_key": part.column("text_key").take(pa.array(owner[chosen])),
-                    "line": pa.array(number[chosen].astype(np.int32)), "n": pa.array(n[chosen].astype(np.int32)),
-                    "set_a": pa.array(set_a[chosen].view(np.int64)), "set_b": pa.array(set_b[chosen].view(np.int64)),
-                    "sketch_a": pa.array(sketch[chosen, 0]), "sketch_b": pa.array(sketch[chosen, 1]),
-                    "prefix": tokens.lists(key[flat].view(np.int64), prefix),
+                    "doc_id": part.column("doc_id").take(owner), "text_key": part.column("text_key").take(owner),
+                    "line": pa.array(number.astype(np.int32)), "node": pa.array(node), "check": pa.array(check),
                 })
 
-    return docs.mapInArrow(task, LINE_SCHEMA)
+    return docs.mapInArrow(task, "doc_id long, text_key long, line int, node long, check long")
+
+
+FIELDS = ("cell", "place", "node", "sketch_a", "sketch_b")
+INDEXED, PROBING = 1, 2
+
 
+def postings(docs: DataFrame, rank, hot_rank: int, percent: int, min_words: int) -> DataFrame:
+    """A row per word of each line's prefix: the cell it is compared in, (words, place, role), set and sketch.
 
-def asked_sets(docs: DataFrame, rank) -> DataFrame:
-    """node, items of the lines in ``wanted`` (array<struct<line, node>>) of each text."""
+    Lines with equal sets are taken once per slice of texts.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tokens.text_slices(batch):
-                _, key, at, owner, number = line_words(part.column("text"), rank.value)
-                first = np.searchsorted(owner, np.arange(part.num_rows))
-                asked = [(int(first[k]) + w["line"], w["node"]) for k, wanted in enumerate(part.column("wanted").to_pylist()) for w in wanted]
+                line, key, at, chosen, _, _, node, _ = compared(part, rank.value, min_words)
+                node, first = np.unique(node, return_index=True)
+                chosen, n = chosen[first], np.diff(at)
+                sketch = parity(line, key, len(n))[chosen]
+                n = n[chosen]
+                size = n - (-(-percent * n // 100)) + 1
+                ends = np.concatenate([[0], np.cumsum(size)])
+                own = np.repeat(np.arange(len(chosen)), size)
+                place = np.arange(ends[-1]) - ends[own]
+                cell = key[at[chosen][own] + place]
+                role = np.where(place <= n[own] - needed(n, n, percent)[own], INDEXED | PROBING, PROBING)
+                hot = (cell >> np.uint64(48)) >= np.uint64(hot_rank)
+                if hot.any():
+                    own, place, cell, role = on_grid(own, place, cell, role, hot, node)
                 yield pa.RecordBatch.from_pydict({
-                    "node": pa.array([node for _, node in asked], pa.int64()),
-                    "items": pa.array([key[at[x]:at[x + 1]].view(np.int64) for x, _ in asked], pa.list_(pa.int64())),
+                    "cell": pa.array(cell.view(np.int64)), "place": pa.array(n[own] << 32 | place << 2 | role), "node": pa.array(node[own]),
+                    "sketch_a": pa.array(sketch[own, 0]), "sketch_b": pa.array(sketch[own, 1]),
                 })
 
-    return docs.select("text", "wanted").mapInArrow(task, "node long, items array<long>")
+    return docs.select("text").mapInArrow(task, ", ".join(f"{name} long" for name in FIELDS))
 
 
-FIELDS = ("token", "i", "j", "n", "place", "role", "node", "sketch_a", "sketch_b")
+def on_grid(own, place, cell, role, hot, node):
+    """Hot words dealt over GRID x GRID cells: an index row to a row of them, a probe row to a column."""
+    cold = ~hot
+    parts = [(own[cold], place[cold], cell[cold], role[cold])]
+    for kind in (INDEXED, PROBING):
+        rows = np.repeat(np.flatnonzero(hot & (role & kind > 0)), GRID)
+        mine, other = node[own[rows]] & (GRID - 1), np.arange(len(rows)) % GRID
+        square = (mine * GRID + other if kind == INDEXED else other * GRID + mine).astype(np.uint64)
+        parts.append((own[rows], place[rows], tokens.mixed(cell[rows] + tokens.mixed(square)), np.full(len(rows), kind)))
+    return (np.concatenate(x) for x in zip(*parts))
 
 
 def close_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -150,11 +177,16 @@ def close_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
     """
     held = {name: np.zeros(0, np.int64) for name in FIELDS}
     for batch in batches:
-        old = len(held["n"])
-        rows = {name: np.concatenate([held[name], batch.column(name).to_numpy().astype(np.int64)]) for name in FIELDS}
-        size, n, place, role = len(rows["n"]), rows["n"], rows["place"], rows["role"]
+        old = len(held["node"])
+        rows = {name: np.concatenate([held[name], batch.column(name).to_numpy()]) for name in FIELDS}
+        again = np.zeros(len(rows["node"]), bool)  # equal sets of different slices stand side by side
+        again[1:] = np.logical_and.reduce([rows[x][1:] == rows[x][:-1] for x in ("cell", "node", "place")])
+        old -= int(again[:old].sum())
+        rows = {name: values[~again] for name, values in rows.items()}
+        cell, packed, node = rows["cell"], rows["place"], rows["node"]
+        n, place, role, size = packed >> 32, (packed >> 2) & ((1 << 30) - 1), packed & 3, len(node)
         change = np.ones(size, bool)
-        change[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["i"][1:] != rows["i"][:-1]) | (rows["j"][1:] != rows["j"][:-1])
+        change[1:] = cell[1:] != cell[:-1]
         start = np.maximum.accumulate(np.where(change, np.arange(size), 0))
         top, found, d = np.arange(size), [], 1
         late = np.arange(old, size)
@@ -163,14 +195,14 @@ def close_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
             late = late[100 * n[late - d] >= percent * n[late]]
             early = late - d
             least = needed(n[early], n[late], percent)
-            ok = (1 + np.minimum(n[early] - place[early], n[late] - place[late]) - 1 >= least) & (role[early] & 1 > 0) & (role[late] & 2 > 0)
-            ok &= (top[early] != top[late]) & (rows["node"][early] != rows["node"][late])
+            ok = np.minimum(n[early] - place[early], n[late] - place[late]) >= least
+            ok &= (role[early] & INDEXED > 0) & (role[late] & PROBING > 0) & (top[early] != top[late]) & (node[early] != node[late])
             a, b = early[ok], late[ok]
             apart = sum(np.bitwise_count((rows[x][a] ^ rows[x][b]).view(np.uint64)).astype(np.int64) for x in ("sketch_a", "sketch_b"))
             close = apart <= n[a] + n[b] - 2 * least[ok]
             a, b = a[close], b[close]
             if len(a):
-                found.append((rows["node"][a], rows["node"][b]))
+                found.append((node[a], node[b]))
                 np.minimum.at(top, np.maximum(top[a], top[b]), np.minimum(top[a], top[b]))
                 while (top[top] != top).any():
                     top = top[top]
@@ -182,19 +214,34 @@ def close_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         held = {name: values[keep] for name, values in rows.items()}
 
 
-def candidate_edges(classes: DataFrame, percent: int, hot_rank: int) -> DataFrame:
-    """Posting rows (word of the prefix, line class) and what meets on a word and passes the filters."""
-    rows = classes.select("node", "n", "sketch_a", "sketch_b", F.posexplode("prefix").alias("place", "token"))
-    own = F.pmod(F.xxhash64("node"), F.lit(GRID)).cast("int")
-    indexed = F.col("place") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent))
-    rows = rows.withColumn("_hot", F.shiftrightunsigned("token", 48) >= hot_rank).withColumn("_indexed", indexed)
-    zero, all_cells = F.lit(0), F.explode(F.sequence(F.lit(0), F.lit(GRID - 1)))
-    plain = rows.where("not _hot").withColumns({"i": zero, "j": zero, "role": F.col("_indexed").cast("int") + 2})
-    index = rows.where("_hot and _indexed").withColumns({"i": own, "role": F.lit(1)}).withColumn("j", all_cells)
-    probe = rows.where("_hot").withColumns({"j": own, "role": F.lit(2)}).withColumn("i", all_cells)
-    postings = plain.select(*FIELDS).union(index.select(*FIELDS)).union(probe.select(*FIELDS))
-    dealt = postings.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
-    return dealt.mapInArrow(lambda batches: close_rows(batches, percent), "u long, v long")
+def filter_bits(groups: DataFrame) -> np.ndarray:
+    """One bit per hash class of the nodes in ``groups``, set if any is there: FILTER_BITS / 8 bytes."""
+    place = F.pmod(F.col("node"), F.lit(FILTER_BITS)) + 1
+    maps = groups.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    found = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in maps.toLocalIterator():
+        part = np.frombuffer(row["bits"], np.uint8)
+        found[(row["b"] - 1) * len(part):row["b"] * len(part)] = part
+    return found
+
+
+def asked_sets(docs: DataFrame, rank, min_words: int, bits) -> DataFrame:
+    """node, items of the lines whose bit is set, once per slice of texts."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tokens.text_slices(batch):
+                _, key, at, chosen, _, _, node, _ = compared(part, rank.value, min_words)
+                node, first = np.unique(node, return_index=True)
+                bit = node & (FILTER_BITS - 1)
+                asked = np.flatnonzero(bits.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+                rows = chosen[first][asked]
+                size = np.diff(at)[rows]
+                ends = np.concatenate([[0], np.cumsum(size)])
+                flat = np.arange(ends[-1]) - np.repeat(ends[:-1] - at[rows], size)
+                yield pa.RecordBatch.from_pydict({"node": pa.array(node[asked]), "items": tokens.lists(key[flat].view(np.int64), ends)})
+
+    return docs.select("text").mapInArrow(task, "node long, items array<long>")
 
 
 def line_verdicts(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -204,32 +251,22 @@ def line_verdicts(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     """
     texts = keyed(docs)
     rank, hot_rank = rarity(texts)
-    rank = docs.sparkSession.sparkContext.broadcast(rank)
-    found = stored(
-        line_sets(texts, rank, percent, min_words).withColumn("line_id", F.monotonically_increasing_id())
-        .withColumn("rank", F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.col("text_key").alias("key"), F.col("line").alias("line"))),
-        "lines",
-    )
-    classes = stored(
-        found.groupBy("set_a", "set_b").agg(F.min("line_id").alias("node"), F.min("rank").alias("rank")), "line-classes"
-    )
-    firsts = found.join(classes.select(F.col("node").alias("line_id")), "line_id", "left_semi").withColumnRenamed("line_id", "node")
-    groups = stored(graph.components(candidate_edges(firsts, percent, hot_rank)), "line-groups")
-    chosen = found.join(groups.withColumnRenamed("node", "line_id"), "line_id").select("doc_id", "text_key", F.struct("line", F.col("line_id").alias("node")).alias("w"))
-    wanted = chosen.groupBy("doc_id", "text_key").agg(F.collect_list("w").alias("wanted"))
-    asked = texts.join(
-        wanted.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "wanted"),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")),
-    )
+    share = docs.sparkSession.sparkContext.broadcast
+    rank = share(rank)  # CLASSES numbers
+    order = F.coalesce("doc_id", F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line")
+    found = stored(line_table(texts, rank, min_words), "lines").withColumn("rank", order.cast("decimal(31,0)"))
+    classes = stored(found.groupBy("node", "check").agg(F.min("rank").alias("own")), "line-classes")
+    dealt = postings(texts, rank, hot_rank, percent, min_words).repartition("cell").sortWithinPartitions("cell", "place", "node")
+    groups = stored(graph.components(dealt.mapInArrow(lambda batches: close_rows(batches, percent), "u long, v long")), "line-groups")
+    asked = asked_sets(texts, rank, min_words, share(filter_bits(groups)))  # FILTER_BITS / 8 bytes
     sets = (
-        asked_sets(asked, rank).dropDuplicates(["node"]).join(groups, "node")
-        .join(classes.select("node", "rank"), "node").withColumn("all", F.lit(True))
+        asked.join(groups, "node").dropDuplicates(["node"])
+        .join(classes.select("node", F.col("own").alias("rank")), "node").withColumn("all", F.lit(True))
     )
-    links = graph.in_cells(
-        sets, "all", "all", percent, graph.link_counts, "node long, links long, first struct<doc:long,key:long,line:int>"
-    ).groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first"))
-    judged = classes.join(links, "node", "left").select("set_a", "set_b", "node", "links", F.col("rank").alias("own"), "first")
-    return found.join(judged, ["set_a", "set_b"]).select(
+    links = graph.in_cells(sets, "all", "all", percent, graph.link_counts, "node long, links long, first decimal(31,0)")
+    links = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first"))
+    judged = classes.join(links, "node", "left")
+    return found.join(judged, ["node", "check"]).select(
         "doc_id", "text_key", "line", "node", F.coalesce("links", F.lit(0)).alias("links"),
         ((F.col("rank") > F.col("own")) | F.coalesce(F.col("first") < F.col("own"), F.lit(False))).alias("removed"),
     ).dropDuplicates(["doc_id", "text_key", "line"])

@@ -40,14 +40,13 @@ def test_against_brute_force(frame, prose, grid, monkeypatch):
     key_of = {}
     for x in lines.keyed(frame(rows, DDL)).collect():
         key_of[x.doc_id is None, x.doc_id or 0, x.text] = x.doc_id, x.text_key
-    order = sorted(found, key=lambda f: (f[0][0], f[0][1], key_of[f[0]][1], f[1]))
-    seen, both = [], 0
-    for d, k, words in order:
+    both = 0
+    for d, k, words in found:
         x = got[(*key_of[d], k)]
-        gone = any(words == o or linked(words, o) for o in seen)
+        seen = [o for e, j, o in found if (e[0], e[1], j) < (d[0], d[1], k)]
+        gone = any(linked(words, o) for o in seen)
         assert (x.links, x.removed) == (links[words], gone), (d[1], k)
-        seen.append(words)
-        both += gone and words not in seen[:-1]
+        both += gone and words not in seen
     assert both > 20  # some go for a line that is near but not equal
 
 
