@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelscope.llm import backoff, hosts, lines, minhash, mixing, pii, quality, quotes, topk
+from labelscope.llm import backoff, hosts, lines, minhash, mixing, pieces, pii, quality, quotes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +125,17 @@ def op3_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.size(F.coalesce("removed", F.array().cast("array<int>"))).cast("long").alias("n_removed"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
     )
+
+
+#: SentencePiece model that op6 and the pipeline encode with.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@query("op6_pieces")
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = pieces.load(PIECE_MODEL)
+    found = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
