@@ -1,16 +1,63 @@
-"""Corpus cleaning pipeline over ``documents``: five stages of labelscope.llm, each written and read again."""
+"""Corpus cleaning pipeline over ``documents``: five stages of labelscope.llm, each written and read again.
+
+Quality rules drop what they reject; line dedup removes repeated lines, and documents left
+without a word; MinHash near-dedup keeps the first document of each group; mixing repeats
+documents as often as the mix reads them, in training order (a reading that the target ends
+early is kept when at least half of the document is due); the last stage encodes the texts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from labelscope.llm import lines, minhash, mixing, pieces, quality
+from labelscope.llm.queries import PIECE_MODEL
+from labelscope.runtime import stored
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.kept_documents(docs, labels)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A doc_id that occurs again is one document and keeps the first of its texts; null ids all stay."""
+    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    versions = Window.partitionBy("doc_id").orderBy("text")
+    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_version", F.row_number().over(versions)).where("_version = 1")
+    return rows.select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rest = [c for c in docs.columns if c not in ("doc_id", "source")]
+    placed = mixing.placements(mixing.assign(docs, keep=rest))
+    return placed.where(2 * F.col("words") >= F.col("size")).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_pieces, ids."""
+    found = pieces.encode(docs, pieces.load(PIECE_MODEL), keep=("doc_id", "source"))
+    return found.select("doc_id", "source", F.size("ids").cast("long").alias("n_pieces"), "ids")
+
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", good_documents),
+    ("line dedup", without_repeated_lines),
+    ("MinHash near-dedup", one_of_each_group),
+    ("mixing sources to target weights", mixed),
+    ("SentencePiece encoding", encoded),
+]
 #: Grouping and packing are iterative; tests hold the stages against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.split()[0])
+    return STAGES[-1][1](spark, docs, sf_dir)

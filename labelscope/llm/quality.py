@@ -70,7 +70,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
     return (
         docs.select(
-            F.monotonically_increasing_id().alias("row"), F.col("doc_id"), words_of(text).alias("words"),
+            F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.xxhash64("text").alias("text_key"), words_of(text).alias("words"),
             F.length(F.regexp_replace(text, BLANK, "")).cast("long").alias("word_chars"),
             (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
             bind(lines, lambda found: F.size(found) - F.size(F.array_distinct(found))).cast("long").alias("n_dup_lines"),
@@ -122,17 +122,23 @@ def judge(
     docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
     trusted_documents: int = TRUSTED_DOCUMENTS,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, base counts, base_failed, ratio_sum, n_grams, kept."""
+    """One row per document: doc_id, text_key, n_words, base counts, base_failed, ratio_sum, n_grams, kept."""
     ratios = F.broadcast(ratio_table(docs, labels, buckets, trusted_documents))  # at most ``buckets`` rows
     base = ["word_chars", "n_symbols", "n_dup_lines", "n_words", "n_repeat_words"]
-    rows = grams(base_counts(docs), ["row", "doc_id", *base], buckets)
+    rows = grams(base_counts(docs), ["row", "doc_id", "text_key", *base], buckets)
     first = ratios.select(F.col("bucket").alias("one"), F.col("ratio").alias("r1"))
     second = ratios.select(F.col("bucket").alias("two"), F.col("ratio").alias("r2"))
     scored = rows.join(first, "one", "left").join(second, "two", "left").groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), *(F.max(c).alias(c) for c in base),
+        F.max("doc_id").alias("doc_id"), F.max("text_key").alias("text_key"), *(F.max(c).alias(c) for c in base),
         F.sum(F.coalesce("r1", F.lit(0)) + F.coalesce("r2", F.lit(0))).alias("ratio_sum"),
         (F.count("one") + F.count("two")).alias("n_grams"),
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     passes = F.col("ratio_sum") >= F.round(F.lit(threshold) * SCALE) * F.col("n_grams")
     return scored.drop("row").withColumn("base_failed", failed).withColumn("kept", ~failed & passes)
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept."""
+    bad = judge(docs, labels, **options).where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left_anti")

@@ -68,3 +68,12 @@ def test_main_path_has_no_python(spark, frame, prose):
     found = quality.judge(frame([(1, prose(1, 20))], "doc_id long, text string"), frame([(1, 1, 0)], "doc_id long, quality int, toxic int"))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_accuracy_on_labelled_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    held = labels.where("doc_id % 2 = 1")  # the other half is the trusted side
+    found = quality.judge(docs, labels.where("doc_id % 2 = 0")).join(held, "doc_id").where("n_words >= 20 and not base_failed").collect()
+    good, bad = ([r.kept for r in found if r.quality == q] for q in (1, 0))
+    assert sum(good) >= 0.95 * len(good) and sum(bad) <= 0.2 * len(bad)
