@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,20 +57,12 @@ def overlap_counts(flat: np.ndarray, at: np.ndarray, other: np.ndarray) -> np.nd
     return hits[at[1:]] - hits[at[:-1]]
 
 
-def _sides(table: pa.Table, side: int):
-    part = table.filter(pc.equal(table["side"], side))
-    sets = part["items"].combine_chunks()
-    sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
-    at = sets.offsets.to_numpy().astype(np.int64)
-    return part, part["node"].to_numpy(), sets.values.to_numpy()[at[0]:at[-1]], at - at[0]
-
-
 def in_cells(sets: DataFrame, left: str, right: str, percent: int, check, schema: str) -> DataFrame:
     """Runs ``check`` on every cell (block of ``left`` rows x block of ``right`` rows) of a component.
 
     ``sets`` has component, node, items (array<bigint>) and boolean columns ``left`` and
     ``right``. A block holds about BLOCK rows whatever the size of the component, so a
-    task holds two blocks. ``check(table, percent)`` gets the rows of both, told apart by ``side``.
+    task holds two blocks at a time. ``check`` gets a Cell with the rows of both.
     """
     sizes = sets.groupBy("component").agg(
         F.ceil(F.count_if(F.col(left)) / F.lit(BLOCK)).cast("int").alias("_lefts"),
@@ -80,55 +74,104 @@ def in_cells(sets: DataFrame, left: str, right: str, percent: int, check, schema
     lefts = dealt.where(left).withColumns({"_a": block("_lefts"), "side": F.lit(0)}).withColumn("_b", others("_rights"))
     rights = dealt.where(right).withColumns({"_b": block("_rights"), "side": F.lit(1)}).withColumn("_a", others("_lefts"))
     both = lefts.unionByName(rights).drop("_lefts", "_rights")
-    return both.groupBy("component", "_a", "_b").applyInArrow(lambda table: check(table, percent), schema)
-
-
-def tree_links(table: pa.Table, percent: int) -> pa.Table:
+    dealt = both.repartition("component", "_a", "_b").sortWithinPartitions("component", "_a", "_b", "side")
+    return dealt.mapInArrow(lambda batches: cell_results(batches, percent, check), schema)
+
+
+class Cell(NamedTuple):
+    """Left rows, then right rows: nodes, sizes and items of both, and ``mark`` (the column that the check needs)."""
+
+    lefts: int
+    node: np.ndarray
+    items: np.ndarray
+    at: np.ndarray
+    mark: list
+
+    def left(self) -> tuple[np.ndarray, np.ndarray]:
+        ends = self.at[:self.lefts + 1]
+        return self.items[ends[0]:ends[-1]], ends - ends[0]
+
+    def right(self, k: int) -> np.ndarray:
+        k += self.lefts
+        return np.sort(self.items[self.at[k]:self.at[k + 1]])
+
+
+def cell_results(batches: Iterator[pa.RecordBatch], percent: int, check) -> Iterator[pa.RecordBatch]:
+    """Runs ``check`` on each cell of sorted rows; the rows of one cell are held until the next one begins."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        starts = cell_starts(table)
+        yield results_of(table.slice(0, starts[-1]), starts, percent, check)
+        held = table.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield results_of(held, np.array([0, held.num_rows]), percent, check)
+
+
+def cell_starts(table: pa.Table) -> np.ndarray:
+    change = np.zeros(max(table.num_rows - 1, 0), bool)
+    for name in ("component", "_a", "_b"):
+        values = table[name].to_numpy()
+        change |= values[1:] != values[:-1]
+    return np.concatenate([[0], np.flatnonzero(change) + 1])
+
+
+def results_of(table: pa.Table, starts: np.ndarray, percent: int, check) -> pa.RecordBatch:
+    lists = table["items"].combine_chunks()
+    lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks or [pa.array([], pa.list_(pa.int64()))])
+    at, items = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+    node, side, mark = table["node"].to_numpy(), table["side"].to_numpy(), table[check.mark].to_pylist()
+    found = []
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        found += check(Cell(b - a - int(side[a:b].sum()), node[a:b], items, at[a:b + 1], mark[a:b]), percent)
+    columns = list(zip(*found)) or [()] * len(check.names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, check.types)], check.names)
+
+
+def tree_links(cell: Cell, percent: int) -> list[tuple[int, int]]:
     """Links (u, v) that join the nodes of a cell into trees; pairs already joined are skipped.
 
-    ``matched`` nodes are joined to begin with (all are linked with their pivot).
+    ``matched`` left nodes are joined to begin with (all are linked with their pivot).
     """
-    part, nodes, flat, at = _sides(table, 0)
-    others, right, r_flat, r_at = _sides(table, 1)
-    group = np.arange(len(nodes))
-    matched = part["matched"].to_numpy(zero_copy_only=False).astype(bool)
+    nodes, rights = cell.node[:cell.lefts], cell.node[cell.lefts:].tolist()
+    flat, at = cell.left()
+    group = np.arange(cell.lefts)
+    matched = np.array(cell.mark[:cell.lefts], bool)
     if matched.any():
         group[matched] = group[np.argmax(matched)]
     place = {node: k for k, node in enumerate(nodes.tolist())}
     sizes, found = np.diff(at), []
-    alone = len(nodes)  # a right node that is not among the left ones starts as a group of its own
-    for k, node in enumerate(right.tolist()):
-        own = group[place[node]] if node in place else alone + k
+    for k, node in enumerate(rights):
+        # a right node that is not among the left ones starts as a group of its own
+        own = group[place[node]] if node in place else cell.lefts + k
         todo = np.flatnonzero(group != own)
         if not len(todo):
             continue
-        mine = np.sort(r_flat[r_at[k]:r_at[k + 1]])
+        mine = cell.right(k)
         shared = overlap_counts(flat, at, mine)
         linked = todo[100 * shared[todo] >= percent * (sizes[todo] + len(mine) - shared[todo])]
-        linked = linked[sizes[linked] > 0]
-        for other in linked.tolist():
+        for other in linked[sizes[linked] > 0].tolist():
             if group[other] != own:
                 found.append((node, int(nodes[other])))
                 group[group == group[other]] = own
-    return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+    return found
 
 
-def link_counts(table: pa.Table, percent: int) -> pa.Table:
-    """Per right node of a cell: number of linked left nodes, and the earliest of them.
+tree_links.mark, tree_links.names, tree_links.types = "matched", ["u", "v"], [pa.int64(), pa.int64()]
 
-    ``rank`` is the place of a node in reading order; ``first`` is the smallest rank linked.
-    """
-    part, nodes, flat, at = _sides(table, 0)
-    others, right, r_flat, r_at = _sides(table, 1)
-    ranks, sizes = np.asarray(part["rank"].to_pylist(), object), np.diff(at)
-    links, first = [], []
-    for k, node in enumerate(right.tolist()):
-        mine = np.sort(r_flat[r_at[k]:r_at[k + 1]])
+
+def link_counts(cell: Cell, percent: int) -> list[tuple]:
+    """Per right node of a cell: number of linked left nodes, and the smallest ``rank`` of them."""
+    nodes, (flat, at), found = cell.node[:cell.lefts], cell.left(), []
+    sizes = np.diff(at)
+    for k, node in enumerate(cell.node[cell.lefts:].tolist()):
+        mine = cell.right(k)
         shared = overlap_counts(flat, at, mine)
-        linked = (100 * shared >= percent * (sizes + len(mine) - shared)) & (nodes != node) & (sizes > 0)
-        links.append(int(linked.sum()))
-        first.append(min(ranks[linked], default=None))
-    return pa.table({
-        "node": others["node"], "links": pa.array(links, pa.int64()),
-        "first": pa.array(first, part["rank"].type),
-    })
+        linked = np.flatnonzero((100 * shared >= percent * (sizes + len(mine) - shared)) & (nodes != node) & (sizes > 0))
+        found.append((node, len(linked), min((cell.mark[x] for x in linked.tolist()), default=None)))
+    return found
+
+
+link_counts.mark, link_counts.names = "rank", ["node", "links", "first"]
+link_counts.types = [pa.int64(), pa.int64(), pa.decimal128(31, 0)]
