@@ -94,47 +94,63 @@ def risk_coverage(predictions: DataFrame, steps: int = 19) -> DataFrame:
 
 
 def soft_vote(predictions: DataFrame, model_a: str, model_b: str) -> DataFrame:
-    """Mean of two models' scores and the label it favours. Class order must be equal."""
+    """Mean of two models' scores and the label it favours. Class order must be equal.
+
+    A row that one model lacks keeps the other one's scores.
+    """
     side = lambda key, name: predictions.where(F.col("model_key") == key).select(
-        "row_id", "y_true", "classes", F.col("scores").alias(name)
+        "row_id", F.struct("y_true", "classes").alias(name + "_row"), F.col("scores").alias(name)
     )
-    both = side(model_a, "sa").join(side(model_b, "sb").select("row_id", "sb"), "row_id")
-    mean = F.zip_with("sa", "sb", lambda a, b: (a + b) / 2)
+    both = side(model_a, "sa").join(side(model_b, "sb"), "row_id", "full").select(
+        "row_id", "sa", "sb", F.coalesce("sa_row", "sb_row").alias("r")
+    ).select("row_id", "sa", "sb", "r.*")
+    mean = F.coalesce(F.zip_with("sa", "sb", lambda a, b: (a + b) / 2), "sa", "sb")
     return both.select("row_id", "y_true", "classes", mean.alias("scores")).withColumn(
         "y_pred", sc.argmax_label(F.col("scores"), F.col("classes"))
     )
 
 
 def cascade(predictions: DataFrame, cheap: str, costly: str, threshold: float) -> DataFrame:
-    """Confident rows keep the cheap model's label, only the rest takes the costly one's."""
+    """Confident rows keep the cheap model's label, only the rest takes the costly one's.
+
+    A row without a confidence is unsure; an unsure row that the costly model lacks keeps the
+    cheap label.
+    """
     s, c = F.col("scores"), F.col("classes")
     first = predictions.where(F.col("model_key") == cheap).select(
         "row_id", "y_true", sc.argmax_label(s, c).alias("y_pred"), sc.confidence(s).alias("_conf")
     )
-    sure = first.where(F.col("_conf") >= threshold).select(
-        "row_id", "y_true", "y_pred", F.lit(cheap).alias("answered_by"))
-    unsure = first.where(~(F.col("_conf") >= threshold)).select("row_id")
-    second = predictions.where(F.col("model_key") == costly).join(unsure, "row_id", "left_semi")
-    return sure.unionByName(
-        second.select("row_id", "y_true", "y_pred", F.lit(costly).alias("answered_by"))
-    )
-
-
-def calibrate(rows: DataFrame, method: str = "isotonic") -> DataFrame:
+    certain = F.coalesce(F.col("_conf") >= threshold, F.lit(False))
+    sure = first.where(certain).select("row_id", "y_true", "y_pred", F.lit(cheap).alias("answered_by"))
+    second = predictions.where(F.col("model_key") == costly).select("row_id", F.struct("y_pred").alias("_second"))
+    answered = F.col("_second").isNotNull()
+    return sure.unionByName(first.where(~certain).join(second, "row_id", "left").select(
+        "row_id", "y_true", F.when(answered, F.col("_second.y_pred")).otherwise(F.col("y_pred")).alias("y_pred"),
+        F.when(answered, F.lit(costly)).otherwise(F.lit(cheap)).alias("answered_by"),
+    ))
+
+
+def calibrate(
+    rows: DataFrame, method: str = "isotonic", fit_rows: DataFrame | None = None, digits: int | None = None
+) -> DataFrame:
     """Add ``calibrated`` to (model_key, row_id, conf, correct): repaired confidence of one model.
 
-    Isotonic regression is fitted on counts per confidence of 4 digits, at most 10,001
-    weighted rows; Platt scaling is a one-feature logistic regression.
+    Fitted on ``fit_rows``, a validation part of the same columns (default: ``rows``), from
+    counts per distinct confidence. ``digits`` rounds confidences for the fit and bounds the
+    points that isotonic regression pools on the driver. Platt scaling is a one-feature logistic
+    regression. A null confidence stays null.
     """
-    rows = rows.where(F.col("conf").isNotNull())
-    counts = rows.groupBy(F.round("conf", 4).alias("c")).agg(
+    at = F.col("conf") if digits is None else F.round("conf", digits)
+    known = F.col("conf").isNotNull()
+    without = rows.where(~known).withColumn("calibrated", F.lit(None).cast("double"))
+    counts = (rows if fit_rows is None else fit_rows).where(known).groupBy(at.alias("c")).agg(
         F.count("*").cast("double").alias("w"), F.avg("correct").alias("share")
     )
     if method == "isotonic":
         model = IsotonicRegression(featuresCol="c", labelCol="share", weightCol="w").fit(counts)
-        return model.transform(rows.withColumn("c", F.round("conf", 4))).select(
+        return model.transform(rows.where(known).withColumn("c", at)).select(
             *rows.columns, F.col("prediction").alias("calibrated")
-        )
+        ).unionByName(without)
     if method != "platt":
         raise ValueError(f"unknown method {method!r}")
     verdicts = counts.select(
@@ -145,5 +161,5 @@ def calibrate(rows: DataFrame, method: str = "isotonic") -> DataFrame:
         )),
     ).where("wy > 0")
     model = LogisticRegression(featuresCol="features", labelCol="y", weightCol="wy").fit(verdicts)
-    scored = model.transform(rows.withColumn("features", array_to_vector(F.array("conf"))))
-    return scored.select(*rows.columns, vector_to_array("probability")[1].alias("calibrated"))
+    scored = model.transform(rows.where(known).withColumn("features", array_to_vector(F.array("conf"))))
+    return scored.select(*rows.columns, vector_to_array("probability")[1].alias("calibrated")).unionByName(without)

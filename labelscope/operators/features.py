@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from labelscope.functions import text as tx
-from labelscope.runtime import stored, written
+from labelscope.runtime import ranked, stored, written
 
 
 @dataclass(frozen=True)
@@ -106,25 +106,22 @@ def fit_on_terms(seen: DataFrame, n_docs: int, options: TfidfOptions) -> TfidfMo
 
 
 def sparse_features(
-    weights: DataFrame, model: TfidfModel, keep: tuple[str, ...] = (), buckets: int = 1 << 18
+    weights: DataFrame, model: TfidfModel, keep: tuple[str, ...] = (), hash_buckets: int | None = None
 ) -> DataFrame:
     """(row_id, *keep, features) with sparse ML vectors, written once for iterative fitting.
 
-    Terms get the index of their sorted place while the vocabulary has at most ``buckets``
-    terms. A larger vocabulary is hashed into ``buckets`` columns, because a linear model
-    keeps classes x columns numbers on the driver.
+    By default each term has a column of its own, in the order of the terms. ``hash_buckets``
+    hashes the terms into so many columns instead, at every size: a linear model keeps
+    classes x columns numbers on the driver.
     """
-    if model.n_terms <= buckets:
-        order = Window.partitionBy().orderBy("term")
-        places = stored(
-            model.vocabulary.select("term", (F.row_number().over(order) - 1).alias("i")), "term-index"
-        )
+    if hash_buckets is None:
+        places = ranked(model.vocabulary.select("term"), [], [F.col("term")], "i").withColumn("i", (F.col("i") - 1).cast("int"))
         size = max(model.n_terms, 1)
-        indexed = weights.join(places, "term")
+        indexed = weights.join(stored(places, "term-index"), "term")
     else:
-        size = buckets
+        size = hash_buckets
         indexed = (
-            weights.withColumn("i", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+            weights.withColumn("i", F.pmod(F.xxhash64("term"), F.lit(size)).cast("int"))
             .groupBy("row_id", *keep, "i").agg(F.sum("weight").alias("weight"))
         )
     entries = F.array_sort(F.collect_list(F.struct("i", "weight")))

@@ -55,7 +55,7 @@ def _fit(features: DataFrame, estimator, score_type: str, class_weight: str | No
 
 
 def logistic_head(
-    features: DataFrame, C: float = 1.0, class_weight: str | None = None, max_iter: int = 100
+    features: DataFrame, C: float = 1.0, class_weight: str | None = None, max_iter: int = 1000
 ) -> Head:
     """Multinomial logistic regression with an L2 term; ``C`` scales the data term.
 
@@ -71,7 +71,7 @@ def logistic_head(
 
 
 def svc_head(
-    features: DataFrame, C: float = 1.0, class_weight: str | None = None, max_iter: int = 50
+    features: DataFrame, C: float = 1.0, class_weight: str | None = None, max_iter: int = 5000
 ) -> Head:
     """One-vs-rest linear SVM; its margins are the scores."""
     n = features.count()
@@ -85,7 +85,7 @@ def svc_head(
 
 def sgd_head(
     features: DataFrame, alpha: float = 1e-4, loss: str = "hinge", class_weight: str | None = None,
-    max_iter: int = 50,
+    max_iter: int = 1000,
 ) -> Head:
     """Linear model alpha/2 * w'w + mean(loss), one-vs-rest, with hinge or logistic loss."""
     common = dict(featuresCol="features", labelCol="y", weightCol="w", regParam=alpha,

@@ -15,6 +15,8 @@ from labelscope.functions.text import seeded_hash
 from labelscope.runtime import stored
 
 SLACK = 1e-6  # covers rounding in distance bounds
+#: Similarities are compared at 9 digits: a squared distance may be that much larger and still tie.
+TIE = 4e-9
 FAR = 2.0  # largest distance on the unit sphere
 
 
@@ -106,7 +108,7 @@ def nearest(
                 enough = some["found"].fillna(0).to_numpy() >= k
                 worst = some["worst"].fillna(-1.0).to_numpy()
                 seen = np.where(enough, np.sqrt(np.maximum(0.0, 2 - 2 * worst)), np.inf)
-                limit = np.minimum(kth_upper_bound(gap, n_in, reach, need), seen) + SLACK
+                limit = np.sqrt(np.minimum(kth_upper_bound(gap, n_in, reach, need), seen) ** 2 + TIE) + SLACK
                 limit[zero] = np.inf
                 row, cell = np.nonzero((gap - reach <= limit[:, None]) & (n_in > 0))
                 n = n_parts[cell]

@@ -207,13 +207,14 @@ def split_leakage(corpus: DataFrame) -> DataFrame:
         .agg(
             F.count_if(F.col("split") == "train").alias("n_train"),
             F.count_if(F.col("split") == "test").alias("n_test"),
-            F.min("row_id").alias("row_id"),
+            F.min(F.struct("split", "row_id")).alias("_first"),
         )
-        .where("n_train > 0 and n_test > 0"),
+        .where("n_train > 0 and n_test > 0")
+        .select("n_train", "n_test", "_first.*"),
         "leaking-keys",
     )
-    texts = corpus.select("row_id", tx.normalise_text(F.col("text")).alias("text"))
-    return texts.join(leaking, "row_id").select("text", "n_train", "n_test")
+    texts = corpus.select("split", "row_id", tx.normalise_text(F.col("text")).alias("text"))
+    return texts.join(leaking, ["split", "row_id"]).select("text", "n_train", "n_test")
 
 
 def leakage_summary(leaks: DataFrame, examples: int = 5) -> DataFrame:

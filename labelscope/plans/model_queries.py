@@ -231,13 +231,13 @@ MIX_CONFIGS = [(f"{'1' if m == 2 else ''}{'2' if s else ''}{'3' if a == 0.1 else
 
 def greedy_sql(names: list[str]) -> str:
     """CTEs that walk the greedy rounds over metrics of all possible configs: r0 .. rn, protocol."""
-    parts = ["r0 AS (SELECT '' AS best, macro_f1 AS best_f1, macro_f1 AS f1, accuracy AS acc, '—' AS kept FROM metrics WHERE model_key = '0')"]
+    parts = ["r0 AS (SELECT '' AS best, macro_f1 AS best_f1, macro_f1 AS f1, accuracy AS acc, true AS kept FROM metrics WHERE model_key = '0')"]
     for n in range(1, len(names) + 1):
         parts.append(f"""r{n} AS (SELECT CASE WHEN m.macro_f1 > best_f1 THEN best || '{n}' ELSE best END AS best, greatest(m.macro_f1, best_f1) AS best_f1,
-          m.macro_f1 AS f1, m.accuracy AS acc, CASE WHEN m.macro_f1 > best_f1 THEN 'ja' ELSE 'nein' END AS kept FROM r{n - 1} JOIN metrics m ON m.model_key = best || '{n}')""")
+          m.macro_f1 AS f1, m.accuracy AS acc, m.macro_f1 > best_f1 AS kept FROM r{n - 1} JOIN metrics m ON m.model_key = best || '{n}')""")
     rows = " UNION ALL ".join(
         f"SELECT {n} AS round, '{name}' AS step, round(f1 * 100, 2) AS val_macro_f1, round(acc * 100, 2) AS val_acc, kept FROM r{n}"
-        for n, name in enumerate(["Start (Default)", *names]))
+        for n, name in enumerate(["defaults", *names]))
     return ",\n  ".join(parts) + f",\n  protocol AS (SELECT CAST(round AS BIGINT) AS round, step, val_macro_f1, val_acc, kept FROM ({rows}))"
 
 

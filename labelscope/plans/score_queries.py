@@ -109,13 +109,13 @@ def _(spark, d):
   cell AS (SELECT model_key, n, hits, unnest(range(0, n + 1)) AS k FROM c),
   pmf AS (SELECT model_key, n, k, exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(hits / n) + (n - k) * ln(1 - hits / n)) AS p FROM cell),
   cdf AS (SELECT model_key, k, sum(p) OVER (PARTITION BY model_key ORDER BY k) AS at FROM pmf WHERE p > 1e-40),
-  draw AS (SELECT model_key, ({i.h("concat(model_key, ':0:', b)")} + 0.5) / 4294967296.0 AS u FROM c, range(1, 201) t(b)),
+  draw AS (SELECT model_key, ({i.h("concat(model_key, ':0:', b)")} + 0.5) / 4294967296.0 AS u FROM c, range(1, 2001) t(b)),
   got AS (SELECT d.model_key, d.u, min(f.k) AS k FROM draw d JOIN cdf f ON f.model_key = d.model_key AND f.at >= d.u GROUP BY ALL),
   q AS (SELECT model_key, quantile_cont(CAST(k AS DOUBLE), 0.025) AS lo, quantile_cont(CAST(k AS DOUBLE), 0.975) AS hi FROM got GROUP BY model_key)
   SELECT model_key, round(hits / n * 100, 6) AS accuracy_pct, round(lo / n * 100, 6) AS low_pct, round(hi / n * 100, 6) AS high_pct
   FROM c JOIN q USING (model_key)""")
 def _(spark, d):
-    return sg.bootstrap_ci(i.predictions(spark, d), n_boot=200, seed=0)
+    return sg.bootstrap_ci(i.predictions(spark, d), n_boot=2000, seed=0)
 
 
 @query("mcnemar_pairs", f"""WITH {P}, r AS (SELECT model_key, row_id, y_true = y_pred AS ok FROM predictions),

@@ -28,9 +28,9 @@ def _(spark, d):
 
 
 @query("union_sources", """
-  SELECT 'documents' AS source, 'train' AS split, doc_id AS row_id, lang AS label, md5(text) AS digest FROM documents
-  UNION ALL SELECT 'chats', 'train', conv_id, role, md5(text) FROM conversations
-  UNION ALL SELECT 'pages', 'test', page_id, url, md5(html) FROM pages""")
+  SELECT 'documents' AS source, 'train' AS split, concat('documents/train/', doc_id) AS row_id, lang AS label, md5(text) AS digest FROM documents
+  UNION ALL SELECT 'chats', 'train', concat('chats/train/', conv_id), role, md5(text) FROM conversations
+  UNION ALL SELECT 'pages', 'test', concat('pages/test/', page_id), url, md5(html) FROM pages""")
 def _(spark, d):
     spec = lambda name, split, file, id_, text, label: dict(
         name=name, split=split, path=f"{d}/{file}.parquet", id=id_, text=text, label=label)

@@ -19,6 +19,7 @@ def local_session(app: str = "labelscope", cores: str = "*") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.labelscope.scanPartitions", "8")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -62,16 +63,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
 
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows of a scan with fewer partitions than cores out by ``key``.
-
-    One small file would otherwise be tokenised by one core. A scan of many splits, and so
-    any large corpus, is returned as it is. Only the plan is looked at; no job runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Exact 1-based row number within each group; no group has to fit in one task.
 

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelscope.runtime import spread_small, stored
+from labelscope.runtime import stored
+
+SCAN_PARTITIONS = "spark.labelscope.scanPartitions"
 
 
 def load_corpus(
@@ -15,14 +17,16 @@ def load_corpus(
 ) -> DataFrame:
     """One Parquet split as (row_id, text, label); the scan reads these three columns.
 
-    A file too small to be split is spread over the cores.
+    The session setting SCAN_PARTITIONS, meant for local runs over single files, deals the rows
+    out; without it the partitions of the scan stay.
     """
     rows = spark.read.parquet(path).select(
         F.col(id_col).cast("bigint").alias("row_id"),
         F.col(text_col).cast("string").alias("text"),
         F.col(label_col).cast("string").alias("label"),
     )
-    return spread_small(rows, "row_id")
+    partitions = spark.conf.get(SCAN_PARTITIONS, None)
+    return rows.repartition(int(partitions), "row_id") if partitions else rows
 
 
 def union_sources(
@@ -31,12 +35,13 @@ def union_sources(
     """Map every source's own column names to one schema and concatenate.
 
     A source gives ``name, path, split, id, text, label``; several shards of one split
-    are several entries (or one path pattern).
+    are several entries (or one path pattern). Ids of different sources may collide, so the
+    union's ``row_id`` is the string source/split/id.
     """
     parts = [
         load_corpus(spark, s["path"], s["id"], s["text"], s["label"]).select(
             F.lit(s["name"]).alias("source"), F.lit(s["split"]).alias("split"),
-            "row_id", "text", "label",
+            F.concat_ws("/", F.lit(s["name"]), F.lit(s["split"]), "row_id").alias("row_id"), "text", "label",
         )
         for s in sources
     ]

@@ -147,3 +147,23 @@ def test_self_consistency_ties(spark):
     from labelscope.operators.labelling import self_consistency
     votes = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, "c"), (2, "b")], "row_id bigint, y_pred string")
     assert {r["row_id"]: r["y_pred"] for r in self_consistency(votes).collect()} == {1: "b", 2: "b"}
+
+
+def test_cascade_and_vote_keep_every_row(spark):
+    rows = [("a", 1, "x", "x", ["x", "y"], [0.9, 0.1]), ("a", 2, "x", "x", ["x", "y"], [0.6, 0.4]), ("a", 3, "y", "x", ["x", "y"], None),
+            ("a", 4, "y", "x", ["x", "y"], [0.55, 0.45]), ("b", 4, "y", "y", ["x", "y"], [0.1, 0.9]), ("b", 5, "y", "y", ["x", "y"], [0.2, 0.8])]
+    df = spark.createDataFrame(rows, "model_key string, row_id bigint, y_true string, y_pred string, classes array<string>, scores array<double>")
+    got = {r["row_id"]: (r["y_pred"], r["answered_by"]) for r in cf.cascade(df, "a", "b", 0.8).collect()}
+    assert {k: v[1] for k, v in got.items()} == {1: "a", 2: "a", 3: "a", 4: "b"} and got[4][0] == "y" and got[2][0] == "x"
+    voted = {r["row_id"]: r["y_pred"] for r in cf.soft_vote(df, "a", "b").collect()}
+    assert set(voted) == {1, 2, 3, 4, 5} and voted[4] == "y" and voted[5] == "y"
+
+
+def test_calibration_fits_on_one_part_and_keeps_all_digits_and_nulls(spark):
+    ddl = "model_key string, row_id bigint, conf double, correct bigint"
+    fit = spark.createDataFrame([("m", k, 0.5 + k / 1000, int(k > 250 or k % 3 == 0)) for k in range(500)], ddl)
+    use = spark.createDataFrame([("m", 1, 0.99991, 1), ("m", 2, 0.99994, 0), ("m", 3, None, 1), ("m", 4, 0.1, 1)], ddl)
+    got = {r["row_id"]: r["calibrated"] for r in cf.calibrate(use, "platt", fit).collect()}
+    assert got[3] is None and got[4] < got[1] < got[2] < 1.0
+    got = {r["row_id"]: r["calibrated"] for r in cf.calibrate(use, "isotonic", fit).collect()}
+    assert got[3] is None and got[1] == got[2] == 1.0 and 0 < got[4] < 0.5
