@@ -24,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,13 +33,15 @@ from labelscope.llm import tokens
 
 SPACE = "▁"
 LONGEST = 64
-KEPT = 200_000
+KEPT = 400_000
+PREFIX = -1.0
 WORD = re.compile(f" {{1,{LONGEST}}}[^ \n]{{0,{LONGEST}}}|[^ \n]{{1,{LONGEST}}}|\n")
 
 
 class PieceTable(NamedTuple):
-    """``ids`` and ``rank`` (best first) by piece, with spaces for the model's space sign;
-    ``bytes_of``: the bytes a piece stands for, by id; ``longest``: code points of the longest piece."""
+    """``ids`` by piece, with spaces for the model's space sign; ``rank``: place of a piece, 1 and up, best
+    first, and PREFIX for text that only begins one; ``bytes_of``: the bytes a piece stands for, by id;
+    ``longest``: code points of the longest piece."""
 
     ids: dict[str, int]
     rank: dict[str, float]
@@ -62,36 +65,50 @@ def load(model_file: str) -> PieceTable:
             bytes_of.append(b"")
         else:
             text = piece.replace(SPACE, " ")
-            ids[text], rank[text] = k, -model.get_score(k)
+            ids[text], rank[text] = k, 1 - model.get_score(k)
             bytes_of.append(text.encode())
+    for text in ids:
+        for end in range(2, len(text)):
+            rank.setdefault(text[:end], PREFIX)
     return PieceTable(ids, rank, byte_ids, bytes_of, max(map(len, ids), default=1))
 
 
 def edges_of(word: str, table: PieceTable) -> list[tuple[float, int, int]]:
     """Lattice of a word: (rank, start, end) of its substrings that are pieces of two or more characters, best first."""
-    rank, n, found = table.rank, len(word), []
+    rank, n, longest, found = table.rank.get, len(word), table.longest, []
     for start in range(n - 1):
-        for end in range(start + 2, min(n, start + table.longest) + 1):
-            place = rank.get(word[start:end])
-            if place is not None:
+        for end in range(start + 2, min(n, start + longest) + 1):
+            place = rank(word[start:end])
+            if place is None:
+                break
+            if place > 0:
                 found.append((place, start, end))
     found.sort()
     return found
 
 
 def fold(word: str, table: PieceTable) -> list[int]:
-    """Ids of a word: the best edge over two neighbouring symbols is merged until there is none."""
-    n, edges = len(word), edges_of(word, table)
+    """Ids of a word: the best edge over two neighbouring symbols is merged until there is none.
+
+    Edges are tried from the best down. A merge can make a better edge possible only if it
+    starts or ends with the new symbol; the search then goes back to that edge.
+    """
+    n, edges, k = len(word), edges_of(word, table), 0
     ends = list(range(1, n + 1)) + [0]  # end of the symbol that starts here; 0 inside a symbol
-    while edges:
-        for k, (_, start, end) in enumerate(edges):
-            middle = ends[start]
-            if middle and middle < end and ends[middle] == end:
-                ends[start], ends[middle] = end, 0
-                break
+    while k < len(edges):
+        _, start, end = edges[k]
+        middle = ends[start]
+        if middle and middle < end and ends[middle] == end:
+            ends[start], ends[middle] = end, 0
+            for better in range(k):
+                _, a, b = edges[better]
+                if (a == start or b == end) and ends[a] and ends[a] < b and ends[ends[a]] == b:
+                    k = better
+                    break
+            else:
+                k += 1
         else:
-            break
-        edges = [e for e in edges if e[1:] != (start, end) and (ends[e[1]] or e[1] == start) and not (start < e[2] < end)]
+            k += 1
     ids, at = [], 0
     while at < n:
         symbol = word[at:ends[at]]
@@ -104,16 +121,17 @@ def fold(word: str, table: PieceTable) -> list[int]:
     return ids
 
 
-def encode_text(text: str, table: PieceTable, known: dict[str, list[int]]) -> list[int]:
-    ids = []
+def encode_text(text: str, table: PieceTable, known: dict[str, bytes]) -> bytes:
+    """Ids of a text as 32-bit numbers in a row."""
+    found = []
     for word in WORD.findall(" " + text if text else ""):
-        found = known.get(word)
-        if found is None:
+        ids = known.get(word)
+        if ids is None:
             if len(known) >= KEPT:
                 known.clear()
-            found = known[word] = fold(word, table)
-        ids += found
-    return ids
+            ids = known[word] = np.array(fold(word, table), np.int32).tobytes()
+        found.append(ids)
+    return b"".join(found)
 
 
 def encode(docs: DataFrame, table: PieceTable, keep: Sequence[str] = ("doc_id", "text")) -> DataFrame:
@@ -123,13 +141,13 @@ def encode(docs: DataFrame, table: PieceTable, keep: Sequence[str] = ("doc_id",
     schema = T.StructType([*rows.drop("_text").schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known: dict[str, bytes] = {}
         for batch in batches:
             kept = batch.schema.names[:-1]
             for part in tokens.text_slices(batch, "_text"):
                 each = [encode_text(text, shared.value, known) for text in part.column("_text").to_pylist()]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in each], dtype=np.int64)])
-                flat = np.fromiter((k for x in each for k in x), np.int32, int(ends[-1]))
+                ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in each], dtype=np.int64)])
+                flat = np.frombuffer(b"".join(each), np.int32)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in range(len(kept))), tokens.lists(flat, ends)], [*kept, "ids"])
 
     return rows.mapInArrow(task, schema)
@@ -144,7 +162,10 @@ def decode(encoded: DataFrame, table: PieceTable) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part_of = shared.value.bytes_of
         for batch in batches:
-            texts = [b"".join([part_of[k] for k in ids.as_py() or ()])[1:].decode() for ids in batch.column(where)]
+            ids = pc.fill_null(batch.column(where), [])
+            flat, ends = pc.list_flatten(ids).to_numpy(), np.cumsum(pc.list_value_length(ids).to_numpy())
+            each = np.split(flat, ends[:-1]) if len(ends) else []
+            texts = [b"".join([part_of[k] for k in part.tolist()])[1:].decode() for part in each]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(task, schema)
