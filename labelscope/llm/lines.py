@@ -22,6 +22,7 @@ give empty results.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,41 +49,45 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Rank of each hash class from the rarest to the most frequent, and the first hot rank."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES, np.int64)
-        for batch in batches:
-            for part in tokens.text_slices(batch):
-                hashes = tokens.split_words(part.column("text"), lower=False).hash
-                total += np.bincount((hashes & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"class": pa.array(seen), "n": pa.array(total[seen])})
-
-    found = docs.select("text").mapInArrow(task, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+def rarity(counted: DataFrame) -> tuple["Order", int]:
+    """Order of the hash classes from the rarest to the most frequent, and the first hot rank."""
+    found = counted.groupBy("class").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(CLASSES, np.int64)  # CLASSES numbers at most
     counts[found["class"].to_numpy()] = found["n"].to_numpy()
-    order = np.argsort(counts, kind="stable")
+    order = np.argsort(counts, kind="stable").astype(np.uint64)
     rank = np.empty(CLASSES, np.uint64)
-    rank[order] = np.arange(CLASSES, dtype=np.uint64)
-    return rank, int(np.searchsorted(counts[order], max(1, HOT * counts.sum())))
+    rank[order.astype(np.int64)] = np.arange(CLASSES, dtype=np.uint64)
+    return Order(rank, order), int(np.searchsorted(counts[order.astype(np.int64)], max(1, HOT * counts.sum())))
+
+
+class Order(NamedTuple):
+    """Rank of each hash class, and the class of each rank."""
+
+    rank: np.ndarray
+    classes: np.ndarray
 
+    def keys(self, hashes: np.ndarray) -> np.ndarray:
+        """Word keys in this order; one to one with the hashes."""
+        return (self.rank[(hashes & np.uint64(CLASSES - 1)).astype(np.int64)] << np.uint64(48)) | (hashes >> np.uint64(16))
 
-def ordered(hashes: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Word keys in order of rarity; one to one with the hashes."""
-    return (rank[(hashes & np.uint64(CLASSES - 1)).astype(np.int64)] << np.uint64(48)) | (hashes >> np.uint64(16))
+    def by_class(self, keys: np.ndarray) -> np.ndarray:
+        """The same words' keys in the order of the class numbers, which needs no counts."""
+        return (self.classes[(keys >> np.uint64(48)).astype(np.int64)] << np.uint64(48)) | (keys & np.uint64((1 << 48) - 1))
 
 
-def line_words(texts: pa.Array, rank: np.ndarray):
-    """Distinct words of each line, rarest first: (line, key, offsets, text of line, number in text)."""
+#: The order before anything is counted.
+BY_CLASS = Order(np.arange(CLASSES, dtype=np.uint64), np.arange(CLASSES, dtype=np.uint64))
+
+
+def line_words(texts: pa.Array, order: Order):
+    """Distinct words of each line, rarest first: (line, key, offsets, text of line, number in text), and all words' hashes."""
     data, ends = tokens.raw_bytes(texts)
     heads = tokens.line_starts(data, ends)
     words = tokens.split_words(texts, lower=False, line_breaks=True)
-    line, key, at = tokens.sorted_sets(words.row, ordered(words.hash, rank), len(heads))
+    line, key, at = tokens.sorted_sets(words.row, order.keys(words.hash), len(heads))
     owner = np.repeat(np.arange(len(texts)), 1 + np.diff(np.searchsorted(np.flatnonzero(data == 10), ends)))
     number = np.arange(len(heads)) - np.searchsorted(owner, owner)
-    return line, key, at, owner, number
+    return line, key, at, owner, number, words.hash
 
 
 def needed(a, b, percent: int):
@@ -97,35 +102,65 @@ def parity(line: np.ndarray, key: np.ndarray, lines: int) -> np.ndarray:
     return np.packbits(odd.reshape(lines, 128), axis=1).view(np.int64).reshape(lines, 2)
 
 
-def compared(part: pa.RecordBatch, rank: np.ndarray, min_words: int):
-    """Lines with ``min_words`` distinct words: offsets into ``key``, text, number, and 128 bits of the set."""
-    line, key, at, owner, number = line_words(part.column("text"), rank)
+class Compared(NamedTuple):
+    """Lines of a slice of texts: word keys with offsets; of the ``chosen`` ones text, number and 128 bits of the set."""
+
+    line: np.ndarray
+    key: np.ndarray
+    at: np.ndarray
+    chosen: np.ndarray
+    owner: np.ndarray
+    number: np.ndarray
+    node: np.ndarray
+    check: np.ndarray
+    hashes: np.ndarray
+
+
+def compared(part: pa.RecordBatch, order: Order, min_words: int) -> Compared:
+    """Chooses the lines with ``min_words`` distinct words. The bits of a set are the same in every order."""
+    line, key, at, owner, number, hashes = line_words(part.column("text"), order)
     chosen = np.flatnonzero(np.diff(at) >= min_words)
-    set_a, set_b = tokens.summed(tokens.mixed(key), at), tokens.summed(tokens.mixed(~key), at)
-    return line, key, at, chosen, owner[chosen], number[chosen], set_a[chosen].view(np.int64), set_b[chosen].view(np.int64)
+    plain = order.by_class(key)
+    set_a, set_b = tokens.summed(tokens.mixed(plain), at), tokens.summed(tokens.mixed(~plain), at)
+    return Compared(
+        line, key, at, chosen, owner[chosen], number[chosen], set_a[chosen].view(np.int64), set_b[chosen].view(np.int64), hashes
+    )
+
 
+def scanned(docs: DataFrame, min_words: int) -> DataFrame:
+    """One pass over the texts: a row per compared line, and rows that count the words of a hash class.
 
-def line_table(docs: DataFrame, rank, min_words: int) -> DataFrame:
-    """doc_id, text_key, line, node, check: a row per compared line; (node, check) are the bits of its set."""
+    Line rows have doc_id, text_key, line, node, check, where (node, check) are the bits of the
+    line's set; count rows have class and n, null in the others.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES, np.int64)
         for batch in batches:
             for part in tokens.text_slices(batch):
-                *_, owner, number, node, check = compared(part, rank.value, min_words)
-                owner = pa.array(owner)
+                found = compared(part, BY_CLASS, min_words)
+                total += np.bincount((found.hashes & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
+                owner, none = pa.array(found.owner), pa.nulls(len(found.owner), pa.int64())
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id").take(owner), "text_key": part.column("text_key").take(owner),
-                    "line": pa.array(number.astype(np.int32)), "node": pa.array(node), "check": pa.array(check),
+                    "line": pa.array(found.number.astype(np.int32)), "node": pa.array(found.node), "check": pa.array(found.check),
+                    "class": none, "n": none,
                 })
+        seen = np.flatnonzero(total)
+        none = pa.nulls(len(seen), pa.int64())
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": none, "text_key": none, "line": none.cast(pa.int32()), "node": none, "check": none,
+            "class": pa.array(seen), "n": pa.array(total[seen]),
+        })
 
-    return docs.mapInArrow(task, "doc_id long, text_key long, line int, node long, check long")
+    return docs.mapInArrow(task, "doc_id long, text_key long, line int, node long, check long, class long, n long")
 
 
 FIELDS = ("cell", "place", "node", "sketch_a", "sketch_b")
 INDEXED, PROBING = 1, 2
 
 
-def postings(docs: DataFrame, rank, hot_rank: int, percent: int, min_words: int) -> DataFrame:
+def postings(docs: DataFrame, order, hot_rank: int, percent: int, min_words: int) -> DataFrame:
     """A row per word of each line's prefix: the cell it is compared in, (words, place, role), set and sketch.
 
     Lines with equal sets are taken once per slice of texts.
@@ -134,9 +169,10 @@ def postings(docs: DataFrame, rank, hot_rank: int, percent: int, min_words: int)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tokens.text_slices(batch):
-                line, key, at, chosen, _, _, node, _ = compared(part, rank.value, min_words)
-                node, first = np.unique(node, return_index=True)
-                chosen, n = chosen[first], np.diff(at)
+                lines = compared(part, order.value, min_words)
+                line, key, at = lines.line, lines.key, lines.at
+                node, first = np.unique(lines.node, return_index=True)
+                chosen, n = lines.chosen[first], np.diff(at)
                 sketch = parity(line, key, len(n))[chosen]
                 n = n[chosen]
                 size = n - (-(-percent * n // 100)) + 1
@@ -225,17 +261,18 @@ def filter_bits(groups: DataFrame) -> np.ndarray:
     return found
 
 
-def asked_sets(docs: DataFrame, rank, min_words: int, bits) -> DataFrame:
+def asked_sets(docs: DataFrame, order, min_words: int, bits) -> DataFrame:
     """node, items of the lines whose bit is set, once per slice of texts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tokens.text_slices(batch):
-                _, key, at, chosen, _, _, node, _ = compared(part, rank.value, min_words)
-                node, first = np.unique(node, return_index=True)
+                lines = compared(part, order.value, min_words)
+                key, at = lines.key, lines.at
+                node, first = np.unique(lines.node, return_index=True)
                 bit = node & (FILTER_BITS - 1)
                 asked = np.flatnonzero(bits.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
-                rows = chosen[first][asked]
+                rows = lines.chosen[first][asked]
                 size = np.diff(at)[rows]
                 ends = np.concatenate([[0], np.cumsum(size)])
                 flat = np.arange(ends[-1]) - np.repeat(ends[:-1] - at[rows], size)
@@ -250,15 +287,16 @@ def line_verdicts(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     ``links`` counts the other sets that the line's set is linked with.
     """
     texts = keyed(docs)
-    rank, hot_rank = rarity(texts)
+    both = stored(scanned(texts, min_words), "lines")
+    order, hot_rank = rarity(both.where("class is not null"))
     share = docs.sparkSession.sparkContext.broadcast
-    rank = share(rank)  # CLASSES numbers
-    order = F.coalesce("doc_id", F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line")
-    found = stored(line_table(texts, rank, min_words), "lines").withColumn("rank", order.cast("decimal(31,0)"))
+    order = share(order)  # twice CLASSES numbers
+    place = F.coalesce("doc_id", F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line")
+    found = both.where("class is null").drop("class", "n").withColumn("rank", place.cast("decimal(31,0)"))
     classes = stored(found.groupBy("node", "check").agg(F.min("rank").alias("own")), "line-classes")
-    dealt = postings(texts, rank, hot_rank, percent, min_words).repartition("cell").sortWithinPartitions("cell", "place", "node")
+    dealt = postings(texts, order, hot_rank, percent, min_words).repartition("cell").sortWithinPartitions("cell", "place", "node")
     groups = stored(graph.components(dealt.mapInArrow(lambda batches: close_rows(batches, percent), "u long, v long")), "line-groups")
-    asked = asked_sets(texts, rank, min_words, share(filter_bits(groups)))  # FILTER_BITS / 8 bytes
+    asked = asked_sets(texts, order, min_words, share(filter_bits(groups)))  # FILTER_BITS / 8 bytes
     sets = (
         asked.join(groups, "node").dropDuplicates(["node"])
         .join(classes.select("node", F.col("own").alias("rank")), "node").withColumn("all", F.lit(True))
@@ -266,7 +304,8 @@ def line_verdicts(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     links = graph.in_cells(sets, "all", "all", percent, graph.link_counts, "node long, links long, first decimal(31,0)")
     links = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first"))
     judged = classes.join(links, "node", "left")
-    return found.join(judged, ["node", "check"]).select(
+    # by document, so that repeats and the lines of a document need one exchange
+    return found.join(judged, ["node", "check"]).repartition("doc_id", "text_key").select(
         "doc_id", "text_key", "line", "node", F.coalesce("links", F.lit(0)).alias("links"),
         ((F.col("rank") > F.col("own")) | F.coalesce(F.col("first") < F.col("own"), F.lit(False))).alias("removed"),
     ).dropDuplicates(["doc_id", "text_key", "line"])
