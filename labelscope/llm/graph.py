@@ -14,6 +14,10 @@ from labelscope.runtime import stored
 
 #: Members of a block; a task of the exact check holds two blocks.
 BLOCK = 256
+#: Side of a row that is both left and right in its cell.
+BOTH = 2
+#: Hits of items that a check expands at once.
+MATCHES = 1 << 21
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -57,22 +61,33 @@ def overlap_counts(flat: np.ndarray, at: np.ndarray, other: np.ndarray) -> np.nd
     return hits[at[1:]] - hits[at[:-1]]
 
 
+def block_numbers(members: DataFrame, left: str, right: str) -> DataFrame:
+    """component, _lefts, _rights: blocks of each component that has rows on both sides."""
+    return members.groupBy("component").agg(
+        F.ceil(F.count_if(F.col(left)) / F.lit(BLOCK)).cast("int").alias("_lefts"),
+        F.ceil(F.count_if(F.col(right)) / F.lit(BLOCK)).cast("int").alias("_rights"),
+    ).where("_lefts > 0 and _rights > 0")
+
+
 def in_cells(sets: DataFrame, left: str, right: str, percent: int, check, schema: str) -> DataFrame:
     """Runs ``check`` on every cell (block of ``left`` rows x block of ``right`` rows) of a component.
 
     ``sets`` has component, node, items (array<bigint>) and boolean columns ``left`` and
     ``right``. A block holds about BLOCK rows whatever the size of the component, so a
-    task holds two blocks at a time. ``check`` gets a Cell with the rows of both.
+    task holds two blocks at a time. ``check`` gets a Cell with the rows of both. Where left and
+    right are the same rows, a block travels once to the cell that compares it with itself.
+    Sets that come with ``block_numbers`` save a join.
     """
-    sizes = sets.groupBy("component").agg(
-        F.ceil(F.count_if(F.col(left)) / F.lit(BLOCK)).cast("int").alias("_lefts"),
-        F.ceil(F.count_if(F.col(right)) / F.lit(BLOCK)).cast("int").alias("_rights"),
-    ).where("_lefts > 0 and _rights > 0")
-    dealt = sets.join(sizes, "component")
+    same = left == right
+    dealt = sets if "_lefts" in sets.columns else sets.join(block_numbers(sets, left, right), "component")
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     others = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    lefts = dealt.where(left).withColumns({"_a": block("_lefts"), "side": F.lit(0)}).withColumn("_b", others("_rights"))
+    lefts = dealt.where(left).withColumns({"_a": block("_lefts"), "_b": others("_rights")}).withColumn(
+        "side", F.when(F.lit(same) & (F.col("_a") == F.col("_b")), F.lit(BOTH)).otherwise(F.lit(0))
+    )
     rights = dealt.where(right).withColumns({"_b": block("_rights"), "side": F.lit(1)}).withColumn("_a", others("_lefts"))
+    if same:
+        rights = rights.where("_a <> _b")
     both = lefts.unionByName(rights).drop("_lefts", "_rights")
     dealt = both.repartition("component", "_a", "_b").sortWithinPartitions("component", "_a", "_b", "side")
     return dealt.mapInArrow(lambda batches: cell_results(batches, percent, check), schema)
@@ -124,7 +139,12 @@ def results_of(table: pa.Table, starts: np.ndarray, percent: int, check) -> pa.R
     node, side, mark = table["node"].to_numpy(), table["side"].to_numpy(), table[check.mark].to_pylist()
     found = []
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        found += check(Cell(b - a - int(side[a:b].sum()), node[a:b], items, at[a:b + 1], mark[a:b]), percent)
+        if side[a] == BOTH:
+            own, ends = np.tile(items[at[a]:at[b]], 2), at[a:b + 1] - at[a]
+            cell = Cell(b - a, np.tile(node[a:b], 2), own, np.concatenate([ends, ends[1:] + ends[-1]]), mark[a:b])
+        else:
+            cell = Cell(b - a - int(side[a:b].sum()), node[a:b], items, at[a:b + 1], mark[a:b])
+        found += check(cell, percent)
     columns = list(zip(*found)) or [()] * len(check.names)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, check.types)], check.names)
 
@@ -161,15 +181,46 @@ def tree_links(cell: Cell, percent: int) -> list[tuple[int, int]]:
 tree_links.mark, tree_links.names, tree_links.types = "matched", ["u", "v"], [pa.int64(), pa.int64()]
 
 
+def shared_counts(cell: Cell) -> Iterator[tuple[int, np.ndarray]]:
+    """|left ∩ right| of a cell in blocks: (first right row, rights x lefts).
+
+    Left items are sorted once; each right item is looked up and adds one to the left rows
+    that hold it. A block expands at most MATCHES hits, or those of one right row.
+    """
+    flat, at = cell.left()
+    by = np.argsort(flat, kind="stable")
+    held, owner = flat[by], np.repeat(np.arange(cell.lefts), np.diff(at))[by]
+    ends = cell.at[cell.lefts:] - cell.at[cell.lefts]
+    items = cell.items[cell.at[cell.lefts]:cell.at[-1]]
+    low, high = np.searchsorted(held, items), np.searchsorted(held, items, "right")
+    hits = np.concatenate([[0], np.cumsum(high - low)])
+    bounds, start = hits[ends], 0
+    while start < len(ends) - 1:
+        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + MATCHES, "right")) - 1)
+        a, b = ends[start], ends[stop]
+        n = high[a:b] - low[a:b]
+        left = owner[np.repeat(low[a:b] - hits[a:b], n) + np.arange(hits[a], hits[b])]
+        right = np.repeat(np.repeat(np.arange(stop - start), np.diff(ends[start:stop + 1])), n)
+        yield start, np.bincount(right * cell.lefts + left, minlength=(stop - start) * cell.lefts).reshape(-1, cell.lefts)
+        start = stop
+
+
 def link_counts(cell: Cell, percent: int) -> list[tuple]:
     """Per right node of a cell: number of linked left nodes, and the smallest ``rank`` of them."""
-    nodes, (flat, at), found = cell.node[:cell.lefts], cell.left(), []
-    sizes = np.diff(at)
-    for k, node in enumerate(cell.node[cell.lefts:].tolist()):
-        mine = cell.right(k)
-        shared = overlap_counts(flat, at, mine)
-        linked = np.flatnonzero((100 * shared >= percent * (sizes + len(mine) - shared)) & (nodes != node) & (sizes > 0))
-        found.append((node, len(linked), min((cell.mark[x] for x in linked.tolist()), default=None)))
+    nodes, rights = cell.node[:cell.lefts], cell.node[cell.lefts:]
+    sizes = np.diff(cell.at)
+    left, right = sizes[:cell.lefts], sizes[cell.lefts:]
+    by = sorted(range(cell.lefts), key=cell.mark.__getitem__)
+    place = np.empty(cell.lefts, np.int64)
+    place[by] = np.arange(cell.lefts)
+    found = []
+    for start, shared in shared_counts(cell):
+        rows = slice(start, start + len(shared))
+        linked = 100 * shared >= percent * (left + right[rows, None] - shared)
+        linked &= (nodes != rights[rows, None]) & (left > 0)
+        first = np.where(linked, place, cell.lefts).min(axis=1, initial=cell.lefts).tolist()
+        ranks = [cell.mark[by[x]] if x < cell.lefts else None for x in first]
+        found += zip(rights[rows].tolist(), linked.sum(axis=1).tolist(), ranks)
     return found
 
 

@@ -297,9 +297,11 @@ def line_verdicts(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     dealt = postings(texts, order, hot_rank, percent, min_words).repartition("cell").sortWithinPartitions("cell", "place", "node")
     groups = stored(graph.components(dealt.mapInArrow(lambda batches: close_rows(batches, percent), "u long, v long")), "line-groups")
     asked = asked_sets(texts, order, min_words, share(filter_bits(groups)))  # FILTER_BITS / 8 bytes
-    sets = (
-        asked.join(groups, "node").dropDuplicates(["node"])
-        .join(classes.select("node", F.col("own").alias("rank")), "node").withColumn("all", F.lit(True))
+    members = groups.withColumn("all", F.lit(True))
+    members = members.join(graph.block_numbers(members, "all", "all"), "component")
+    sets = stored(  # both sides of the cells read it
+        asked.join(members, "node").dropDuplicates(["node"]).join(classes.select("node", F.col("own").alias("rank")), "node"),
+        "line-sets",
     )
     links = graph.in_cells(sets, "all", "all", percent, graph.link_counts, "node long, links long, first decimal(31,0)")
     links = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first"))
