@@ -26,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -130,8 +131,8 @@ def compared(part: pa.RecordBatch, order: Order, min_words: int) -> Compared:
 def scanned(docs: DataFrame, min_words: int) -> DataFrame:
     """One pass over the texts: a row per compared line, and rows that count the words of a hash class.
 
-    Line rows have doc_id, text_key, line, node, check, where (node, check) are the bits of the
-    line's set; count rows have class and n, null in the others.
+    Line rows have doc_id, text_key, line, leads (first compared line of its text), node, check,
+    where (node, check) are the bits of the line's set; count rows have class and n, null in the others.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,17 +144,17 @@ def scanned(docs: DataFrame, min_words: int) -> DataFrame:
                 owner, none = pa.array(found.owner), pa.nulls(len(found.owner), pa.int64())
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id").take(owner), "text_key": part.column("text_key").take(owner),
-                    "line": pa.array(found.number.astype(np.int32)), "node": pa.array(found.node), "check": pa.array(found.check),
-                    "class": none, "n": none,
+                    "line": pa.array(found.number.astype(np.int32)), "leads": pa.array(np.diff(found.owner, prepend=-1) != 0),
+                    "node": pa.array(found.node), "check": pa.array(found.check), "class": none, "n": none,
                 })
         seen = np.flatnonzero(total)
         none = pa.nulls(len(seen), pa.int64())
         yield pa.RecordBatch.from_pydict({
-            "doc_id": none, "text_key": none, "line": none.cast(pa.int32()), "node": none, "check": none,
+            "doc_id": none, "text_key": none, "line": none.cast(pa.int32()), "leads": none.cast(pa.bool_()), "node": none, "check": none,
             "class": pa.array(seen), "n": pa.array(total[seen]),
         })
 
-    return docs.mapInArrow(task, "doc_id long, text_key long, line int, node long, check long, class long, n long")
+    return docs.mapInArrow(task, "doc_id long, text_key long, line int, leads boolean, node long, check long, class long, n long")
 
 
 FIELDS = ("cell", "place", "node", "sketch_a", "sketch_b")
@@ -250,10 +251,10 @@ def close_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         held = {name: values[keep] for name, values in rows.items()}
 
 
-def filter_bits(groups: DataFrame) -> np.ndarray:
-    """One bit per hash class of the nodes in ``groups``, set if any is there: FILTER_BITS / 8 bytes."""
+def filter_bits(nodes: DataFrame) -> np.ndarray:
+    """One bit per hash class of ``nodes``, set if any is there: FILTER_BITS / 8 bytes."""
     place = F.pmod(F.col("node"), F.lit(FILTER_BITS)) + 1
-    maps = groups.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    maps = nodes.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     found = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in maps.toLocalIterator():
         part = np.frombuffer(row["bits"], np.uint8)
@@ -261,72 +262,128 @@ def filter_bits(groups: DataFrame) -> np.ndarray:
     return found
 
 
+def is_set(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
+    bit = node & (FILTER_BITS - 1)
+    return (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def asked_sets(docs: DataFrame, order, min_words: int, bits) -> DataFrame:
-    """node, items of the lines whose bit is set, once per slice of texts."""
+    """node, items, doc, line of the lines whose bit is set, once per slice of texts with their first place in it."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tokens.text_slices(batch):
                 lines = compared(part, order.value, min_words)
                 key, at = lines.key, lines.at
-                node, first = np.unique(lines.node, return_index=True)
-                bit = node & (FILTER_BITS - 1)
-                asked = np.flatnonzero(bits.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
-                rows = lines.chosen[first][asked]
+                doc = pc.fill_null(part.column("doc_id"), LAST).to_numpy()[lines.owner]
+                wanted = np.flatnonzero(is_set(bits.value, lines.node))
+                wanted = wanted[np.lexsort((lines.number[wanted], doc[wanted], lines.node[wanted]))]
+                node, first = np.unique(lines.node[wanted], return_index=True)
+                asked = wanted[first]
+                rows = lines.chosen[asked]
                 size = np.diff(at)[rows]
                 ends = np.concatenate([[0], np.cumsum(size)])
                 flat = np.arange(ends[-1]) - np.repeat(ends[:-1] - at[rows], size)
-                yield pa.RecordBatch.from_pydict({"node": pa.array(node[asked]), "items": tokens.lists(key[flat].view(np.int64), ends)})
+                yield pa.RecordBatch.from_pydict({
+                    "node": pa.array(node), "items": tokens.lists(key[flat].view(np.int64), ends),
+                    "doc": pa.array(doc[asked]), "line": pa.array(lines.number[asked].astype(np.int32)),
+                })
 
-    return docs.select("text").mapInArrow(task, "node long, items array<long>")
+    return docs.select("doc_id", "text").mapInArrow(task, "node long, items array<long>, doc long, line int")
 
 
-def line_verdicts(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per compared line: doc_id, text_key, line, node (its class), links, removed.
+def rank(doc: str):
+    """Place of a line in the whole corpus as one number."""
+    place = F.coalesce(doc, F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line")
+    return place.cast("decimal(31,0)")
 
-    ``links`` counts the other sets that the line's set is linked with.
+
+def shared_lines(lines: DataFrame, bits) -> DataFrame:
+    """The rows of ``lines`` whose bit is set."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(is_set(bits.value, batch.column("node").to_numpy())))
+
+    return lines.select("doc_id", "text_key", "line", "node", "check").mapInArrow(task, "doc_id long, text_key long, line int, node long, check long")
+
+
+def compared_and_shared(docs: DataFrame, percent: int, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """(lines, shared): every compared line (doc_id, text_key, line, leads, node, check), and what holds
+    for those with a link or an equal line: doc_id, text_key, line, links, removed.
+
+    A line that no other equals or is linked with needs no join: a bit per hash class of the
+    others' sets keeps it out.
     """
     texts = keyed(docs)
     both = stored(scanned(texts, min_words), "lines")
     order, hot_rank = rarity(both.where("class is not null"))
     share = docs.sparkSession.sparkContext.broadcast
     order = share(order)  # twice CLASSES numbers
-    place = F.coalesce("doc_id", F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line")
-    found = both.where("class is null").drop("class", "n").withColumn("rank", place.cast("decimal(31,0)"))
-    classes = stored(found.groupBy("node", "check").agg(F.min("rank").alias("own")), "line-classes")
+    found = both.where("class is null").drop("class", "n")
+    repeated = found.groupBy("node", "check").agg(F.min(rank("doc_id")).alias("own"), F.count("*").alias("n"))
+    repeated = stored(repeated.where("n > 1").drop("n"), "line-classes")
     dealt = postings(texts, order, hot_rank, percent, min_words).repartition("cell").sortWithinPartitions("cell", "place", "node")
     groups = stored(graph.components(dealt.mapInArrow(lambda batches: close_rows(batches, percent), "u long, v long")), "line-groups")
-    asked = asked_sets(texts, order, min_words, share(filter_bits(groups)))  # FILTER_BITS / 8 bytes
+    linkable = filter_bits(groups)
     members = groups.withColumn("all", F.lit(True))
     members = members.join(graph.block_numbers(members, "all", "all"), "component")
+    # FILTER_BITS / 8 bytes each
+    asked = asked_sets(texts, order, min_words, share(linkable)).select("node", "items", rank("doc").alias("rank"))
     sets = stored(  # both sides of the cells read it
-        asked.join(members, "node").dropDuplicates(["node"]).join(classes.select("node", F.col("own").alias("rank")), "node"),
+        asked.join(members, "node").groupBy("node", "component", "all", "_lefts", "_rights").agg(
+            F.min_by("items", "rank").alias("items"), F.min("rank").alias("rank")
+        ),
         "line-sets",
     )
     links = graph.in_cells(sets, "all", "all", percent, graph.link_counts, "node long, links long, first decimal(31,0)")
-    links = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first"))
-    judged = classes.join(links, "node", "left")
-    # by document, so that repeats and the lines of a document need one exchange
-    return found.join(judged, ["node", "check"]).repartition("doc_id", "text_key").select(
-        "doc_id", "text_key", "line", "node", F.coalesce("links", F.lit(0)).alias("links"),
-        ((F.col("rank") > F.col("own")) | F.coalesce(F.col("first") < F.col("own"), F.lit(False))).alias("removed"),
-    ).dropDuplicates(["doc_id", "text_key", "line"])
-
-
-def by_document(verdicts: DataFrame) -> DataFrame:
-    """doc_id, text_key, n_lines, n_links, removed (numbers of the lines that go, ascending)."""
-    return verdicts.groupBy("doc_id", "text_key").agg(
-        F.count("*").alias("n_lines"), F.sum("links").alias("n_links"),
-        F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("line")))).alias("removed"),
+    links = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first")).where("links > 0")
+    rows = shared_lines(found, share(linkable | filter_bits(repeated))).withColumn("rank", rank("doc_id"))
+    judged = rows.join(repeated, ["node", "check"], "left").join(links, "node", "left").select(
+        "doc_id", "text_key", "line", F.coalesce("links", F.lit(0)).alias("links"),
+        ((F.col("rank") > F.col("own")) | (F.col("first") < F.coalesce("own", "rank"))).alias("removed"),
+    )
+    return found, judged.withColumn("removed", F.coalesce("removed", F.lit(False))).where("links > 0 or removed")
+
+
+def line_verdicts(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per compared line: doc_id, text_key, line, node (its class), links, removed.
+
+    ``links`` counts the other sets that the line's set is linked with.
+    """
+    found, shared = compared_and_shared(docs, percent, min_words)
+    both = found.select("doc_id", "text_key", "line", "node", F.lit(0).alias("links"), F.lit(False).alias("removed")).unionByName(
+        shared.withColumn("node", F.lit(None).cast("long"))
+    )
+    return both.groupBy("doc_id", "text_key", "line").agg(
+        F.max("node").alias("node"), F.max("links").alias("links"), F.max("removed").alias("removed")
+    )
+
+
+def removed_lines(shared: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_links, removed (numbers of the lines that go, ascending); repeats of a document count once."""
+    return shared.dropDuplicates(["doc_id", "text_key", "line"]).groupBy("doc_id", "text_key").agg(
+        F.sum("links").alias("n_links"), F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("line")))).alias("removed")
+    )
+
+
+def by_document(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text_key, n_lines, n_links, removed (numbers of the lines that go, ascending) of documents with compared lines."""
+    found, shared = compared_and_shared(docs, percent, min_words)
+    counted = found.groupBy("doc_id", "text_key").agg((F.count("*") / F.count_if("leads")).cast("long").alias("n_lines"))
+    marked = removed_lines(shared).toDF("_id", "_key", "n_links", "removed")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    return counted.join(marked, same, "left").select(
+        "doc_id", "text_key", "n_lines", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
     )
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the removed lines; a document that has lost all its words goes."""
-    gone = by_document(line_verdicts(docs, percent, min_words)).where(F.size("removed") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "removed"
-    )
-    rows = docs.join(gone.withColumnRenamed("removed", "_removed"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left")
+    _, shared = compared_and_shared(docs, percent, min_words)
+    gone = removed_lines(shared.where("removed")).drop("n_links").toDF("_id", "_key", "_removed")
+    rows = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left")
     numbers = F.array_except(F.sequence(F.lit(0), F.size(F.split("text", "\n")) - 1), F.col("_removed"))
     lines = F.split("text", "\n")
     text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(
