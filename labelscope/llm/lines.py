@@ -339,7 +339,10 @@ def compared_and_shared(docs: DataFrame, percent: int, min_words: int) -> tuple[
     links = graph.in_cells(sets, "all", "all", percent, graph.link_counts, "node long, links long, first decimal(31,0)")
     links = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first")).where("links > 0")
     rows = shared_lines(found, share(linkable | filter_bits(repeated))).withColumn("rank", rank("doc_id"))
-    judged = rows.join(repeated, ["node", "check"], "left").join(links, "node", "left").select(
+    # classes first, so that lines move once; a class without an equal line has no check here
+    classes = repeated.join(links, "node", "full_outer").withColumnsRenamed({"node": "_node", "check": "_check"})
+    same = (F.col("node") == F.col("_node")) & (F.col("_check").isNull() | (F.col("check") == F.col("_check")))
+    judged = rows.join(classes, same).select(
         "doc_id", "text_key", "line", F.coalesce("links", F.lit(0)).alias("links"),
         ((F.col("rank") > F.col("own")) | (F.col("first") < F.coalesce("own", "rank"))).alias("removed"),
     )
@@ -362,7 +365,8 @@ def line_verdicts(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
 
 def removed_lines(shared: DataFrame) -> DataFrame:
     """doc_id, text_key, n_links, removed (numbers of the lines that go, ascending); repeats of a document count once."""
-    return shared.dropDuplicates(["doc_id", "text_key", "line"]).groupBy("doc_id", "text_key").agg(
+    once = shared.repartition("doc_id", "text_key").dropDuplicates(["doc_id", "text_key", "line"])  # one exchange for both
+    return once.groupBy("doc_id", "text_key").agg(
         F.sum("links").alias("n_links"), F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("line")))).alias("removed")
     )
 

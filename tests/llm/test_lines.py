@@ -48,6 +48,13 @@ def test_against_brute_force(frame, prose, grid, monkeypatch):
         assert (x.links, x.removed) == (links[words], gone), (d[1], k)
         both += gone and words not in seen
     assert both > 20  # some go for a line that is near but not equal
+    if not grid:
+        texts = {(x.doc_id, x.text_key): x for x in lines.by_document(frame(rows + rows[:9], DDL)).collect()}
+        for doc in {k[:2] for k in got}:
+            own = [x for k, x in sorted(got.items(), key=lambda i: i[0][2]) if k[:2] == doc]
+            x = texts.pop(doc)  # repeated rows change nothing
+            assert (x.n_lines, x.n_links, x.removed) == (len(own), sum(y.links for y in own), [y.line for y in own if y.removed])
+        assert not texts
 
 
 def test_texts_after_removal(frame):
