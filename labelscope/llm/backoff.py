@@ -2,19 +2,18 @@
 
 Tokens are the words of a text with A-Z lower-cased, then one end mark. The model is learned
 from all training texts: p1(w) = (c + 0.5) / (N + 0.5 (V + 1)) over single tokens, and for a
-previous token v, p(w | v) = (c(v, w) + (MU + c'(v)) p1(w)) / (c(v) + MU) for the kept pairs,
-where c'(v) counts the pairs of v that are not kept; both sum to one. A pair is kept when it makes up at least
-1 / PAIRS of all tokens, so there are at most PAIRS of them.
+previous token v, p(w | v) = (c(v, w) + (MU + c'(v)) p1(w)) / (c(v) + MU), where c'(v) counts the
+pairs of v that the model leaves out; both sum to one. It keeps every pair; with PAIRS set, a pair
+is kept when it makes up at least 1 / PAIRS of all tokens.
 
-The automaton has a state per token that starts a kept pair, one for the start of a text, and
-the root. A kept pair is an arc with its log probability; any other token takes the state's
-failure arc, log((MU + c'(v)) / (c(v) + MU)), and then the root's arc, log p1. One pass over a
-text, left to right, carries the state and adds up the arcs.
+log p(w | v) is the root's arc log p1(w), plus the failure weight log((MU + c'(v)) / (c(v) + MU)) of
+the previous token, plus the gain log(1 + c(v, w) / ((MU + c'(v)) p1(w))) of a kept pair. So a text's score
+is the sum of root arcs and failure weights of its tokens and of the gains of its pairs.
 
-Tokens that make up at least 1 / WORDS of all (at most WORDS) are in the automaton. The rest go through
-one join with the table of all token counts: their root arcs are the same for the base score and
-the model, and are added per text. Counts and that join grow with the corpus; what tasks hold
-does not.
+Tokens and pairs that make up at least 1 / WORDS and 1 / ARCS of all tokens (at most WORDS and ARCS) are
+broadcast. The rest, however many, go through joins by token and by pair and are added per text. These
+two numbers change what is joined and not the scores. Counts and joins grow with the corpus; what tasks hold
+does not. Tokens and pairs are known by 64-bit hashes.
 
 A null text is empty: it has the end mark alone. A null doc_id counts as the empty text for the
 split, so it trains. Repeated rows are counted and scored as often as they occur. Without
@@ -23,7 +22,6 @@ training texts N and V are 0 and every token is unknown. Extra columns are ignor
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -35,40 +33,36 @@ from pyspark.sql import functions as F
 from labelscope.llm import tokens
 from labelscope.runtime import stored
 
-WORDS, PAIRS = 1 << 20, 1 << 16
+WORDS, ARCS = 1 << 20, 1 << 20
+#: Inverse of the share of all tokens from which the model keeps a pair; None keeps every pair.
+PAIRS = None
 MU = 1000.0
 CHUNK = 1 << 21
-END, START, ROOT = np.uint64(0xE4D), 0, -1
-UNIT = 1 << 21
+END, START = np.uint64(0xE4D), np.uint64(0x57A)
 
 
 class Automaton(NamedTuple):
-    """``hashes``: sorted token hashes, token k has id k + 1; ``root``: log10 p1 by id;
-    ``arcs``: state * UNIT + id -> log10 p; ``failure``: state -> log10 weight."""
+    """``hashes``: sorted token hashes, token k has id k + 1; ``root``, ``failure``: log10 p1 and failure weight by id;
+    ``start``: failure weight of the start of a text; ``arcs``, ``gains``: sorted pair hashes and their gain."""
 
     hashes: np.ndarray
     root: np.ndarray
-    arcs: dict[int, float]
-    failure: dict[int, float]
+    failure: np.ndarray
+    start: float
+    arcs: np.ndarray
+    gains: np.ndarray
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of tokens; 0 for those outside."""
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[place] == hashes, place + 1, 0)
-
-    def score(self, ids: list[int], root: list[float]) -> float:
-        """Sum of arcs; ``root`` has the root arc of each token (0 where a join adds it)."""
-        arcs, failure, total, state = self.arcs, self.failure, 0.0, START
-        for token, alone in zip(ids, root):
-            if state == ROOT:
-                total += alone
-            else:
-                arc = arcs.get(state * UNIT + token)
-                total += failure[state] + alone if arc is None else arc
-            state = token if token and token in failure else ROOT  # 0 stands for any token outside
-        return total
+        return places(self.hashes, hashes) + 1
+
+
+def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Index of each key in ``sorted_keys``; -1 where it is not there."""
+    if not len(sorted_keys):
+        return np.full(len(keys), -1)
+    place = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return np.where(sorted_keys[place] == keys, place, -1)
 
 
 def held_out() -> Column:
@@ -97,9 +91,19 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray,
         yield held
 
 
-def counted(keys: np.ndarray, name: str) -> pa.RecordBatch:
-    found, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_pydict({name: pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+def before(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The token before each one; START at the first of a text."""
+    first = np.ones(len(row), bool)
+    first[1:] = row[1:] != row[:-1]
+    return np.where(first, START, np.concatenate([[START], hashes[:-1]]))
+
+
+def pair_keys(prev: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return tokens.mixed(tokens.mixed(prev) + word)
+
+
+def signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(hashes.view(np.int64))
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -107,81 +111,110 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
     def task(batches):
         for held in chunks(batches):
-            yield counted(np.concatenate([hashes for _, hashes in held]), "word")
+            found, n = np.unique(np.concatenate([hashes for _, hashes in held]), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"word": signed(found), "n": pa.array(n)})
 
     return texts.select("text").mapInArrow(task, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def pair_counts(texts: DataFrame, frequent) -> DataFrame:
-    """pair (previous id * UNIT + id), c: over pairs of the tokens in the broadcast ``frequent``; id 0 is the start."""
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """prev, word (hashes), n: count of each pair of neighbours in ``texts``."""
 
     def task(batches):
-        hashes = frequent.value
-        table = Automaton(hashes, np.zeros(0), {}, {})
         for held in chunks(batches):
-            keys = []
-            for row, found in held:
-                ids = table.ids(found)
-                before = np.concatenate([[0], ids[:-1]])
-                first = np.ones(len(row), bool)
-                first[1:] = row[1:] != row[:-1]
-                before[first] = START
-                keys.append((before * UNIT + ids)[(ids > 0) & (first | (before > 0))])
-            yield counted(np.concatenate(keys).astype(np.uint64), "pair")
+            word = np.concatenate([hashes for _, hashes in held])
+            prev = np.concatenate([before(*part) for part in held])
+            _, first, n = np.unique(pair_keys(prev, word), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"prev": signed(prev[first]), "word": signed(word[first]), "n": pa.array(n)})
+
+    return texts.select("text").mapInArrow(task, "prev long, word long, n long").groupBy("prev", "word").agg(F.sum("n").alias("n"))
 
-    return texts.select("text").mapInArrow(task, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("c"))
 
+def with_spare(counts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``counts`` with spare = MU + c'(v). When all pairs are kept, every token but the end mark starts as many as it occurs."""
+    if PAIRS is None:
+        kept = F.when(F.col("word") == int(END), F.lit(0)).otherwise(F.col("c"))
+        return counts.withColumn("spare", MU + F.col("c") - kept)
+    starts = pairs.groupBy(F.col("prev").alias("word")).agg(F.sum("n").alias("_kept"))
+    return counts.join(starts, "word", "left").select("word", "c", (MU + F.col("c") - F.coalesce("_kept", F.lit(0))).alias("spare"))
 
-def build(texts: DataFrame, counts: DataFrame, total: int, distinct: int, documents: int) -> Automaton:
-    """The automaton of the stored token ``counts``; at most WORDS tokens and PAIRS arcs come to the driver."""
+
+def build(words: DataFrame, pairs: DataFrame, total: int, distinct: int, documents: int) -> Automaton:
+    """The automaton of the stored ``words`` and ``pairs``; at most WORDS tokens and ARCS pairs come to the driver."""
     log_p1 = lambda c: np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
-    context = counts.sparkSession.sparkContext
-    known = counts.where(F.col("c") * WORDS >= total).toArrow()
-    hashes, c = known["word"].to_numpy().view(np.uint64), known["c"].to_numpy()
+    known = words.where(F.col("c") * WORDS >= total).toArrow()
+    hashes, c, spare = known["word"].to_numpy().view(np.uint64), known["c"].to_numpy(), known["spare"].to_numpy()
     order = np.argsort(hashes)
-    hashes, c = hashes[order], c[order]
-    often = c * PAIRS >= total
-    frequent = hashes[often]
-    ids = np.concatenate([[0], np.flatnonzero(often) + 1])  # id among frequent -> id among all
-    occurs = np.concatenate([[documents], c])
-    pairs = pair_counts(texts, context.broadcast(frequent)).where(F.col("c") * PAIRS >= total).toArrow()
-    key, n = pairs["pair"].to_numpy(), pairs["c"].to_numpy()
-    state, token = ids[key // UNIT], ids[key % UNIT]
-    kept = np.bincount(state, weights=n, minlength=len(occurs)) if len(state) else np.zeros(len(occurs))
-    spare = MU + occurs - kept
-    p1 = np.concatenate([[1.0], 10.0 ** log_p1(c)])
-    weight = (n + spare[state] * p1[token]) / (occurs[state] + MU)
-    states = np.union1d(state, [START]).astype(np.int64)
+    hashes, c, spare = hashes[order], c[order], spare[order]
+    kept = pairs.where(F.col("prev") == int(START)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    start = MU + documents - kept
+    root = np.concatenate([[0.0], log_p1(c)])
+    found = pairs.where(F.col("n") * arcs_of() >= total).toArrow()
+    prev, word, n = found["prev"].to_numpy().view(np.uint64), found["word"].to_numpy().view(np.uint64), found["n"].to_numpy()
+    left = np.concatenate([[start], spare])[places(hashes, prev) + 1]  # a previous token that is not there is START
+    gains = np.log10(1 + n / (left * 10.0 ** root[places(hashes, word) + 1]))
+    keys = pair_keys(prev, word)
+    order = np.argsort(keys)
     return Automaton(
-        hashes, np.concatenate([[0.0], log_p1(c)]),
-        dict(zip((state * UNIT + token).tolist(), np.log10(weight).tolist())),
-        dict(zip(states.tolist(), np.log10(spare[states] / (occurs[states] + MU)).tolist())),
+        hashes, root, np.concatenate([[0.0], np.log10(spare / (c + MU))]), float(np.log10(start / (documents + MU))), keys[order], gains[order]
     )
 
 
+def arcs_of() -> int:
+    """A broadcast pair's tokens are broadcast too."""
+    return min(ARCS, WORDS)
+
+
+def joined_pairs(pairs: DataFrame, words: DataFrame, automaton, total: int, p1, start: float) -> DataFrame:
+    """pair (hash), gain: of the pairs that are not broadcast. p1 of the broadcast tokens needs no join."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Automaton = automaton.value
+        for batch in batches:
+            prev, word = (batch.column(x).to_numpy().view(np.uint64) for x in ("prev", "word"))
+            ids = model.ids(word)
+            yield pa.RecordBatch.from_pydict({
+                "prev": batch.column("prev"), "word": batch.column("word"), "n": batch.column("n"), "pair": signed(pair_keys(prev, word)),
+                "p1": pa.array(10.0 ** model.root[ids], mask=ids == 0),
+            })
+
+    rare = pairs.where(F.col("n") * arcs_of() < total).mapInArrow(task, "prev long, word long, n long, pair long, p1 double")
+    if PAIRS is None:
+        rare = rare.withColumn("spare", F.lit(MU))
+    else:
+        first = words.sparkSession.createDataFrame([(int(START), start)], "prev long, spare double")
+        rare = rare.join(words.select(F.col("word").alias("prev"), "spare").union(first), "prev")
+    gain = lambda p: F.log10(1 + F.col("n") / (F.col("spare") * p)).alias("gain")
+    here = rare.where("p1 is not null").select("pair", gain(F.col("p1")))
+    return here.union(rare.where("p1 is null").join(words.select("word", "c"), "word").select("pair", gain(p1("c"))))
+
+
 def traverse(docs: DataFrame, automaton) -> DataFrame:
-    """doc_id, held_out, n_tokens, known, base, score over tokens in the automaton, and the ``rest`` of the words."""
+    """doc_id, held_out, n_tokens, known, base, score over what is broadcast, and the ``rest`` of the words and ``pairs``."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Automaton = automaton.value
         for batch in batches:
             for part in tokens.text_slices(batch):
-                rows = part.num_rows
                 row, hashes = with_ends(part.column("text"))
-                ids, at = model.ids(hashes), tokens.segments(row, rows)
-                root, outside = model.root[ids], ids == 0
-                id_list, root_list = ids.tolist(), root.tolist()
-                bounds = list(zip(at[:-1].tolist(), at[1:].tolist()))
+                ids, at = model.ids(hashes), tokens.segments(row, part.num_rows)
+                keys = pair_keys(before(row, hashes), hashes)
+                arc, outside = places(model.arcs, keys), ids == 0
+                gain = np.concatenate([model.gains, [0.0]])[arc]
+                per_text = lambda values: np.add.reduceat(values, at[:-1])  # every text has its end mark
+                base = per_text(model.root[ids])
+                some = lambda values, which: tokens.lists(
+                    values[which].view(np.int64), np.concatenate([[0], np.cumsum(per_text(which.astype(np.int64)))])
+                )
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "n_tokens": pa.array(np.diff(at)),
-                    "known": pa.array(tokens.summed((~outside).astype(np.int64), at)),
-                    "base": pa.array([math.fsum(root_list[a:b]) for a, b in bounds], pa.float64()),
-                    "score": pa.array([model.score(id_list[a:b], root_list[a:b]) for a, b in bounds], pa.float64()),
-                    "rest": tokens.lists(hashes[outside].view(np.int64), np.concatenate([[0], np.cumsum(tokens.summed(outside.astype(np.int64), at))])),
+                    "known": pa.array(per_text((~outside).astype(np.int64))), "base": pa.array(base),
+                    "score": pa.array(base + model.start + per_text(model.failure[ids] + gain)),
+                    "rest": some(hashes, outside), "pairs": some(keys, arc < 0),
                 })
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out")).mapInArrow(
-        task, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>"
+        task, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>, pairs array<long>"
     )
 
 
@@ -190,19 +223,27 @@ def score(docs: DataFrame) -> DataFrame:
     texts = docs.where(~held_out())
     counts = stored(token_counts(texts), "token-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    ends = counts.where(F.col("word") == int(END.view(np.int64))).select("c").first()
-    model = build(texts, counts, total, distinct, ends[0] if ends else 0)
-    rows = stored(
-        traverse(docs, docs.sparkSession.sparkContext.broadcast(model)).withColumn("row", F.monotonically_increasing_id()),
-        "traversed",
-    )
-    log_p1 = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(total + 0.5 * (distinct + 1)))
+    ends = counts.where(F.col("word") == int(END)).select("c").first()
+    documents = ends[0] if ends else 0
+    pairs = pair_counts(texts)
+    pairs = stored(pairs if PAIRS is None else pairs.where(F.col("n") * PAIRS >= total), "pair-counts")
+    words = counts.transform(with_spare, pairs)
+    words = words if PAIRS is None else stored(words, "token-spares")
+    model = build(words, pairs, total, distinct, documents)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = stored(traverse(docs, shared).withColumn("row", F.monotonically_increasing_id()), "traversed")
+    p1 = lambda c: (F.coalesce(c, F.lit(0)) + 0.5) / F.lit(total + 0.5 * (distinct + 1))
     rest = (
-        rows.select("row", F.explode("rest").alias("word")).join(counts, "word", "left")
-        .groupBy("row").agg(F.sum(log_p1).alias("_root"), F.count_if(F.col("c") > 0).alias("_known"))
+        rows.select("row", F.explode("rest").alias("word")).join(words, "word", "left").groupBy("row").agg(
+            F.sum(F.log10(p1("c"))).alias("_root"), F.count_if(F.col("c") > 0).alias("_known"),
+            F.sum(F.log10(F.col("spare") / (F.col("c") + MU))).alias("_failure"),
+        )
     )
-    more = lambda column, by: F.col(column) + F.coalesce(by, F.lit(0))
-    return rows.drop("rest").join(rest, "row", "left").select(
+    start = float(10.0 ** model.start * (documents + MU))
+    gains = rows.select("row", F.explode("pairs").alias("pair")).join(joined_pairs(pairs, words, shared, total, p1, start), "pair")
+    gains = gains.groupBy("row").agg(F.sum("gain").alias("_gain"))
+    more = lambda column, *by: sum((F.coalesce(x, F.lit(0)) for x in by), F.col(column))
+    return rows.drop("rest", "pairs").join(rest, "row", "left").join(gains, "row", "left").select(
         "doc_id", "held_out", "n_tokens", more("known", "_known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        more("base", "_root").alias("base_score"), more("score", "_root").alias("score"),
+        more("base", "_root").alias("base_score"), more("score", "_root", "_failure", "_gain").alias("score"),
     )

@@ -67,6 +67,17 @@ def test_against_brute_force(frame, prose, words, pairs, chunk, monkeypatch):
         assert f[5:] == pytest.approx(w[5:], rel=1e-9)
 
 
+@pytest.mark.parametrize("arcs", [1 << 20, 300, 1])
+def test_rare_pairs_are_kept_in_large_corpora(frame, prose, arcs, monkeypatch):
+    monkeypatch.setattr(backoff, "ARCS", arcs)
+    rows = [*rows_of(prose), (904, "of " * 140_000, 0, "")]  # a pair that occurs once is no 1/65,536 of the tokens
+    assert not out(904)
+    wanted = {(i, t): w for (i, t, *_), w in zip(rows, brute(rows, 1 << 40))}
+    texts = {i: t for i, t, *_ in rows}
+    for f in backoff.score(frame(rows, DDL)).collect():
+        assert tuple(f)[5:] == pytest.approx(wanted[f.doc_id, texts[f.doc_id]][5:], rel=1e-9)
+
+
 def test_held_out_texts_gain_from_context(frame, prose):
     rows = [(k, " ".join(f"go {prose(j % 6, 1)} then {prose(j % 9 + 50, 2)} stop" for j in range(k, k + 60)), 0, "") for k in range(300)]
     held = backoff.score(frame(rows, DDL)).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
