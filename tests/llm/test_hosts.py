@@ -77,6 +77,22 @@ def test_against_brute_force(frame):
     assert {r.verdict for r in found.where("rule is null and host <> ''").collect()} == {"allow", "block"}
 
 
+def verdicts(frame, rows):
+    return {r.host: r.verdict for r in hosts.judge(frame([(k, f"http://{a}/", html, 0, "") for k, (a, html) in enumerate(rows)], DDL), (("bad/", "block"),)).collect()}
+
+
+def test_small_mass_counts(frame, monkeypatch):
+    links = [("far.org", "hub.org", 1), ("hub.org", "m.org", 1), ("m.org", "bad", 1)]
+    links += [(f"x{k}.org", to, 10**6) for k, to in enumerate(("bad", "m.org", "hub.org"))]  # others get nearly all of the distrust
+    monkeypatch.setattr(hosts, "host_links", lambda pages: frame(links, "from string, to string, links long"))
+    assert verdicts(frame, [("bad", ""), ("far.org", ""), ("free.org", "")]) == {"bad": "block", "far.org": "block", "free.org": "allow"}
+
+
+def test_far_hosts_and_links_without_scheme(frame):
+    rows = [("bad", "")] + [(f"h{k}.org", f"<a href='//{'bad' if k == 0 else f'h{k - 1}.org'}/x'>") for k in range(14)]
+    assert set(verdicts(frame, rows).values()) == {"block"}
+
+
 def test_empty(frame):
     assert hosts.judge(frame([], DDL), RULES).collect() == []
     assert hosts.judge(frame([(1, "http://a.org/", None, 0, "")], DDL), ()).collect()[0].verdict == "allow"
