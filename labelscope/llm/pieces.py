@@ -8,16 +8,18 @@ that no piece covers become byte pieces.
 
 A word is a run of spaces with what follows up to the next space or line feed; no piece goes over such
 a border, so words are independent. A text gets one space in front, as the model asks for. Words
-of more than LONGEST code points are cut every LONGEST. A U+2581 that a text itself holds is
+of any length are folded whole; those of more than SHORT code points with a heap, which takes n log n
+steps for n of them. A U+2581 that a text itself holds is
 encoded as bytes, so that decoding gives back every text.
 
-Words repeat: a task keeps the ids of the words it has seen, at most KEPT of them. Nothing is
+Words repeat: a task keeps the ids of the short words it has seen, at most KEPT of them. Nothing is
 shuffled. A null text counts as empty and has no ids. Rows come back as often as they came in;
 ``encode`` passes the columns named in ``keep`` through. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
@@ -32,10 +34,11 @@ from pyspark.sql import types as T
 from labelscope.llm import tokens
 
 SPACE = "▁"
-LONGEST = 64
+#: Code points of a word up to which its edges are folded from a list, and its ids are kept.
+SHORT = 64
 KEPT = 400_000
 PREFIX = -1.0
-WORD = re.compile(f" {{1,{LONGEST}}}[^ \n]{{0,{LONGEST}}}|[^ \n]{{1,{LONGEST}}}|\n")
+WORD = re.compile(" +[^ \n]*|[^ \n]+|\n")
 
 
 class PieceTable(NamedTuple):
@@ -88,13 +91,29 @@ def edges_of(word: str, table: PieceTable) -> list[tuple[float, int, int]]:
 
 
 def fold(word: str, table: PieceTable) -> list[int]:
-    """Ids of a word: the best edge over two neighbouring symbols is merged until there is none.
+    """Ids of a word: the best edge over two neighbouring symbols is merged until there is none."""
+    n = len(word)
+    ends = list(range(1, n + 1)) + [0]  # end of the symbol that starts here; 0 inside a symbol
+    (merge_list if n <= SHORT else merge_heap)(word, table, ends)
+    ids, at = [], 0
+    while at < n:
+        symbol = word[at:ends[at]]
+        k = table.ids.get(symbol)
+        if k is None:
+            ids.extend(table.byte_ids[b] for b in symbol.encode())
+        else:
+            ids.append(k)
+        at = ends[at]
+    return ids
+
+
+def merge_list(word: str, table: PieceTable, ends: list[int]) -> None:
+    """Merges the symbols in ``ends``.
 
     Edges are tried from the best down. A merge can make a better edge possible only if it
     starts or ends with the new symbol; the search then goes back to that edge.
     """
-    n, edges, k = len(word), edges_of(word, table), 0
-    ends = list(range(1, n + 1)) + [0]  # end of the symbol that starts here; 0 inside a symbol
+    edges, k = edges_of(word, table), 0
     while k < len(edges):
         _, start, end = edges[k]
         middle = ends[start]
@@ -109,22 +128,38 @@ def fold(word: str, table: PieceTable) -> list[int]:
                 k += 1
         else:
             k += 1
-    ids, at = [], 0
-    while at < n:
-        symbol = word[at:ends[at]]
-        k = table.ids.get(symbol)
-        if k is None:
-            ids.extend(table.byte_ids[b] for b in symbol.encode())
-        else:
-            ids.append(k)
-        at = ends[at]
-    return ids
+
+
+def merge_heap(word: str, table: PieceTable, ends: list[int]) -> None:
+    """The same merges; only edges over two present symbols are held, in a heap."""
+    n, longest, rank = len(word), table.longest, table.rank.get
+    heads = list(range(-1, n))  # start of the symbol that ends here, for ends of symbols
+    found = []
+
+    def add(start: int, end: int) -> None:
+        if end - start <= longest and (place := rank(word[start:end])) is not None and place > 0:
+            heapq.heappush(found, (place, start, end))
+
+    for start in range(n - 1):
+        add(start, start + 2)
+    while found:
+        _, start, end = heapq.heappop(found)
+        middle = ends[start]
+        if middle and middle < end and ends[middle] == end:
+            ends[start], ends[middle], heads[end] = end, 0, start
+            if start:
+                add(heads[start], end)
+            if end < n:
+                add(start, ends[end])
 
 
 def encode_text(text: str, table: PieceTable, known: dict[str, bytes]) -> bytes:
     """Ids of a text as 32-bit numbers in a row."""
     found = []
     for word in WORD.findall(" " + text if text else ""):
+        if len(word) > SHORT:
+            found.append(np.array(fold(word, table), np.int32).tobytes())
+            continue
         ids = known.get(word)
         if ids is None:
             if len(known) >= KEPT:

@@ -32,6 +32,15 @@ def test_corpus_words(spark):
     assert encoded(text) == LIBRARY.encode(text)
 
 
+def test_long_words():
+    r = random.Random(3)
+    letters = ["abcdefghijklmnopqrstuvwxyz", "etaoinshr", "abc-/._%0123456789ABCDEF", "中国日本語テストの文字", "é😀a ▁"[:3] + "b", " ", "e"]
+    for k, size in enumerate([65, 66, 100, 128, 129, 200, 700, 1500, 5000] * 8):
+        word = "".join(r.choices(letters[k % len(letters)], k=size))
+        assert encoded(f"a {word} b") == LIBRARY.encode(f"a {word} b"), word
+    assert encoded(" " * 700 + "x") == LIBRARY.encode(" " * 700 + "x")
+
+
 def test_operator(frame, monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 5)
     r = random.Random(1)
