@@ -225,4 +225,4 @@ def link_counts(cell: Cell, percent: int) -> list[tuple]:
 
 
 link_counts.mark, link_counts.names = "rank", ["node", "links", "first"]
-link_counts.types = [pa.int64(), pa.int64(), pa.decimal128(31, 0)]
+link_counts.types = [pa.int64(), pa.int64(), pa.binary()]

@@ -268,7 +268,7 @@ def is_set(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
 
 
 def asked_sets(docs: DataFrame, order, min_words: int, bits) -> DataFrame:
-    """node, items, doc, line of the lines whose bit is set, once per slice of texts with their first place in it."""
+    """node, items, doc, text_key, line of the lines whose bit is set, once per slice of texts with their first place in it."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,8 +276,9 @@ def asked_sets(docs: DataFrame, order, min_words: int, bits) -> DataFrame:
                 lines = compared(part, order.value, min_words)
                 key, at = lines.key, lines.at
                 doc = pc.fill_null(part.column("doc_id"), LAST).to_numpy()[lines.owner]
+                text_key = part.column("text_key").to_numpy()[lines.owner]
                 wanted = np.flatnonzero(is_set(bits.value, lines.node))
-                wanted = wanted[np.lexsort((lines.number[wanted], doc[wanted], lines.node[wanted]))]
+                wanted = wanted[np.lexsort((lines.number[wanted], text_key[wanted], doc[wanted], lines.node[wanted]))]
                 node, first = np.unique(lines.node[wanted], return_index=True)
                 asked = wanted[first]
                 rows = lines.chosen[asked]
@@ -286,16 +287,18 @@ def asked_sets(docs: DataFrame, order, min_words: int, bits) -> DataFrame:
                 flat = np.arange(ends[-1]) - np.repeat(ends[:-1] - at[rows], size)
                 yield pa.RecordBatch.from_pydict({
                     "node": pa.array(node), "items": tokens.lists(key[flat].view(np.int64), ends),
-                    "doc": pa.array(doc[asked]), "line": pa.array(lines.number[asked].astype(np.int32)),
+                    "doc": pa.array(doc[asked]), "text_key": pa.array(text_key[asked]), "line": pa.array(lines.number[asked].astype(np.int32)),
                 })
 
-    return docs.select("doc_id", "text").mapInArrow(task, "node long, items array<long>, doc long, line int")
+    return docs.select("doc_id", "text_key", "text").mapInArrow(task, "node long, items array<long>, doc long, text_key long, line int")
 
 
 def rank(doc: str):
-    """Place of a line in the whole corpus as one number."""
-    place = F.coalesce(doc, F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line")
-    return place.cast("decimal(31,0)")
+    """Place of a line in the whole corpus (document, hash of the text, line) as 20 bytes in the same order."""
+    # the flipped sign bit puts negative numbers first
+    digits = lambda number: F.lpad(F.hex(number.bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    place = F.concat(digits(F.coalesce(doc, F.lit(LAST))), digits(F.col("text_key")), F.lpad(F.hex("line"), 8, "0"))
+    return F.unhex(place)
 
 
 def shared_lines(lines: DataFrame, bits) -> DataFrame:
@@ -336,7 +339,7 @@ def compared_and_shared(docs: DataFrame, percent: int, min_words: int) -> tuple[
         ),
         "line-sets",
     )
-    links = graph.in_cells(sets, "all", "all", percent, graph.link_counts, "node long, links long, first decimal(31,0)")
+    links = graph.in_cells(sets, "all", "all", percent, graph.link_counts, "node long, links long, first binary")
     links = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first")).where("links > 0")
     rows = shared_lines(found, share(linkable | filter_bits(repeated))).withColumn("rank", rank("doc_id"))
     # classes first, so that lines move once; a class without an equal line has no check here

@@ -67,6 +67,17 @@ def test_texts_after_removal(frame):
     assert lines.dedup_lines(frame([], DDL)).collect() == []
 
 
+def test_equal_lines_at_one_place(frame):
+    head, near = "a b c d e f g h i j", "a b c d e f g h i k"
+    rows = [(None, f"{head}\none own line of words here", "", 0), (None, f"{head}\ntwo other words in this line", "", 0), (None, f"{near}\nthe third of the three texts", "", 0),
+            (-7, "p q r s t\nfirst text of an id", "", 0), (-7, "p q r s t\nsecond one of that same id", "", 0)]
+    texts = {x.text: x.text_key for x in lines.keyed(frame(rows, DDL)).collect()}
+    removed = {x.text_key: x.removed for x in lines.by_document(frame(rows, DDL)).collect()}
+    for group in (rows[:3], rows[3:]):
+        first, *others = sorted(texts[t] for _, t, *_ in group)
+        assert removed[first] == [] and all(removed[k] == [0] for k in others)
+
+
 def test_overlap_bound():
     for a in range(1, 40):
         for b in range(1, 40):
