@@ -3,7 +3,8 @@
 A line's set has its distinct words. Two lines are linked when the Jaccard similarity of their
 sets reaches the threshold (80 percent); a line goes when a linked line, or one with an equal
 set, comes before it. Lines come in order of doc_id (null last), then a hash of the text, then
-line number. Lines with fewer than ``min_words`` distinct words are left alone: they are too short to tell.
+line number. Lines with fewer than ``min_words`` distinct words are left alone;
+with 1, every line that has a word is compared.
 
 Method: words are ordered by rarity (counts of 65,536 hash classes over the whole corpus; the
 order is total, so the class count affects speed only). Lines with equal sets collapse. A line's
@@ -173,7 +174,10 @@ def postings(docs: DataFrame, order, hot_rank: int, percent: int, min_words: int
                 lines = compared(part, order.value, min_words)
                 line, key, at = lines.line, lines.key, lines.at
                 node, first = np.unique(lines.node, return_index=True)
-                chosen, n = lines.chosen[first], np.diff(at)
+                n = np.diff(at)
+                # a smaller set can only be linked with an equal one, which needs no prefix
+                able = 100 * n[lines.chosen[first]] >= percent * (n[lines.chosen[first]] + 1)
+                node, chosen = node[able], lines.chosen[first][able]
                 sketch = parity(line, key, len(n))[chosen]
                 n = n[chosen]
                 size = n - (-(-percent * n // 100)) + 1

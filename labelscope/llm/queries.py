@@ -117,7 +117,7 @@ def op7_backoff(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_lines")
 def op3_lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    per_text = lines.by_document(docs)
+    per_text = lines.by_document(docs, min_words=1)
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
     same = rows["doc_id"].eqNullSafe(per_text["doc_id"]) & (rows["text_key"] == per_text["text_key"])
     return rows.join(per_text, same, "left").select(

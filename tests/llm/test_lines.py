@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 from labelscope.llm import lines
+from labelscope.llm.queries import QUERIES
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 DDL = "doc_id long, text string, node string, line int"
@@ -67,6 +68,19 @@ def test_texts_after_removal(frame):
     assert lines.dedup_lines(frame([], DDL)).collect() == []
 
 
+def test_short_lines_of_the_query(spark, frame, tmp_path):
+    short = ["Read more", "top", "a b c d", "a b c d e", "p q r", "p q", "Read  more "]
+    rows = [(k, "\n".join([line, "", f"{k} own{k} words{k} of{k} it{k} {k}x"]), "", 0) for k, line in enumerate(short + short[:2])]
+    frame(rows, DDL).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {x.doc_id: x for x in QUERIES["op3_lines"](spark, str(tmp_path)).collect()}
+    docs, compared, links, linked = brute(rows, min_words=1)
+    for d in docs:
+        gone = [k for e, k, s in compared if e == d and any(linked(s, o) for f, j, o in compared if (f[1], j) < (e[1], k))]
+        own = [s for e, _, s in compared if e == d]
+        assert (found[d[1]].removed, found[d[1]].n_links, found[d[1]].n_lines) == (gone, sum(links[s] for s in own), len(own))
+    assert found[3].removed == found[6].removed == found[7].removed == [0] and found[4].removed == []
+
+
 def test_equal_lines_at_one_place(frame):
     head, near = "a b c d e f g h i j", "a b c d e f g h i k"
     rows = [(None, f"{head}\none own line of words here", "", 0), (None, f"{head}\ntwo other words in this line", "", 0), (None, f"{near}\nthe third of the three texts", "", 0),
