@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelscope.llm import backoff, hosts, lines, minhash, mixing, pieces, pii, quality, quotes, topk
+from labelscope.llm import backoff, hosts, lines, minhash, mixing, pieces, pii, quality, quotes, runs, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,8 @@ def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+@query("op12_runs")
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digest_columns(runs.runs_by_text(table(spark, folder, "documents"), runs.planted))
