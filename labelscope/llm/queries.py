@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelscope.llm import backoff, hosts, lines, minhash, mixing, pieces, pii, quality, quotes, runs, topk
+from labelscope.llm import align, backoff, hosts, lines, minhash, mixing, pieces, pii, quality, quotes, runs, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +144,12 @@ def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_runs")
 def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.digest_columns(runs.runs_by_text(table(spark, folder, "documents"), runs.planted))
+
+
+#: Byte-level BPE that op13 aligns with the pieces.
+BYTE_MODEL = os.environ.get("BYTE_MODEL", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.alignments(table(spark, folder, "documents"), align.load(BYTE_MODEL, PIECE_MODEL))
