@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelscope.llm import align, backoff, hosts, lines, minhash, mixing, pieces, pii, quality, quotes, runs, topk
+from labelscope.llm import align, backoff, hosts, lines, minhash, mixing, pieces, pii, quality, quotes, runs, topk, vertical
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,3 +153,8 @@ BYTE_MODEL = os.environ.get("BYTE_MODEL", "/opt/tokenizers/byte_bpe_50k.json")
 @query("op13_alignment")
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align.alignments(table(spark, folder, "documents"), align.load(BYTE_MODEL, PIECE_MODEL))
+
+
+@query("op11_vertical")
+def op11_vertical(spark: SparkSession, folder: str) -> DataFrame:
+    return vertical.components(table(spark, folder, "documents"), percent=80)
