@@ -26,9 +26,7 @@ class BayesModel:
         Each (row, term) meets one model row that carries all classes, so the join does not
         multiply rows by the number of classes.
         """
-        hits = weights.join(self.terms, "term")
-        sums = [F.sum(F.col("weight") * F.col("w")[i]) for i in range(len(self.classes))]
-        per_row = hits.groupBy("row_id").agg(F.array(*sums).alias("_s"))
+        per_row = weighted_sums(weights.join(self.terms, "term"), len(self.classes))
         start = F.lit(self.start)
         total = F.when(
             F.col("_s").isNotNull(), F.zip_with("_s", start, lambda a, b: a + b)
@@ -75,6 +73,12 @@ class BayesModel:
                           spark.read.parquet(f"{path}/terms"))
 
 
+def weighted_sums(hits: DataFrame, classes: int) -> DataFrame:
+    """(row_id, _s): per row the sum of weight * w over its hits (row_id, weight, w), class by class."""
+    sums = [F.sum(F.col("weight") * F.col("w")[i]) for i in range(classes)]
+    return hits.groupBy("row_id").agg(F.array(*sums).alias("_s"))
+
+
 def class_sums(weights: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], DataFrame, list[float]]:
     """Classes, their row counts, weight sums per term and class, and per class.
 

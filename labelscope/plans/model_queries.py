@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from labelscope.functions import scores as sc
+from labelscope.operators import audit as au
 from labelscope.operators import bayes as nb
 from labelscope.operators import features as ft
 from labelscope.operators import heads as hd
@@ -220,6 +221,58 @@ def _(spark, d):
     return tn.invariance_check(lambda rows: fitted.predict(rows, model.transform(rows)), test, "the", "der")
 
 
+# ---- suspicious labels: train rows, a twentieth of them under the label of another language
+
+FLIPPED = i.h("concat(row_id, ':flip')") + " % 20 = 0"
+OOF = f"""{C}, names AS (SELECT list_sort(list(DISTINCT label)) AS l FROM corpus WHERE split = 'train'),
+  given AS (SELECT row_id, text, CASE WHEN {FLIPPED} THEN l[list_position(l, label) % len(l) + 1] ELSE label END AS label
+            FROM corpus, names WHERE split = 'train'),
+  rows AS (SELECT row_id, label, text, true AS fit FROM given), {tfidf_sql()},
+  folds AS (SELECT row_id, label, (row_number() OVER (PARTITION BY label ORDER BY substr(md5(concat(row_id, ':42')), 1, 8), row_id) - 1) % 5 AS fold FROM given),
+  fw AS (SELECT f.row_id, f.label, f.fold, w.term, w.weight FROM weights w JOIN folds f ON f.row_id = w.row_id),
+  cell AS (SELECT term, label, fold, sum(weight) AS s FROM fw GROUP BY ALL),
+  whole AS (SELECT term, label, sum(s) AS s FROM cell GROUP BY ALL),
+  v AS (SELECT count(DISTINCT term) AS v FROM cell),
+  kf AS (SELECT k.c, f.fold, (SELECT count(*) FROM folds x WHERE x.label = k.c AND x.fold <> f.fold) AS nc,
+           (SELECT count(*) FROM folds x WHERE x.fold <> f.fold) AS n, (SELECT coalesce(sum(s), 0) FROM cell x WHERE x.label = k.c AND x.fold <> f.fold) AS t
+         FROM (SELECT DISTINCT label AS c FROM folds) k, (SELECT DISTINCT fold FROM folds) f),
+  ll AS (SELECT x.row_id, kf.c, sum(x.weight * (ln(greatest(coalesce(w.s, 0) - coalesce(e.s, 0), 0) + 1.0) - ln(kf.t + v))) AS l
+         FROM fw x JOIN kf ON kf.fold = x.fold, v LEFT JOIN whole w ON w.term = x.term AND w.label = kf.c
+         LEFT JOIN cell e ON e.term = x.term AND e.label = kf.c AND e.fold = x.fold GROUP BY ALL),
+  jll AS (SELECT f.row_id, f.label, kf.c, CASE WHEN kf.nc > 0 THEN ln(kf.nc / kf.n) + coalesce(ll.l, 0) ELSE -1e300 END AS s
+          FROM folds f JOIN kf ON kf.fold = f.fold LEFT JOIN ll ON ll.row_id = f.row_id AND ll.c = kf.c),
+  prob AS (SELECT row_id, label, c, round(exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY row_id), 9) AS p
+           FROM (SELECT *, max(s) OVER (PARTITION BY row_id) AS m FROM jll)),
+  lim AS (SELECT c, round(avg(p), 9) AS t FROM prob WHERE c = label GROUP BY c),
+  sure AS (SELECT row_id, arg_min(c, (-p, c)) AS confident, max(p) AS best FROM prob JOIN lim USING (c) WHERE p >= t GROUP BY row_id),
+  conf AS (SELECT o.row_id, o.label, s.confident, o.p AS own, s.best FROM prob o LEFT JOIN sure s USING (row_id) WHERE o.c = o.label)"""
+
+
+def confident(spark, d):
+    rows = i.train_part(i.corpus(spark, d))
+    names = sorted(r["label"] for r in rows.select("label").distinct().collect())
+    after = F.create_map(*[F.lit(x) for c, other in zip(names, names[1:] + names[:1]) for x in (c, other)])
+    flipped = i.hash_number(F.col("row_id"), ":flip") % 20 == 0
+    rows = rows.withColumn("label", F.when(flipped, after[F.col("label")]).otherwise(F.col("label")))
+    weights = ft.fit_tfidf(rows).transform(rows)
+    scored = stored(au.out_of_fold_scores(stored(sp.stratified_folds(rows, 5), "folds"), weights), "out-of-fold")
+    return stored(au.confident_labels(scored), "confident")
+
+
+@query("suspicious_labels", f"""WITH {OOF} SELECT row_id, label, confident AS suggested, round(own, 6) AS own, round(best, 6) AS best, round(round(best - own, 9), 6) AS margin,
+  row_number() OVER (ORDER BY round(best - own, 9) DESC, row_id) AS place FROM conf WHERE confident <> label""")
+def _(spark, d):
+    found = au.suspicious_labels(confident(spark, d))
+    return found.select("row_id", "label", "suggested", *[F.round(c, 6).alias(c) for c in ("own", "best", "margin")], "place")
+
+
+@query("confident_joint", f"""WITH {OOF} SELECT label, confident, n, round(n / sum(n) OVER (PARTITION BY label) * (SELECT count(*) FROM conf x WHERE x.label = j.label)
+    / (SELECT count(*) FROM conf x WHERE x.label IN (SELECT label FROM conf WHERE confident IS NOT NULL)), 6) AS share
+  FROM (SELECT label, confident, count(*) AS n FROM conf WHERE confident IS NOT NULL GROUP BY ALL) j""")
+def _(spark, d):
+    return au.confident_joint(confident(spark, d)).withColumn("share", F.round("share", 6))
+
+
 # ---- tuning
 
 HEAD_STEPS = [("alpha=0.1", {"alpha": 0.1}), ("uniform prior", {"fit_prior": False})]
