@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PCA, IndexToString, StringIndexer, Word2Vec
+from pyspark.ml.feature import PCA, StringIndexer, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelscope.functions import text as tx
@@ -40,6 +40,17 @@ class Head:
             "scores", classes.alias("classes"), F.lit(self.score_type).alias("score_type"),
         )
 
+    def save(self, path: str) -> None:
+        """The fitted model, its classes and the kind of its scores, below ``path``."""
+        self.model.save(f"{path}/model")
+        rows = [(k, c, self.score_type) for k, c in enumerate(self.classes)]
+        SparkSession.active().createDataFrame(rows, "i int, label string, score_type string").write.parquet(f"{path}/classes")
+
+    @staticmethod
+    def load(path: str) -> "Head":
+        rows = SparkSession.active().read.parquet(f"{path}/classes").orderBy("i").collect()  # one row per class
+        return Head(PipelineModel.load(f"{path}/model"), [r["label"] for r in rows], rows[0]["score_type"])
+
 
 def _fit(features: DataFrame, estimator, score_type: str, class_weight: str | None) -> Head:
     """Index labels in ascending order, attach weights, fit."""
@@ -70,19 +81,6 @@ def logistic_head(
     return _fit(features, estimator, "proba", class_weight)
 
 
-def svc_head(
-    features: DataFrame, C: float = 1.0, class_weight: str | None = None, max_iter: int = 5000
-) -> Head:
-    """One-vs-rest linear SVM; its margins are the scores."""
-    n = features.count()
-    one = LinearSVC(
-        featuresCol="features", labelCol="y", weightCol="w", regParam=1.0 / (C * n),
-        standardization=False, maxIter=max_iter,
-    )
-    many = OneVsRest(classifier=one, featuresCol="features", labelCol="y", weightCol="w", parallelism=4)
-    return _fit(features, many, "decision_function", class_weight)
-
-
 def sgd_head(
     features: DataFrame, alpha: float = 1e-4, loss: str = "hinge", class_weight: str | None = None,
     max_iter: int = 1000,
@@ -165,19 +163,13 @@ def decision_regions(coords: DataFrame, steps: int = 300, pad: float = 3.0) -> D
     )
 
 
-def word_vectors(corpus: DataFrame, dim: int = 32, min_count: int = 5, seed: int = 42):
-    """Fitted word embedding model; offers ``findSynonyms`` and ``getVectors``."""
+def word_vectors(corpus: DataFrame, dim: int = 32, min_count: int = 5, seed: int = 42, partitions: int = 8, passes: int = 4):
+    """Fitted word embedding model; offers ``findSynonyms`` and ``getVectors``.
+
+    The texts train in ``partitions`` parts side by side, whose vectors are averaged after each of
+    ``passes`` passes. More parts need more passes.
+    """
     tokens = corpus.select(tx.tokenise_alpha(F.col("text")).alias("tokens"))
     return Word2Vec(
-        vectorSize=dim, minCount=min_count, seed=seed, inputCol="tokens", outputCol="v", maxIter=1
+        vectorSize=dim, minCount=min_count, seed=seed, inputCol="tokens", outputCol="v", numPartitions=partitions, maxIter=passes
     ).fit(tokens)
-
-
-def label_pipeline(estimator) -> Pipeline:
-    """StringIndexer + estimator + IndexToString as one pipeline that can be saved."""
-    indexer = StringIndexer(inputCol="label", outputCol="y", stringOrderType="alphabetAsc", handleInvalid="keep")
-    return Pipeline(stages=[indexer, estimator])
-
-
-def decoded(predictions: DataFrame, labels: list[str]) -> DataFrame:
-    return IndexToString(inputCol="prediction", outputCol="y_pred", labels=labels).transform(predictions)

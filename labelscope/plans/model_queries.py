@@ -11,6 +11,7 @@ from labelscope.operators import audit as au
 from labelscope.operators import bayes as nb
 from labelscope.operators import features as ft
 from labelscope.operators import heads as hd
+from labelscope.operators import hinge as hg
 from labelscope.operators import metrics as mt
 from labelscope.operators import neighbours as nn
 from labelscope.operators import split as sp
@@ -462,7 +463,8 @@ def head_query(name, features, fit):
 
 head_query("logreg_tfidf", tfidf_features, lambda t: hd.logistic_head(t, C=10, class_weight="balanced"))
 head_query("logreg_dense", vector_features, lambda t: hd.logistic_head(t, C=3))
-head_query("linear_svc", tfidf_features, lambda t: hd.svc_head(t))
+head_query("linear_svc", tfidf_features, lambda t: hg.squared_hinge_head(t))
+head_query("linear_svc_balanced", tfidf_features, lambda t: hg.squared_hinge_head(t, C=10, class_weight="balanced"))
 head_query("sgd_linear", tfidf_features, lambda t: hd.sgd_head(t, alpha=1e-4, class_weight="balanced"))
 head_query("sgd_log_loss", vector_features, lambda t: hd.sgd_head(t, alpha=1e-4, loss="log_loss"))
 head_query("tree_ensemble", vector_features, lambda t: hd.forest_head(t))
@@ -473,7 +475,7 @@ def _(spark, d):
     rows = i.vectors(spark, d)
     train, val = (stored(rows.where(c), "vectors") for c in (~i.vector_is_query(), i.vector_is_query()))
     return hd.head_comparison(train, val, {
-        "logreg": lambda t: hd.logistic_head(t, C=3), "linear_svc": lambda t: hd.svc_head(t)})
+        "logreg": lambda t: hd.logistic_head(t, C=3), "linear_svc": lambda t: hg.squared_hinge_head(t)})
 
 
 @query("project_vectors")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from labelscope.operators import features as ft
 from labelscope.operators import heads as hd
+from labelscope.operators import hinge as hg
 from labelscope.operators import metrics as mt
 from labelscope.operators import neighbours as nn
 from labelscope.operators import tuning as tn
@@ -171,7 +172,7 @@ def blobs(spark, n=240):
 def test_heads_beat_the_majority(spark):
     df = blobs(spark)
     features = stored(ft.dense_features(df, "v", ("vec_id", "label")).coalesce(1), "blobs")
-    heads = [hd.logistic_head(features, C=10, class_weight="balanced"), hd.svc_head(features),
+    heads = [hd.logistic_head(features, C=10, class_weight="balanced"), hg.squared_hinge_head(features),
              hd.sgd_head(features, loss="log_loss"), hd.forest_head(features)]
     for head in heads:
         got = head.predict(features)
