@@ -81,6 +81,11 @@ def drop_stopwords(tokens: Column, stop_words: list[str]) -> Column:
     return F.filter(tokens, lambda t: ~F.array_contains(stops, t))
 
 
+def words(text: Column) -> Column:
+    """Words of a whitespace split, in order."""
+    return F.regexp_extract_all(text, F.lit(NON_SPACE + "+"), F.lit(0))
+
+
 def word_count(text: Column) -> Column:
     """Words of a whitespace split: runs of other characters."""
     return F.regexp_count(text, F.lit(NON_SPACE + "+")).cast("bigint")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelscope.functions import scores as sc
-from labelscope.runtime import ranked, stored
+from labelscope.operators.selection import first_rows
+from labelscope.runtime import stored
 
 
 def scored_rows(predictions: DataFrame) -> DataFrame:
@@ -54,42 +58,25 @@ def topk_accuracy(predictions: DataFrame, kmax: int = 5) -> DataFrame:
 def risk_coverage(predictions: DataFrame, steps: int = 19) -> DataFrame:
     """Accuracy on the most confident share of the rows, for 5 % .. 100 % coverage.
 
-    The exact confidence order of a model comes from a range-partitioned rank, so it is
-    never sorted in one task. Rows are then counted between the cut-offs, and the few
-    counts are added up. Equal confidences (12 digits) are ordered by row_id.
+    Each of the cut-offs is found by confidence histograms that get finer, so nothing but the cells
+    around the cut-offs is ever ordered. Equal confidences (12 digits) are ordered by row_id; rows without a
+    confidence come last.
     """
-    rows = scored_rows(predictions).select("model_key", "row_id", "conf", "correct")
-    placed = ranked(rows, ["model_key"], [F.desc(F.round("conf", 12)), F.col("row_id")], "place")
-    totals = placed.groupBy("model_key").agg(F.count("*").alias("n"))
+    conf = F.round("conf", 12)
+    rows = stored(scored_rows(predictions).select(
+        "model_key", conf.isNull().cast("int").alias("missing"), F.coalesce(-conf, F.lit(0.0)).alias("doubt"), "row_id", F.coalesce("correct", F.lit(0)).alias("correct"),
+    ), "confidences")
     coverage = lambda i: F.lit(0.05) + i * F.lit(0.95 / (steps - 1))
+    answered = F.greatest(F.floor(coverage(F.col("i")) * F.col("rows") + 1e-9), F.lit(1)).cast("bigint")
     cuts = stored(
-        totals.select(
-            "model_key",
-            F.transform(
-                F.sequence(F.lit(0), F.lit(steps - 1)),
-                lambda i: F.greatest(F.floor(coverage(i) * F.col("n") + 1e-9), F.lit(1)).cast("bigint"),
-            ).alias("cuts"),
-        ),
+        rows.groupBy("model_key").agg(F.count("*").alias("rows"))
+        .select("model_key", "rows", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("i"))
+        .select("model_key", F.col("i").cast("bigint").alias("step"), F.round(coverage(F.col("i")), 6).alias("coverage"), answered.alias("n")),
         "coverage-cuts",
     )
-    between = (
-        placed.join(cuts, "model_key")
-        .groupBy("model_key", F.size(F.filter("cuts", lambda c: c < F.col("place"))).alias("i"))
-        .agg(F.sum("correct").alias("hits"))
-    )
-    so_far = (
-        Window.partitionBy("model_key").orderBy("i")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        cuts.select("model_key", F.posexplode("cuts").alias("i", "n_answered"))
-        .join(between, ["model_key", "i"], "left")
-        .withColumn("hits", F.sum(F.coalesce("hits", F.lit(0))).over(so_far))
-        .select(
-            "model_key", F.col("i").cast("bigint").alias("step"),
-            F.round(coverage(F.col("i")), 6).alias("coverage"), "n_answered",
-            F.round(F.col("hits") / F.col("n_answered"), 6).alias("accuracy"),
-        )
+    sums = first_rows(rows, cuts.select("model_key", "n").distinct(), "model_key", ["missing", "doubt", "row_id"], "correct")
+    return cuts.join(sums.select("model_key", "n", "hits"), ["model_key", "n"]).select(
+        "model_key", "step", "coverage", F.col("n").alias("n_answered"), F.round(F.col("hits") / F.col("n"), 6).alias("accuracy"),
     )
 
 
@@ -130,29 +117,98 @@ def cascade(predictions: DataFrame, cheap: str, costly: str, threshold: float) -
     ))
 
 
+def pooled(lo: np.ndarray, hi: np.ndarray, weight: np.ndarray, hits: np.ndarray) -> list[np.ndarray]:
+    """Pool adjacent violators: neighbouring blocks are joined until the shares hits / weight rise strictly."""
+    stack: list[list[float]] = []
+    for block in zip(lo.tolist(), hi.tolist(), weight.tolist(), hits.tolist()):
+        stack.append(list(block))
+        while len(stack) > 1 and stack[-2][3] * stack[-1][2] >= stack[-1][3] * stack[-2][2]:
+            top = stack.pop()
+            stack[-1] = [stack[-1][0], top[1], stack[-1][2] + top[2], stack[-1][3] + top[3]]
+    return [np.array(column, float) for column in zip(*stack)] or [np.zeros(0)] * 4
+
+
+BLOCKS = ("lo", "hi", "weight", "hits")
+
+
+def isotonic_blocks(rows: DataFrame, digits: int | None = None) -> DataFrame:
+    """(model_key, lo, hi, weight, hits): the steps of the isotonic regression of ``correct`` on ``conf`` per run.
+
+    Rows are counted per distinct confidence and dealt by ranges; each range pools its own violators, then the
+    blocks of all ranges of a run are pooled again, which gives the same steps as pooling all points at once. The
+    shares of the blocks rise strictly and their weights add up to the rows, so a run of n rows
+    has at most some n^(2/3) blocks (that many fractions of small enough denominators exist).
+    """
+    at = F.col("conf") if digits is None else F.round("conf", digits)
+    counts = rows.where(F.col("conf").isNotNull()).groupBy("model_key", at.alias("c")).agg(
+        F.count("*").cast("double").alias("weight"), F.sum("correct").cast("double").alias("hits")
+    )
+    dealt = counts.repartitionByRange("model_key", "c").sortWithinPartitions("model_key", "c")
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in batches:
+            frame = frame.rename(columns={"c": "lo"}).assign(hi=frame["c"])
+            frame = frame if held is None else pd.concat([held, frame])
+            parts = [part_of(key, part) for key, part in frame.groupby("model_key", sort=True)]
+            if parts:
+                yield from parts[:-1]
+                held = parts[-1]
+        if held is not None:
+            yield held
+
+    def part_of(key: str, part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"model_key": key, **dict(zip(BLOCKS, pooled(*(part[c].to_numpy() for c in BLOCKS))))})
+
+    def joined(part: pd.DataFrame) -> pd.DataFrame:
+        return part_of(part["model_key"].iloc[0], part.sort_values("lo"))
+
+    schema = "model_key string, lo double, hi double, weight double, hits double"
+    return dealt.mapInPandas(task, schema).groupBy("model_key").applyInPandas(joined, schema)
+
+
+def with_blocks(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Add ``calibrated``: the step that holds a row's confidence; between steps on the line that joins them, below the
+    first and above the last one their shares. Null without a confidence or for a run without steps."""
+    steps = {}
+    for r in blocks.orderBy("model_key", "lo").collect():
+        steps.setdefault(r["model_key"], []).append((r["lo"], r["hi"], r["hits"] / r["weight"]))
+    tables = {}
+    for key, own in steps.items():
+        ends = [(x, share) for lo, hi, share in own for x in ((lo, hi) if lo < hi else (lo,))]
+        tables[key] = tuple(np.array(column) for column in zip(*ends))
+    shared = rows.sparkSession.sparkContext.broadcast(tables)
+
+    @F.pandas_udf("double")
+    def calibrated(key: pd.Series, conf: pd.Series) -> pd.Series:
+        found = pd.Series(np.nan, index=key.index)
+        for name in key.dropna().unique():
+            if name in shared.value:
+                mine = (key == name) & conf.notna()
+                found[mine] = np.interp(conf[mine], *shared.value[name])
+        return found
+
+    return rows.withColumn("calibrated", calibrated("model_key", "conf"))
+
+
 def calibrate(
     rows: DataFrame, method: str = "isotonic", fit_rows: DataFrame | None = None, digits: int | None = None
 ) -> DataFrame:
-    """Add ``calibrated`` to (model_key, row_id, conf, correct): repaired confidence of one model.
+    """Add ``calibrated`` to (model_key, row_id, conf, correct): repaired confidence.
 
-    Fitted on ``fit_rows``, a validation part of the same columns (default: ``rows``), from
-    counts per distinct confidence. ``digits`` rounds confidences for the fit and bounds the
-    points that isotonic regression pools on the driver. Platt scaling is a one-feature logistic
-    regression. A null confidence stays null.
+    Fitted on ``fit_rows``, a validation part of the same columns (default: ``rows``). Isotonic regression
+    treats each run for itself; ``digits`` rounds the confidences it is fitted on. Platt scaling is a one-feature logistic
+    regression of one run, from counts per distinct confidence. A null confidence stays null.
     """
-    at = F.col("conf") if digits is None else F.round("conf", digits)
-    known = F.col("conf").isNotNull()
-    without = rows.where(~known).withColumn("calibrated", F.lit(None).cast("double"))
-    counts = (rows if fit_rows is None else fit_rows).where(known).groupBy(at.alias("c")).agg(
-        F.count("*").cast("double").alias("w"), F.avg("correct").alias("share")
-    )
+    fitted = rows if fit_rows is None else fit_rows
     if method == "isotonic":
-        model = IsotonicRegression(featuresCol="c", labelCol="share", weightCol="w").fit(counts)
-        return model.transform(rows.where(known).withColumn("c", at)).select(
-            *rows.columns, F.col("prediction").alias("calibrated")
-        ).unionByName(without)
+        return with_blocks(rows, isotonic_blocks(fitted, digits))
     if method != "platt":
         raise ValueError(f"unknown method {method!r}")
+    at = F.col("conf") if digits is None else F.round("conf", digits)
+    known = F.col("conf").isNotNull()
+    without = rows.where(~known).withColumn("calibrated", F.lit(None).cast("double"))
+    counts = fitted.where(known).groupBy(at.alias("c")).agg(F.count("*").cast("double").alias("w"), F.avg("correct").alias("share"))
     verdicts = counts.select(
         array_to_vector(F.array("c")).alias("features"),
         F.inline(F.array(
@@ -163,3 +219,19 @@ def calibrate(
     model = LogisticRegression(featuresCol="features", labelCol="y", weightCol="wy").fit(verdicts)
     scored = model.transform(rows.where(known).withColumn("features", array_to_vector(F.array("conf"))))
     return scored.select(*rows.columns, vector_to_array("probability")[1].alias("calibrated")).unionByName(without)
+
+
+def calibration_effect(rows: DataFrame, bins: int = 10) -> DataFrame:
+    """(model_key, n, ece_before, ece_after) of rows with ``conf`` and ``calibrated``."""
+    known = stored(rows, "calibrated").where("calibrated is not null")
+
+    def ece(column: str) -> DataFrame:
+        # a share such as 3 / 5 must not fall below its own bin by rounding
+        bin_no = F.least(F.floor(F.col(column) * bins + 1e-12), F.lit(bins - 1)).cast("bigint")
+        counted = known.groupBy("model_key", bin_no.alias("bin")).agg(
+            F.count("*").alias("n"), F.avg(column).alias("mean_conf"), F.avg("correct").alias("accuracy"))
+        return expected_calibration_error(counted)
+
+    n = known.groupBy("model_key").agg(F.count("*").alias("n"))
+    before, after = (ece(c).withColumnRenamed("ece", name) for c, name in (("conf", "ece_before"), ("calibrated", "ece_after")))
+    return n.join(before, "model_key").join(after, "model_key")

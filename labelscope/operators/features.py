@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from labelscope.functions import text as tx
+from labelscope.functions.scores import l2_normalise
 from labelscope.runtime import ranked, stored, written
 
 
@@ -151,34 +152,31 @@ def as_ml_vectors(table: DataFrame) -> DataFrame:
     return table.sparkSession.read.schema(StructType(fields)).parquet(path)
 
 
-def hashed_encoder(dim: int = 64) -> Callable[[pd.Series], list[np.ndarray]]:
-    """Built-in text encoder: signed feature hashing of token counts into ``dim`` buckets."""
-    import hashlib
-    import re
+def hashed_encoder(dim: int = 64) -> Callable[[DataFrame], DataFrame]:
+    """Built-in text encoder: signed feature hashing of token counts into ``dim`` buckets.
 
-    token = re.compile(r"[a-z]+")
-
-    def encode(texts: pd.Series) -> list[np.ndarray]:
-        known: dict[str, tuple[int, float]] = {}
-        rows = []
-        for text in texts:
-            row = np.zeros(dim)
-            for word in token.findall(text.lower()):
-                if word not in known:
-                    number = int(hashlib.md5(word.encode()).hexdigest()[:8], 16)
-                    known[word] = (number % dim, 1.0 if (number // dim) % 2 == 0 else -1.0)
-                place, sign = known[word]
-                row[place] += sign
-            rows.append(row)
-        return rows
+    It works on frames, (key, text) to (key, v), inside the JVM: tokens are counted per text and bucket, and a
+    text's sums are put in place as one array.
+    """
 
+    def encode(rows: DataFrame) -> DataFrame:
+        words = rows.select("key", F.explode(tx.tokenise_alpha(F.col("text"))).alias("word"))
+        number = tx.hash_number(F.col("word"))
+        sign = F.when(F.pmod(F.floor(number / dim), F.lit(2)) == 0, 1.0).otherwise(-1.0)
+        sums = words.repartition("key").groupBy("key", F.pmod(number, F.lit(dim)).cast("int").alias("place")).agg(F.sum(sign).alias("s"))
+        entries = sums.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("place", "s"))).alias("_s"))
+        at = lambda j: F.coalesce(F.try_element_at("_s", j), F.lit(0.0))
+        found = rows.select("key").join(entries, "key", "left")
+        return found.select("key", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), at).alias("v"))
+
+    encode.on_frames = True
     return encode
 
 
 def embed_corpus_cached(
     corpus: DataFrame,
     cache_path: str,
-    encoder: Callable[[pd.Series], list[np.ndarray]],
+    encoder: Callable,
     encoder_name: str,
     prefix: str = "",
     batch: int = 64,
@@ -186,7 +184,8 @@ def embed_corpus_cached(
 ) -> DataFrame:
     """(row_id, v): unit vectors of ``prefix + text``, each distinct text encoded once.
 
-    The cache is a table (encoder, key, v) keyed by the text's digest; a call encodes only
+    ``encoder`` maps a batch of texts to vectors, or, with the attribute ``on_frames``, a frame (key, text)
+    to (key, v). The cache is a table (encoder, key, v) keyed by the text's digest; a call encodes only
     keys that are not in it and appends them, ``rows_per_commit`` at a time. Rows that share
     a text share its vector.
     """
@@ -206,13 +205,16 @@ def embed_corpus_cached(
                 unit = np.divide(matrix, norms, out=matrix.copy(), where=norms > 0)
                 yield pd.DataFrame({"key": part["key"].to_numpy(), "v": list(unit)})
 
+    def computed(rows: DataFrame) -> DataFrame:
+        if getattr(encoder, "on_frames", False):
+            return encoder(rows).withColumn("v", l2_normalise(F.col("v")))
+        return rows.mapInPandas(encode, "key string, v array<double>")
+
     distinct = keyed.groupBy("key").agg(F.first("text").alias("text"))
     missing = distinct.join(known.select("key"), "key", "left_anti")
     append_in_waves(
         missing, "key", rows_per_commit, cache_path,
-        lambda rows: rows.mapInPandas(encode, "key string, v array<double>").select(
-            F.lit(encoder_name).alias("encoder"), "key", "v"
-        ),
+        lambda rows: computed(rows).select(F.lit(encoder_name).alias("encoder"), "key", "v"),
     )
     cache = spark.read.parquet(cache_path).where(F.col("encoder") == encoder_name)
     vectors = one_per_key(cache.select("key", "v"), "key")

@@ -17,7 +17,9 @@ from labelscope.runtime import stored
 SLACK = 1e-6  # covers rounding in distance bounds
 #: Similarities are compared at 9 digits: a squared distance may be that much larger and still tie.
 TIE = 4e-9
-FAR = 2.0  # largest distance on the unit sphere
+#: Digits of a similarity; queries that are compared with a block at once.
+DIGITS, TOGETHER = 9, 64
+HIT = "query_id long, neighbour_id long, label string, similarity double"
 
 
 def nearest(
@@ -25,7 +27,7 @@ def nearest(
     base: DataFrame,
     k: int,
     exclude_self: bool = False,
-    block_rows: int = 8192,
+    block_rows: int = 1 << 16,
     max_pivots: int = 1024,
 ) -> DataFrame:
     """(query_id, neighbour_id, label, similarity, place): the k most similar base vectors.
@@ -35,35 +37,47 @@ def nearest(
     the triangle inequality cannot rule out.
 
     1. A bounded number of base vectors serves as pivots; every vector goes to the cell of
-       its nearest pivot. A crowded cell is split into blocks of about ``block_rows``, so
-       a cluster of copies spreads over many tasks.
-    2. Each query searches one block of its own cell. Its k-th distance there is an upper
+       its nearest pivot, turned so that its first dimensions hold most of the pivots' spread. A crowded cell is
+       split into blocks of about ``block_rows``, so a cluster of copies spreads over many tasks.
+    2. Each query searches one block of its own cell. Its k-th similarity there is a lower
        bound for the true one.
-    3. The query is then sent to the other blocks of cells closer than that bound. Every
-       (query, block) visit returns k rows, and the best k of a query's visits are kept.
-
-    Equal similarities (9 digits) are ordered by neighbour id.
+    3. The query is then sent to the other blocks of cells closer than that bound. Inside a block, the first
+       dimensions and the norm of the rest bound a similarity from above (Cauchy-Schwarz); only vectors that
+       reach the bound of a query are multiplied in full, and only hits that reach it come back.
+
+    Zero vectors are similar to nothing: as base they stand aside, and the k (or k + 1) of them with the
+    smallest ids are offered to every query at similarity 0; a zero query gets the smallest ids of all.
+    Without clusters little is ruled out, and every query meets every block: each vector then travels once
+    per ``block_rows`` vectors of the other side. Equal similarities (9 digits) are ordered by neighbour id.
     """
     spark = base.sparkSession
     unit = lambda df, *more: df.select("vec_id", l2_normalise(F.col("v")).alias("v"), *more)
+    is_zero = vector_norm(F.col("v")) == 0
     base_u, queries_u = unit(base, "label"), unit(queries)
-    n_base = base.count()
+    need = k + (1 if exclude_self else 0)
+    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "neighbour_id")
+    best = lambda found: found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    aside = best(offered(queries_u.where(is_zero), base_u, need, exclude_self).unionByName(
+        offered(queries_u.where(~is_zero), base_u.where(is_zero), need, exclude_self)
+    ))
+
+    base_u, queries_u = base_u.where(~is_zero), queries_u.where(~is_zero)
+    n_base = base_u.count()
     n_pivots = max(1, min(max_pivots, math.isqrt(n_base)))
-    sample = (
-        base_u.where(vector_norm(F.col("v")) > 0)
-        .orderBy(seeded_hash(F.col("vec_id"), ":pivot"), "vec_id").limit(n_pivots).collect()
-    )
-    if not sample:  # nothing but zero vectors: all similarities are 0
-        sample = base_u.limit(1).collect()
+    sample = base_u.orderBy(seeded_hash(F.col("vec_id"), ":pivot"), "vec_id").limit(n_pivots).collect()
+    if not sample:
+        return aside
     pivots = np.array([r["v"] for r in sample], dtype=float)  # at most max_pivots rows
+    turn = rotation(pivots)
+    pivots = pivots @ turn
 
-    cells = stored(in_cells(base_u, pivots, "label string"), "cells")
+    cells = stored(in_cells(base_u, pivots, turn, "label string"), "cells")
     stats = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("dist").alias("r")).collect()
     count, radius = np.zeros(len(pivots), dtype=int), np.full(len(pivots), -1.0)
     for row in stats:
         count[row["cell"]], radius[row["cell"]] = row["n"], row["r"]
     parts = np.maximum(1, -(-count // block_rows))
-    located = stored(in_cells(queries_u, pivots), "located")
+    located = stored(in_cells(queries_u, pivots, turn), "located")
     crowd = located.groupBy("cell").agg(F.count("*").alias("n")).collect()
     waiting = np.zeros(len(pivots), dtype=int)
     for row in crowd:
@@ -74,42 +88,36 @@ def nearest(
     blocks = cells.withColumn("part", F.pmod(number("vec_id"), lookup(parts)).cast("int"))
 
     def search(visits: DataFrame, copies: np.ndarray) -> DataFrame:
-        """Visits (query_id, q, cell, part) meet their block; many visits share its copies."""
+        """Visits (query_id, q, worst, cell, part) meet their block; many visits share its copies."""
         n_copies = lookup(copies)
         left = visits.withColumn("copy", F.pmod(number("query_id"), n_copies).cast("int"))
         right = blocks.withColumn("copy", F.explode(F.sequence(F.lit(0), n_copies - 1)))
         key = ["cell", "part", "copy"]
         return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
-            lambda a, b: best_in_block(a, b, k, exclude_self),
-            "query_id long, neighbour_id long, label string, similarity double",
+            lambda a, b: best_in_block(a, b, k, exclude_self), HIT
         )
 
     home = located.select(
         F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "cell",
         F.pmod(number("vec_id"), lookup(parts)).cast("int").alias("part"),
     )
-    first = stored(search(home, np.maximum(1, -(-waiting // (parts * block_rows)))), "first-round")
-    bound = first.groupBy("query_id").agg(
-        F.count("*").alias("found"), F.min("similarity").alias("worst")
-    )
-    need = k + (1 if exclude_self else 0)
-    plan = home.join(bound, "query_id", "left")
+    start = home.withColumn("worst", F.lit(-2.0))
+    first = stored(search(start, np.maximum(1, -(-waiting // (parts * block_rows)))), "first-round")
+    bound = first.groupBy("query_id").agg(F.count("*").alias("found"), F.min("similarity").alias("least"))
+    reached = F.when(F.col("found") >= k, F.col("least")).otherwise(F.lit(-2.0))
+    plan = home.join(bound, "query_id", "left").withColumn("worst", F.coalesce(reached, F.lit(-2.0))).drop("found", "least")
     shared = spark.sparkContext.broadcast((pivots, count, radius, parts))
 
     def visits_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        """For 64 queries at a time: queries, and per visit the query's place, cell and part."""
+        """For some queries at a time: queries, and per visit the query's place, cell and part."""
         pivot, n_in, reach, n_parts = shared.value
         for frame in batches:
-            for start in range(0, len(frame), 64):
-                some = frame.iloc[start : start + 64]
-                q = np.vstack(some["q"].to_numpy())
-                zero = np.linalg.norm(q, axis=1) == 0
-                gap = distances(q, pivot)
-                enough = some["found"].fillna(0).to_numpy() >= k
-                worst = some["worst"].fillna(-1.0).to_numpy()
-                seen = np.where(enough, np.sqrt(np.maximum(0.0, 2 - 2 * worst)), np.inf)
+            for start in range(0, len(frame), TOGETHER):
+                some = frame.iloc[start : start + TOGETHER]
+                gap = distances(np.vstack(some["q"].to_numpy()), pivot)
+                worst = some["worst"].to_numpy()
+                seen = np.where(worst >= -1, np.sqrt(np.maximum(0.0, 2 - 2 * worst)), np.inf)
                 limit = np.sqrt(np.minimum(kth_upper_bound(gap, n_in, reach, need), seen) ** 2 + TIE) + SLACK
-                limit[zero] = np.inf
                 row, cell = np.nonzero((gap - reach <= limit[:, None]) & (n_in > 0))
                 n = n_parts[cell]
                 place = np.repeat(row, n)
@@ -128,46 +136,50 @@ def nearest(
         for some, place, cell, part in visits_of(batches):
             for start in range(0, len(place), 4096):
                 at = slice(start, start + 4096)
-                yield pd.DataFrame({
-                    "query_id": some["query_id"].to_numpy()[place[at]],
-                    "q": some["q"].to_numpy()[place[at]],
-                    "cell": cell[at].astype("int32"), "part": part[at].astype("int32"),
-                })
+                columns = {c: some[c].to_numpy()[place[at]] for c in ("query_id", "q", "worst")}
+                yield pd.DataFrame({**columns, "cell": cell[at].astype("int32"), "part": part[at].astype("int32")})
 
     load = plan.mapInPandas(count_visits, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     copies = np.ones(len(pivots), dtype=int)
     for row in load.collect():
         copies[row["cell"]] = max(1, -(-row["n"] // (parts[row["cell"]] * block_rows)))
-    visits = plan.mapInPandas(route, "query_id long, q array<double>, cell int, part int")
-    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "neighbour_id")
-    return (
-        first.unionByName(search(visits, copies))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= k)
-    )
+    visits = plan.mapInPandas(route, "query_id long, q array<double>, worst double, cell int, part int")
+    return best(first.unionByName(search(visits, copies)).unionByName(aside.drop("place")))
+
+
+def offered(queries: DataFrame, base: DataFrame, need: int, exclude_self: bool) -> DataFrame:
+    """HIT at similarity 0 of every query with the ``need`` smallest ids of ``base``."""
+    few = base.orderBy("vec_id").limit(need).agg(F.collect_list(F.struct(F.col("vec_id").alias("neighbour_id"), "label")).alias("_few"))
+    pairs = queries.select(F.col("vec_id").alias("query_id")).join(few).select("query_id", F.inline("_few"))  # one row on the right
+    pairs = pairs.where("query_id <> neighbour_id") if exclude_self else pairs
+    return pairs.withColumn("similarity", F.lit(0.0))
+
+
+def rotation(pivots: np.ndarray) -> np.ndarray:
+    """Orthogonal matrix whose first columns hold most of the pivots' spread."""
+    _, directions = np.linalg.eigh(pivots.T @ pivots)
+    return directions[:, ::-1]
 
 
 def distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Euclidean distances; rows are unit vectors (a zero vector gets its own handling)."""
+    """Euclidean distances; rows are unit vectors."""
     square = (rows**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * rows @ pivots.T
     return np.sqrt(np.maximum(square, 0.0))
 
 
-def in_cells(vectors: DataFrame, pivots: np.ndarray, more: str = "") -> DataFrame:
-    """Add the nearest pivot (cell) and the distance to it. Zero vectors count as far away,
-    which keeps their cell from being ruled out."""
-    shared = vectors.sparkSession.sparkContext.broadcast(pivots)
+def in_cells(vectors: DataFrame, pivots: np.ndarray, turn: np.ndarray, more: str = "") -> DataFrame:
+    """Turn the vectors; add the nearest pivot (cell) and the distance to it."""
+    shared = vectors.sparkSession.sparkContext.broadcast((pivots, turn))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             if frame.empty:
                 continue
-            rows = np.vstack(frame["v"].to_numpy())
-            gap = distances(rows, shared.value)
+            pivot, turned = shared.value
+            rows = np.vstack(frame["v"].to_numpy()) @ turned
+            gap = distances(rows, pivot)
             cell = gap.argmin(1)
-            dist = gap[np.arange(len(rows)), cell]
-            dist[np.linalg.norm(rows, axis=1) == 0] = 2 * FAR
-            yield frame.assign(cell=cell.astype("int32"), dist=dist)
+            yield frame.assign(v=list(rows), cell=cell.astype("int32"), dist=gap[np.arange(len(rows)), cell])
 
     schema = "vec_id long, v array<double>" + (f", {more}" if more else "") + ", cell int, dist double"
     return vectors.mapInPandas(assign, schema)
@@ -186,27 +198,36 @@ def kth_upper_bound(gap: np.ndarray, n_in: np.ndarray, reach: np.ndarray, need:
 def best_in_block(
     visits: pd.DataFrame, block: pd.DataFrame, k: int, exclude_self: bool
 ) -> pd.DataFrame:
-    """Top k of one block for every visiting query."""
+    """Top k of one block for every visiting query, as far as they reach its ``worst``."""
     out = []
     if len(visits) and len(block):
         ids, labels = block["vec_id"].to_numpy(), block["label"].to_numpy()
         matrix = np.vstack(block["v"].to_numpy())
-        for start in range(0, len(visits), 512):
-            part = visits.iloc[start : start + 512]
-            query_ids = part["query_id"].to_numpy()
-            sims = np.round(np.vstack(part["q"].to_numpy()) @ matrix.T, 9)
+        head = max(1, matrix.shape[1] // 4)
+        tail = np.sqrt((matrix[:, head:] ** 2).sum(1))
+        for start in range(0, len(visits), TOGETHER):
+            part = visits.iloc[start : start + TOGETHER]
+            query_ids, q, worst = part["query_id"].to_numpy(), np.vstack(part["q"].to_numpy()), part["worst"].to_numpy()[:, None]
+            limit = worst - 10.0**-DIGITS
+            bound = q[:, :head] @ matrix[:, :head].T + np.sqrt((q[:, head:] ** 2).sum(1))[:, None] * tail
+            near = np.flatnonzero((bound >= limit).any(axis=0))
+            if not len(near):
+                continue
+            sims = np.round(q @ matrix[near].T, DIGITS)
+            sims[sims < worst] = -np.inf
+            own = ids[near]
             if exclude_self:
-                sims[query_ids[:, None] == ids[None, :]] = -np.inf
-            last = max(0, len(ids) - k)
+                sims[query_ids[:, None] == own[None, :]] = -np.inf
+            last = max(0, len(own) - k)
             cut = np.partition(sims, last, axis=1)[:, last]
             row, col = np.nonzero((sims >= cut[:, None]) & np.isfinite(sims))
-            order = np.lexsort((ids[col], -sims[row, col], row))
+            order = np.lexsort((own[col], -sims[row, col], row))
             row, col = row[order], col[order]
             place = np.arange(len(row)) - np.searchsorted(row, row)
             row, col = row[place < k], col[place < k]
             out.append(pd.DataFrame({
-                "query_id": query_ids[row], "neighbour_id": ids[col],
-                "label": labels[col], "similarity": sims[row, col] + 0.0,
+                "query_id": query_ids[row], "neighbour_id": own[col],
+                "label": labels[near[col]], "similarity": sims[row, col] + 0.0,
             }))
     if not out:
         return pd.DataFrame({"query_id": [], "neighbour_id": [], "label": [], "similarity": []}).astype(

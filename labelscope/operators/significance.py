@@ -67,13 +67,14 @@ def bootstrap_ci(predictions: DataFrame, n_boot: int = 2000, seed: int = 0) -> D
     draws = replicate.select(
         "model_key", uniform.alias("at"), F.lit(None).cast("bigint").alias("hits_k"), F.lit(1).alias("is_draw")
     )
-    onward = (
-        Window.partitionBy("model_key").orderBy("at", F.desc("is_draw"), "hits_k")
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # from the top down, so that the frame only grows: the last cell passed is the lowest one not below the draw
+    downward = (
+        Window.partitionBy("model_key").orderBy(F.desc("at"), "is_draw", F.desc("hits_k"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     drawn = (
         ladder.unionByName(draws)
-        .withColumn("drawn", F.first("hits_k", ignorenulls=True).over(onward))
+        .withColumn("drawn", F.last("hits_k", ignorenulls=True).over(downward))
         .where("is_draw = 1")
         .groupBy("model_key")
         .agg(F.percentile("drawn", F.array(F.lit(0.025), F.lit(0.975))).alias("q"))

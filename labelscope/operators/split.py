@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelscope.functions.text import seeded_hash
+from labelscope.functions.text import hash_number, seeded_hash
+from labelscope.operators.selection import first_rows
 from labelscope.runtime import ranked, stored
 
 
@@ -72,17 +73,55 @@ def stratified_split(
     )
 
 
+def seeded_order(corpus: DataFrame, seed: int) -> DataFrame:
+    """(label, place, row_id): ``place`` is the number a label's rows are ordered by, then by row_id."""
+    return corpus.select("label", hash_number(F.col("row_id"), f":{seed}").alias("place"), "row_id")
+
+
+def head_cuts(corpus: DataFrame, heads: DataFrame, seed: int) -> DataFrame:
+    """(label, _cut): the last of the first ``n`` rows of each label in seeded order; ``heads`` has (label, n), n >= 1."""
+    cuts = first_rows(seeded_order(corpus, seed), heads.select("label", "n"), "label", ["place", "row_id"])
+    return stored(cuts.select("label", F.col("cut").alias("_cut")), "head-cuts")
+
+
+def own_place(seed: int) -> Column:
+    return F.struct(hash_number(F.col("row_id"), f":{seed}").alias("place"), F.col("row_id").alias("row_id"))
+
+
 def stratified_subsample(corpus: DataFrame, per_class: int, seed: int = 42) -> DataFrame:
-    """``per_class`` seeded picks per label (all, if there are fewer), ordered by label.
+    """``per_class`` seeded picks per label (all, if there are fewer), numbered by ``pick``, ordered by label.
 
-    Each task keeps ``per_class`` rows per label before the shuffle.
+    Where a label's quota ends is found by histograms of the order; only the picks themselves are
+    ranked, by ranges. No label is sorted in one task, whatever ``per_class`` is.
     """
-    order = Window.partitionBy("label").orderBy(seeded_hash(F.col("row_id"), f":{seed}"), "row_id")
-    return (
-        corpus.withColumn("pick", F.row_number().over(order))
-        .where(F.col("pick") <= per_class)
-        .orderBy("label", "pick")
-    )
+    sizes = corpus.groupBy("label").agg(F.least(F.count("*"), F.lit(per_class)).alias("n")).where("n > 0")
+    picked = corpus.join(head_cuts(corpus, sizes, seed), "label").where(own_place(seed) <= F.col("_cut")).drop("_cut")
+    placed = picked.withColumn("_place", hash_number(F.col("row_id"), f":{seed}"))
+    return ranked(placed, ["label"], [F.col("_place"), F.col("row_id")], "pick").drop("_place").orderBy("label", "pick")
+
+
+def resample(corpus: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
+    """Rows with ``copy`` 1, 2, ..: every label brought to ``target`` rows, down by leaving rows out, up by repeats.
+
+    ``targets`` has (label, target); labels without one are left out. With t = q n + r for a label of n rows,
+    each row comes q times and the first r in seeded order once more. A label of which all rows come equally often
+    needs no cut; the others take theirs from histograms.
+    """
+    sizes = corpus.groupBy("label").agg(F.count("*").alias("n"))
+    shares = stored(sizes.join(targets.select("label", "target"), "label").select(
+        "label", F.floor(F.col("target") / F.col("n")).cast("bigint").alias("_each"), F.pmod("target", "n").cast("bigint").alias("_more")
+    ), "resample-shares")
+    cuts = head_cuts(corpus, shares.where("_more > 0").select("label", F.col("_more").alias("n")), seed)
+    once_more = F.coalesce(own_place(seed) <= F.col("_cut"), F.lit(False)).cast("bigint")
+    counted = corpus.join(shares, "label").join(cuts, "label", "left").withColumn("_times", F.col("_each") + once_more)
+    return counted.where("_times > 0").select(*corpus.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "_times")).alias("copy"))
+
+
+def balanced_targets(corpus: DataFrame, direction: str) -> DataFrame:
+    """(label, target): the size of the smallest label ('under') or of the largest one ('over')."""
+    extreme = {"under": F.min, "over": F.max}[direction]
+    sizes = corpus.groupBy("label").agg(F.count("*").alias("n"))
+    return sizes.select("label", extreme("n").over(Window.partitionBy()).alias("target"))  # one row per label
 
 
 def exclude_holdout(corpus: DataFrame, holdout: DataFrame) -> DataFrame:

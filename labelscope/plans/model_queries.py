@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from labelscope.functions import scores as sc
 from labelscope.operators import audit as au
 from labelscope.operators import bayes as nb
+from labelscope.operators import chunks as ck
 from labelscope.operators import features as ft
 from labelscope.operators import heads as hd
 from labelscope.operators import hinge as hg
@@ -130,6 +131,34 @@ def _(spark, d):
     return long.select("row_id", F.col("dim").cast("bigint").alias("dim"), F.round("v", 6).alias("v"))
 
 
+CHUNK_CTES = f"""words AS (SELECT doc_id, list_filter(regexp_split_to_array({i.strip_sql("coalesce(text, '')")}, '[{i.WS}]+'), lambda w: w <> '') AS l FROM documents),
+  cut AS (SELECT doc_id, unnest(range(0, CAST(greatest(ceil((len(l) - 128) / 96.0), 0) AS BIGINT) + 1)) AS chunk, l FROM words),
+  chunks AS (SELECT doc_id, chunk, 96 * chunk AS start, least(96 * chunk + 128, len(l)) AS "end",
+             array_to_string(l[96 * chunk + 1 : 96 * chunk + 128], ' ') AS text FROM cut)"""
+
+
+@query("text_chunks", f"""WITH {CHUNK_CTES} SELECT doc_id AS row_id, chunk, start, "end", md5(text) AS digest FROM chunks""")
+def _(spark, d):
+    return ck.chunks(i.corpus(spark, d), 128, 96).select("row_id", "chunk", "start", "end", F.md5("text").alias("digest"))
+
+
+@query("chunk_and_pool", f"""WITH {CHUNK_CTES},
+  w AS (SELECT doc_id, chunk, CAST(concat('0x', substr(md5(word), 1, 8)) AS BIGINT) AS x
+        FROM (SELECT doc_id, chunk, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM chunks)),
+  b AS (SELECT doc_id, chunk, x % 16 AS dim, CAST(sum(CASE WHEN (x // 16) % 2 = 0 THEN 1 ELSE -1 END) AS DOUBLE) AS s FROM w GROUP BY ALL),
+  u AS (SELECT doc_id, chunk, dim, s / sqrt(sum(s * s) OVER (PARTITION BY doc_id, chunk)) AS v FROM b QUALIFY sum(s * s) OVER (PARTITION BY doc_id, chunk) > 0),
+  n AS (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id)
+  SELECT c.doc_id AS row_id, n.n AS n_chunks, t.dim, round(sum(coalesce(u.v, 0)) / n.n, 6) AS mean, round(max(coalesce(u.v, 0)), 6) AS largest
+  FROM chunks c CROSS JOIN range(0, 16) t(dim) JOIN n ON n.doc_id = c.doc_id LEFT JOIN u ON u.doc_id = c.doc_id AND u.chunk = c.chunk AND u.dim = t.dim
+  GROUP BY c.doc_id, n.n, t.dim""")
+def _(spark, d):
+    path = new_path(spark, "chunk-vectors")
+    encode = lambda rows: ft.embed_corpus_cached(rows, path, ft.hashed_encoder(16), "hashed-16")
+    found = ck.chunk_and_pool(i.corpus(spark, d), encode, 128, 96)
+    long = found.select("row_id", "n_chunks", F.posexplode(F.arrays_zip("mean", "largest")).alias("dim", "z"))
+    return long.select("row_id", "n_chunks", F.col("dim").cast("bigint").alias("dim"), (F.round("z.mean", 6) + 0.0).alias("mean"), (F.round("z.largest", 6) + 0.0).alias("largest"))
+
+
 # ---- Naive Bayes
 
 

@@ -205,16 +205,49 @@ def _(spark, d):
     return cf.cascade(i.scored(spark, d), "A_tuned_bayes", "C_plain_net", 0.9)
 
 
-@query("calibrate_isotonic")
+# Rows of the runs with probabilities: a fifth of the rows (by hash) fits, the rest is repaired.
+FITS = i.h("concat(row_id, ':fit')") + " % 5 = 0"
+CALIBRATED = f"""{S}, proba AS (SELECT model_key, row_id, conf, correct, {FITS} AS fits FROM conf WHERE score_type = 'proba'),
+  pts AS (SELECT model_key, c, count(*) AS w, sum(correct) AS h, row_number() OVER (PARTITION BY model_key ORDER BY c) AS k
+          FROM (SELECT *, round(conf, 2) AS c FROM proba WHERE fits) GROUP BY model_key, c),
+  cum AS (SELECT *, sum(w) OVER z AS cw, sum(h) OVER z AS ch FROM pts WINDOW z AS (PARTITION BY model_key ORDER BY k)),
+  spans AS (SELECT a.model_key, a.k AS a, b.k AS b, (b.ch - a.ch + a.h) / (b.cw - a.cw + a.w)::DOUBLE AS m
+            FROM cum a JOIN cum b ON b.model_key = a.model_key AND b.k >= a.k),
+  lows AS (SELECT model_key, a, b AS i, min(m) OVER (PARTITION BY model_key, a ORDER BY b DESC) AS m FROM spans),
+  iso AS (SELECT p.model_key, p.c, max(l.m) AS y FROM lows l JOIN pts p ON p.model_key = l.model_key AND p.k = l.i GROUP BY ALL),
+  used AS (SELECT * FROM proba WHERE NOT fits),
+  below AS (SELECT u.*, i.c AS c0, i.y AS y0 FROM used u ASOF LEFT JOIN iso i ON i.model_key = u.model_key AND i.c <= u.conf),
+  both_sides AS (SELECT b.*, i.c AS c1, i.y AS y1 FROM below b ASOF LEFT JOIN iso i ON i.model_key = b.model_key AND i.c >= b.conf),
+  repaired AS (SELECT model_key, row_id, conf, correct, CASE WHEN c0 IS NULL THEN y1 WHEN c1 IS NULL OR c1 = c0 THEN y0
+      ELSE y0 + (y1 - y0) * (conf - c0) / (c1 - c0) END AS calibrated FROM both_sides)"""
+
+
+def calibrated_runs(spark, d, method="isotonic"):
+    rows = cf.scored_rows(i.scored(spark, d).where(sc.calibration_allowed(F.col("score_type")))).drop("score_type")
+    fits = i.hash_number(F.col("row_id"), ":fit") % 5 == 0
+    return cf.calibrate(rows.where(~fits), method, rows.where(fits), 2)
+
+
+@query("calibrate_isotonic", f"WITH {CALIBRATED} SELECT model_key, row_id, round(conf, 6) AS conf, correct, round(calibrated, 6) AS calibrated FROM repaired")
+def _(spark, d):
+    return calibrated_runs(spark, d).withColumns({c: F.round(c, 6) for c in ("conf", "calibrated")})
+
+
+@query("calibration_effect", f"""WITH {CALIBRATED},
+  long AS (SELECT model_key, correct, 'before' AS side, conf AS p FROM repaired UNION ALL SELECT model_key, correct, 'after', calibrated FROM repaired),
+  bins AS (SELECT model_key, side, least(floor(p * 10 + 1e-12), 9) AS bin, count(*) AS n, abs(avg(correct) - avg(p)) AS gap FROM long GROUP BY ALL),
+  ece AS (SELECT model_key, side, sum(n * gap) / sum(n) AS e, CAST(sum(n) AS BIGINT) AS n FROM bins GROUP BY ALL)
+  SELECT b.model_key, b.n, round(b.e, 6) AS ece_before, round(a.e, 6) AS ece_after FROM ece b JOIN ece a USING (model_key) WHERE b.side = 'before' AND a.side = 'after'""")
 def _(spark, d):
-    rows = cf.scored_rows(i.scored(spark, d)).where("model_key = 'A_tuned_bayes'")
-    return cf.calibrate(rows, "isotonic")
+    found = cf.calibration_effect(calibrated_runs(spark, d))
+    return found.withColumns({c: F.round(c, 6) for c in ("ece_before", "ece_after")})
 
 
 @query("calibrate_platt")
 def _(spark, d):
-    rows = cf.scored_rows(i.scored(spark, d)).where("model_key = 'A_tuned_bayes'")
-    return cf.calibrate(rows, "platt")
+    runs = cf.scored_rows(i.scored(spark, d)).where("model_key = 'A_tuned_bayes'")
+    fits = i.hash_number(F.col("row_id"), ":fit") % 5 == 0
+    return cf.calibrate(runs.where(~fits), "platt", runs.where(fits))
 
 
 # ---- registries and logs

@@ -28,9 +28,9 @@ def _(spark, d):
 
 
 @query("union_sources", """
-  SELECT 'documents' AS source, 'train' AS split, concat('documents/train/', doc_id) AS row_id, lang AS label, md5(text) AS digest FROM documents
-  UNION ALL SELECT 'chats', 'train', concat('chats/train/', conv_id), role, md5(text) FROM conversations
-  UNION ALL SELECT 'pages', 'test', concat('pages/test/', page_id), url, md5(html) FROM pages""")
+  SELECT 'documents' AS source, 'train' AS split, concat('{"source":"documents","split":"train","row_id":', doc_id, '}') AS row_id, lang AS label, md5(text) AS digest FROM documents
+  UNION ALL SELECT 'chats', 'train', concat('{"source":"chats","split":"train","row_id":', conv_id, '}'), role, md5(text) FROM conversations
+  UNION ALL SELECT 'pages', 'test', concat('{"source":"pages","split":"test","row_id":', page_id, '}'), url, md5(html) FROM pages""")
 def _(spark, d):
     spec = lambda name, split, file, id_, text, label: dict(
         name=name, split=split, path=f"{d}/{file}.parquet", id=id_, text=text, label=label)
@@ -327,6 +327,24 @@ def _(spark, d):
     return sp.balanced_weights(i.corpus(spark, d)).withColumn("weight", F.round("weight", 6))
 
 
+def resample_sql(extreme: str) -> str:
+    return f"""WITH {C20}, sizes AS (SELECT label, count(*) AS n FROM corpus WHERE split = 'train' GROUP BY label),
+    placed AS (SELECT row_id, label, n, (SELECT {extreme}(n) FROM sizes) AS t, row_number() OVER (PARTITION BY label
+      ORDER BY substr(md5(concat(row_id, ':42')), 1, 8), row_id) AS p FROM corpus JOIN sizes USING (label) WHERE split = 'train')
+  SELECT row_id, label, unnest(range(1, t // n + CAST(p <= t % n AS BIGINT) + 1)) AS copy FROM placed"""
+
+
+def resample_query(name, direction, extreme):
+    @query(name, resample_sql(extreme))
+    def _(spark, d):
+        train = i.train_part(i.corpus(spark, d, "source"))
+        return sp.resample(train, sp.balanced_targets(train, direction)).select("row_id", "label", "copy")
+
+
+resample_query("undersample", "under", "min")
+resample_query("oversample", "over", "max")
+
+
 @query("data_checks", f"""WITH {C}, {LEAKS}, checks AS (
   SELECT 'empty_text' AS check_name, count(*) FILTER (text IS NULL OR {i.strip_sql('text')} = '') AS violations FROM corpus
   UNION ALL SELECT 'unknown_label', count(*) FILTER (label IS NULL OR label NOT IN ('de', 'en', 'fr')) FROM corpus

@@ -36,12 +36,13 @@ def union_sources(
 
     A source gives ``name, path, split, id, text, label``; several shards of one split
     are several entries (or one path pattern). Ids of different sources may collide, so the
-    union's ``row_id`` is the string source/split/id.
+    union's ``row_id`` is the JSON text of source, split and id. Names with any character stay apart,
+    and a null id, which leaves its field out, meets no other id.
     """
     parts = [
         load_corpus(spark, s["path"], s["id"], s["text"], s["label"]).select(
             F.lit(s["name"]).alias("source"), F.lit(s["split"]).alias("split"),
-            F.concat_ws("/", F.lit(s["name"]), F.lit(s["split"]), "row_id").alias("row_id"), "text", "label",
+            F.to_json(F.struct(F.lit(s["name"]).alias("source"), F.lit(s["split"]).alias("split"), "row_id")).alias("row_id"), "text", "label",
         )
         for s in sources
     ]

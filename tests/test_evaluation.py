@@ -167,3 +167,37 @@ def test_calibration_fits_on_one_part_and_keeps_all_digits_and_nulls(spark):
     assert got[3] is None and got[4] < got[1] < got[2] < 1.0
     got = {r["row_id"]: r["calibrated"] for r in cf.calibrate(use, "isotonic", fit).collect()}
     assert got[3] is None and got[1] == got[2] == 1.0 and 0 < got[4] < 0.5
+
+
+def max_min(points):
+    """Isotonic regression by its formula: at i the largest over a <= i of the least mean of a..b over b >= i."""
+    n = len(points)
+    mean = lambda a, b: sum(h for _, _, h in points[a:b + 1]) / sum(w for _, w, _ in points[a:b + 1])
+    return {points[i][0]: max(min(mean(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)}
+
+
+def test_isotonic_steps_are_those_of_the_formula(spark):
+    rng = random.Random(8)
+    rows = [(m, k, round(c, 2), int(rng.random() < (c if m == "good" else 1 - c))) for m in ("good", "inverse")
+            for k, c in enumerate(rng.random() for _ in range(400))] + [("one", 1, 0.5, 1), ("none", 1, None, 0)]
+    df = spark.createDataFrame(rows, "model_key string, row_id bigint, conf double, correct bigint").repartition(7)
+    got = {(r["model_key"], r["conf"]): r["calibrated"] for r in cf.calibrate(df).collect()}
+    assert got[("none", None)] is None and got[("one", 0.5)] == 1.0
+    for m in ("good", "inverse"):
+        counts = {}
+        for key, _, c, hit in rows:
+            if key == m:
+                w, h = counts.get(c, (0, 0))
+                counts[c] = (w + 1, h + hit)
+        for c, value in max_min([(c, *counts[c]) for c in sorted(counts)]).items():
+            assert abs(got[(m, c)] - value) < 1e-12
+    assert cf.isotonic_blocks(df).where("model_key = 'inverse'").count() < 8
+
+
+def test_calibration_effect_on_other_rows(spark):
+    rng = random.Random(9)
+    rows = [("m", k, c, int(rng.random() < c * c)) for k, c in enumerate(rng.random() for _ in range(4000))]
+    df = spark.createDataFrame(rows, "model_key string, row_id bigint, conf double, correct bigint")
+    for method in ("isotonic", "platt"):
+        found = cf.calibration_effect(cf.calibrate(df.where("row_id >= 1000"), method, df.where("row_id < 1000"))).first()
+        assert found["n"] == 3000 and found["ece_after"] < 0.6 * found["ece_before"]

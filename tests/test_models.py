@@ -134,7 +134,7 @@ def brute_force(queries, base, k, exclude_self):
     return out
 
 
-@pytest.mark.parametrize("shape", ["clusters", "copies", "random", "tiny"])
+@pytest.mark.parametrize("shape", ["clusters", "copies", "random", "tiny", "zeros", "nothing"])
 @pytest.mark.parametrize("exclude_self", [True, False])
 def test_nearest_is_exact(spark, shape, exclude_self):
     rng = np.random.default_rng(7)
@@ -145,6 +145,8 @@ def test_nearest_is_exact(spark, shape, exclude_self):
     if shape == "copies":
         v[: n // 3] = v[0]  # a third of all rows is one vector
         v[-3:] = 0.0
+    if shape in ("zeros", "nothing"):  # a third of all rows, or all of them, are zero vectors
+        v[rng.permutation(n)[: n // 3 if shape == "zeros" else n]] = 0.0
     ids = np.arange(n)
     df = spark.createDataFrame(pd.DataFrame({"vec_id": ids, "v": list(v), "label": [f"c{i % 3}" for i in ids]}),
                                "vec_id bigint, v array<double>, label string")
@@ -268,5 +270,5 @@ def test_ids_of_different_sources_stay_apart(spark, tmp_path):
     weights = ft.fit_tfidf(rows).transform(rows)
     assert weights.select("row_id").distinct().count() == 4
     assert [tuple(r) for r in split_leakage(rows).collect()] == [("same text", 1, 1)]
-    shared_ids = rows.withColumn("row_id", F.substring_index("row_id", "/", -1))
+    shared_ids = rows.withColumn("row_id", F.get_json_object("row_id", "$.row_id"))
     assert [tuple(r) for r in split_leakage(shared_ids).collect()] == [("same text", 1, 1)]

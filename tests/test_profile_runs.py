@@ -77,11 +77,21 @@ def test_sources_map_columns(spark):
     spark.createDataFrame([(1, "hi", 5)], "i int, utt string, intent int").write.parquet(path)
     spec = dict(name="s", path=path, split="train", id="i", text="utt", label="intent")
     assert [tuple(r) for r in co.union_sources(spark, [spec, {**spec, "split": "test"}]).collect()] == [
-        ("s", "train", 1, "hi", "5"), ("s", "test", 1, "hi", "5")]
+        ("s", split, '{"source":"s","split":"%s","row_id":1}' % split, "hi", "5") for split in ("train", "test")]
     profile = {r["split"]: r["n_rows"] for r in co.profile_corpus(frame(spark)).collect()}
     assert profile == {"train": 3, "test": 4, "all": 7}
 
 
+def test_ids_of_sources_never_meet(spark):
+    path, other = new_path(spark, "src"), new_path(spark, "src")
+    spark.createDataFrame([(None, "no id", 1), (11, "x", 1), (1, "one", 1)], "i int, utt string, intent int").write.parquet(path)
+    spark.createDataFrame([(1, "number", 1), (None, "none", 1)], "i int, utt string, intent int").write.parquet(other)
+    spec = lambda name, split, path: dict(name=name, path=path, split=split, id="i", text="utt", label="intent")
+    rows = co.union_sources(spark, [spec("a", "b/c", path), spec("a/b", "c", path), spec("a", 'b","row_id":"1', other), spec("z", "t", other)])
+    assert rows.count() == 10 and rows.select("row_id").distinct().count() == 10
+    assert rows.where("row_id is null").count() == 0
+
+
 def test_registry_upsert_and_frontier(spark):
     schema = "model_key string, accuracy double, macro_f1 double, model string"
     old = spark.createDataFrame([("A_x", 0.5, None, None), ("B_y", 0.7, 0.6, "y")], schema)

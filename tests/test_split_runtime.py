@@ -1,9 +1,12 @@
 import hashlib
 import math
+import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from labelscope.operators import selection as sl
 from labelscope.operators import split as sp
 from labelscope.runtime import ranked, shared_folder, stored
 
@@ -72,15 +75,57 @@ def test_ranked_equals_sorting(spark):
         assert [got[(g, r[2])] for r in order] == list(range(1, len(order) + 1))
 
 
-def test_group_limit_and_broadcast_plans(spark, capsys):
+def test_broadcast_plans(spark, capsys):
     df, _ = corpus(spark, {"a": 50, "b": 5})
-    sp.stratified_subsample(df, 2).explain()
-    assert capsys.readouterr().out.count("WindowGroupLimit") == 2  # partial before the shuffle, final after it
     sp.stratified_split(df).explain()
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_subsample_sorts_no_label_in_one_task(spark, capsys, monkeypatch):
+    df, rows = corpus(spark, {"a": 900, "b": 5})
+    monkeypatch.setattr(sl, "FEW", 20)
+    monkeypatch.setattr(sl, "BINS", 8)
+    picks = sp.stratified_subsample(df, 500)
+    wanted = {c: sorted((r[0] for r in rows if r[2] == c), key=key)[:500] for c in "ab"}
+    for c, ids in wanted.items():
+        got = [(r["pick"], r["row_id"]) for r in picks.where(f"label = '{c}'").orderBy("pick").collect()]
+        assert got == list(enumerate(ids, 1))
+    picks.explain()
+    assert "Window" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("few, bins", [(4, 4), (1 << 15, 1 << 12)])
+def test_selection_at_ties_and_hot_keys(spark, monkeypatch, few, bins):
+    monkeypatch.setattr(sl, "FEW", few)
+    monkeypatch.setattr(sl, "BINS", bins)
+    r = random.Random(few)
+    table = [("hot", r.choice([0.5, 0.5, 0.5, r.random()]), k, r.random() < 0.5) for k in range(400)]
+    table += [("one", 3.0, 7, True)] + [("same", 1.0, 10**17 + k, k % 2 == 0) for k in range(60)]
+    df = spark.createDataFrame([(g, x, k, int(v)) for g, x, k, v in table], "g string, x double, id bigint, v int")
+    wanted = [("hot", 1), ("hot", 37), ("hot", 250), ("hot", 400), ("one", 1), ("same", 1), ("same", 33), ("same", 60)]
+    got = sl.first_rows(df, spark.createDataFrame(wanted, "g string, n int"), "g", ["x", "id"], "v").collect()
+    found = {(row["g"], row["n"]): (row["hits"], row["cut"]["x"], row["cut"]["id"]) for row in got}
+    for g, n in wanted:
+        order = sorted((x, k, v) for h, x, k, v in table if h == g)
+        assert found[g, n] == (sum(v for _, _, v in order[:n]), *order[n - 1][:2])
+
+
+def test_resampling_meets_its_targets(spark):
+    df, rows = corpus(spark, {"a": 70, "b": 9, "c": 1})
+    for direction, size in (("under", 1), ("over", 70)):
+        got = sp.resample(df, sp.balanced_targets(df, direction)).collect()
+        counts = {}
+        for r in got:
+            counts.setdefault(r["label"], []).append((r["row_id"], r["copy"]))
+        assert {c: len(x) for c, x in counts.items()} == dict.fromkeys("abc", size)
+        assert all(len(set(x)) == size for x in counts.values())
+    targets = spark.createDataFrame([("a", 30), ("b", 25), ("zzz", 4)], "label string, target bigint")
+    got = sp.resample(df, targets).groupBy("label").agg(F.count("*").alias("n"), F.countDistinct("row_id").alias("d"), F.max("copy").alias("top")).collect()
+    assert {tuple(r) for r in got} == {("a", 30, 30, 1), ("b", 25, 9, 3)}
+    assert sp.resample(df.where("false"), targets).count() == 0
+
+
 def test_stored_table_lies_in_the_shared_folder(spark):
     table = stored(spark.range(3).withColumn("v", F.array(F.lit(1.5))), "probe")
     assert table.count() == 3
