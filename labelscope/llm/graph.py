@@ -37,7 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = _mark(edges)
     while before[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # stored, so that the join reads two plain tables and a hub's rows can be split
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -61,11 +62,12 @@ def overlap_counts(flat: np.ndarray, at: np.ndarray, other: np.ndarray) -> np.nd
     return hits[at[1:]] - hits[at[:-1]]
 
 
-def block_numbers(members: DataFrame, left: str, right: str) -> DataFrame:
-    """component, _lefts, _rights: blocks of each component that has rows on both sides."""
+def block_numbers(members: DataFrame, left: str, right: str, block: int | None = None) -> DataFrame:
+    """component, _lefts, _rights: blocks of about ``block`` rows (BLOCK) of each component that has rows on both sides."""
+    block = block or BLOCK
     return members.groupBy("component").agg(
-        F.ceil(F.count_if(F.col(left)) / F.lit(BLOCK)).cast("int").alias("_lefts"),
-        F.ceil(F.count_if(F.col(right)) / F.lit(BLOCK)).cast("int").alias("_rights"),
+        F.ceil(F.count_if(F.col(left)) / F.lit(block)).cast("int").alias("_lefts"),
+        F.ceil(F.count_if(F.col(right)) / F.lit(block)).cast("int").alias("_rights"),
     ).where("_lefts > 0 and _rights > 0")
 
 

@@ -3,11 +3,11 @@
 A line's set has its distinct words. Two lines are linked when the Jaccard similarity of their
 sets reaches the threshold (80 percent); a line goes when a linked line, or one with an equal
 set, comes before it. Lines come in order of doc_id (null last), then a hash of the text, then
-line number. Lines with fewer than ``min_words`` distinct words are left alone;
-with 1, every line that has a word is compared.
+line number. Every line that has a word is compared; ``min_words`` leaves out lines with fewer distinct words.
 
 Method: words are ordered by rarity (counts of 65,536 hash classes over the whole corpus; the
-order is total, so the class count affects speed only). Lines with equal sets collapse. A line's
+order is total, so the class count affects speed only). Lines with equal sets collapse: only the first one of
+a class is indexed, told by two bit maps of fixed size (a fuller one lets more lines through, never fewer). A line's
 prefix, the rarest words that any partner must share one of, is indexed: 1 - 2t/(1+t) of the
 words as the shorter side, 1 - t as the longer one. Rows that meet on a word pass the length
 filter, the positional filter and a 128-bit parity sketch (its Hamming distance never exceeds
@@ -35,12 +35,14 @@ from labelscope.functions.bind import bind
 from labelscope.llm import graph, tokens
 from labelscope.runtime import stored
 
-PERCENT, MIN_WORDS = 80, 5
+PERCENT, MIN_WORDS = 80, 1
 CLASSES = 1 << 16
 GRID = 8
 #: Share of the corpus's words from which a word is dealt over the grid.
 HOT = 0.01
 LAST = 2**63 - 1
+#: Postings of a fragment, about; slices of texts whose postings go out together; lines of a block.
+FRAGMENT, SLICES, BLOCK = 1 << 20, 16, 1024
 #: Size of the filter that picks the lines of candidate components; a fuller one lets more through.
 FILTER_BITS = 1 << 26
 
@@ -162,39 +164,65 @@ FIELDS = ("cell", "place", "node", "sketch_a", "sketch_b")
 INDEXED, PROBING = 1, 2
 
 
-def postings(docs: DataFrame, order, hot_rank: int, percent: int, min_words: int) -> DataFrame:
-    """A row per word of each line's prefix: the cell it is compared in, (words, place, role), set and sketch.
-
-    Lines with equal sets are taken once per slice of texts.
+def first_lines(lines: Compared, part: pa.RecordBatch, seconds) -> np.ndarray:
+    """Places among the compared lines of those that may be the first of their class; ``seconds``: the filter of the
+    classes with several lines, and that of the first line of each."""
+    repeated, first = seconds
+    text_key = part.column("text_key").to_numpy()[lines.owner]
+    mine = np.flatnonzero(~is_set(repeated, lines.node) | is_set(first, lines.node ^ text_key ^ lines.number))
+    _, once = np.unique(lines.node[mine], return_index=True)
+    return mine[once]
+
+
+def slice_postings(part: pa.RecordBatch, order: Order, hot_rank: int, percent: int, min_words: int, seconds) -> list[np.ndarray]:
+    """FIELDS of the prefix words of the lines that may be the first of their class."""
+    lines = compared(part, order, min_words)
+    line, key, at = lines.line, lines.key, lines.at
+    first = first_lines(lines, part, seconds)
+    n = np.diff(at)
+    # a smaller set can only be linked with an equal one, which needs no prefix
+    able = 100 * n[lines.chosen[first]] >= percent * (n[lines.chosen[first]] + 1)
+    node, chosen = lines.node[first][able], lines.chosen[first][able]
+    sketch = parity(line, key, len(n))[chosen]
+    n = n[chosen]
+    size = n - (-(-percent * n // 100)) + 1
+    ends = np.concatenate([[0], np.cumsum(size)])
+    own = np.repeat(np.arange(len(chosen)), size)
+    place = np.arange(ends[-1]) - ends[own]
+    cell = key[at[chosen][own] + place]
+    role = np.where(place <= n[own] - needed(n, n, percent)[own], INDEXED | PROBING, PROBING)
+    hot = (cell >> np.uint64(48)) >= np.uint64(hot_rank)
+    if hot.any():
+        own, place, cell, role = on_grid(own, place, cell, role, hot, node)
+    return [cell.view(np.int64), n[own] << 32 | place << 2 | role, node[own], sketch[own, 0], sketch[own, 1]]
+
+
+def postings(docs: DataFrame, order, hot_rank: int, percent: int, min_words: int, seconds, fragments: int) -> DataFrame:
+    """A posting per word of each line's prefix: the cell it is compared in, (words, place, role), set and sketch.
+
+    Postings are dealt by cell into fragments; those of some slices of texts for one fragment are one row of lists.
     """
 
+    def packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = [np.concatenate(x) for x in zip(*held)]
+        fragment = (tokens.mixed(columns[0].view(np.uint64)) % np.uint64(fragments)).astype(np.int64)
+        by = np.argsort(fragment.astype(np.uint16) if fragments <= 1 << 16 else fragment, kind="stable")
+        used, at = np.unique(fragment[by], return_index=True)
+        at = np.append(at, len(by))
+        return pa.RecordBatch.from_pydict({"fragment": pa.array(used)} | {x: tokens.lists(values[by], at) for x, values in zip(FIELDS, columns)})
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
             for part in tokens.text_slices(batch):
-                lines = compared(part, order.value, min_words)
-                line, key, at = lines.line, lines.key, lines.at
-                node, first = np.unique(lines.node, return_index=True)
-                n = np.diff(at)
-                # a smaller set can only be linked with an equal one, which needs no prefix
-                able = 100 * n[lines.chosen[first]] >= percent * (n[lines.chosen[first]] + 1)
-                node, chosen = node[able], lines.chosen[first][able]
-                sketch = parity(line, key, len(n))[chosen]
-                n = n[chosen]
-                size = n - (-(-percent * n // 100)) + 1
-                ends = np.concatenate([[0], np.cumsum(size)])
-                own = np.repeat(np.arange(len(chosen)), size)
-                place = np.arange(ends[-1]) - ends[own]
-                cell = key[at[chosen][own] + place]
-                role = np.where(place <= n[own] - needed(n, n, percent)[own], INDEXED | PROBING, PROBING)
-                hot = (cell >> np.uint64(48)) >= np.uint64(hot_rank)
-                if hot.any():
-                    own, place, cell, role = on_grid(own, place, cell, role, hot, node)
-                yield pa.RecordBatch.from_pydict({
-                    "cell": pa.array(cell.view(np.int64)), "place": pa.array(n[own] << 32 | place << 2 | role), "node": pa.array(node[own]),
-                    "sketch_a": pa.array(sketch[own, 0]), "sketch_b": pa.array(sketch[own, 1]),
-                })
+                held.append(slice_postings(part, order.value, hot_rank, percent, min_words, seconds.value))
+                if len(held) == SLICES:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
 
-    return docs.select("text").mapInArrow(task, ", ".join(f"{name} long" for name in FIELDS))
+    return docs.select("text_key", "text").mapInArrow(task, "fragment long, " + ", ".join(f"{name} array<long>" for name in FIELDS))
 
 
 def on_grid(own, place, cell, role, hot, node):
@@ -209,50 +237,52 @@ def on_grid(own, place, cell, role, hot, node):
     return (np.concatenate(x) for x in zip(*parts))
 
 
-def close_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v) between rows of one cell that pass all filters; rows come sorted by cell and length.
+def close_rows(group: pa.Table, percent: int) -> pa.Table:
+    """Edges (u, v) between postings of one cell that pass all filters, for the cells of one fragment.
 
-    Row r is compared with the rows d = 1, 2, ... before it for as long as these are in its cell
-    and long enough; all rows move on together. Rows that edges have joined already give no
-    further edge. Rows of the last cell that are still long enough are kept for the next batch.
+    In order of cell and length, posting r is compared with the postings d = 1, 2, ... before it for as long as these are in
+    its cell and long enough; all postings move on together. What edges have joined already gives no further edge.
     """
-    held = {name: np.zeros(0, np.int64) for name in FIELDS}
-    for batch in batches:
-        old = len(held["node"])
-        rows = {name: np.concatenate([held[name], batch.column(name).to_numpy()]) for name in FIELDS}
-        again = np.zeros(len(rows["node"]), bool)  # equal sets of different slices stand side by side
-        again[1:] = np.logical_and.reduce([rows[x][1:] == rows[x][:-1] for x in ("cell", "node", "place")])
-        old -= int(again[:old].sum())
-        rows = {name: values[~again] for name, values in rows.items()}
-        cell, packed, node = rows["cell"], rows["place"], rows["node"]
-        n, place, role, size = packed >> 32, (packed >> 2) & ((1 << 30) - 1), packed & 3, len(node)
-        change = np.ones(size, bool)
-        change[1:] = cell[1:] != cell[:-1]
-        start = np.maximum.accumulate(np.where(change, np.arange(size), 0))
-        top, found, d = np.arange(size), [], 1
-        late = np.arange(old, size)
-        while len(late):
-            late = late[late - d >= start[late]]
-            late = late[100 * n[late - d] >= percent * n[late]]
-            early = late - d
-            least = needed(n[early], n[late], percent)
-            ok = np.minimum(n[early] - place[early], n[late] - place[late]) >= least
-            ok &= (role[early] & INDEXED > 0) & (role[late] & PROBING > 0) & (top[early] != top[late]) & (node[early] != node[late])
-            a, b = early[ok], late[ok]
-            apart = sum(np.bitwise_count((rows[x][a] ^ rows[x][b]).view(np.uint64)).astype(np.int64) for x in ("sketch_a", "sketch_b"))
-            close = apart <= n[a] + n[b] - 2 * least[ok]
-            a, b = a[close], b[close]
-            if len(a):
-                found.append((node[a], node[b]))
-                np.minimum.at(top, np.maximum(top[a], top[b]), np.minimum(top[a], top[b]))
-                while (top[top] != top).any():
-                    top = top[top]
-            d += 1
-        if found:
-            u, v = (np.concatenate(x) for x in zip(*found))
-            yield pa.RecordBatch.from_pydict({"u": pa.array(u), "v": pa.array(v)})
-        keep = (np.arange(size) >= start[-1]) & (100 * n >= percent * n[-1]) if size else slice(0)
-        held = {name: values[keep] for name, values in rows.items()}
+    rows = {name: pc.list_flatten(group[name].combine_chunks()).to_numpy(zero_copy_only=False) for name in FIELDS}
+    by = np.lexsort([rows[name] for name in ("node", "place", "cell")])
+    rows = {name: values[by] for name, values in rows.items()}
+    again = np.zeros(len(by), bool)  # equal sets of different slices stand side by side
+    again[1:] = np.logical_and.reduce([rows[x][1:] == rows[x][:-1] for x in ("cell", "node", "place")])
+    rows = {name: values[~again] for name, values in rows.items()}
+    cell, packed, node = rows["cell"], rows["place"], rows["node"]
+    n, place, role, size = packed >> 32, (packed >> 2) & ((1 << 30) - 1), packed & 3, len(node)
+    change = np.ones(size, bool)
+    change[1:] = cell[1:] != cell[:-1]
+    start = np.maximum.accumulate(np.where(change, np.arange(size), 0))
+    top, found, d = np.arange(size), [(node[:0], node[:0])], 1
+    late = np.arange(size)
+    while len(late):
+        late = late[late - d >= start[late]]
+        late = late[100 * n[late - d] >= percent * n[late]]
+        early = late - d
+        least = needed(n[early], n[late], percent)
+        ok = np.minimum(n[early] - place[early], n[late] - place[late]) >= least
+        ok &= (role[early] & INDEXED > 0) & (role[late] & PROBING > 0) & (top[early] != top[late]) & (node[early] != node[late])
+        a, b = early[ok], late[ok]
+        apart = sum(np.bitwise_count((rows[x][a] ^ rows[x][b]).view(np.uint64)).astype(np.int64) for x in ("sketch_a", "sketch_b"))
+        close = apart <= n[a] + n[b] - 2 * least[ok]
+        a, b = a[close], b[close]
+        if len(a):
+            found.append((node[a], node[b]))
+            np.minimum.at(top, np.maximum(top[a], top[b]), np.minimum(top[a], top[b]))
+            while (top[top] != top).any():
+                top = top[top]
+        d += 1
+    u, v = (np.concatenate(x) for x in zip(*found))
+    return pa.table({"u": pa.array(u), "v": pa.array(v)})
+
+
+def first_places(repeated: DataFrame) -> DataFrame:
+    """node: the number that marks the first line of each class (set, hash of the text and line, put together)."""
+    digits = F.hex("own")
+    text_key = F.conv(F.substring(digits, 17, 16), 16, -10).cast("long").bitwiseXOR(F.lit(-(2**63)))
+    line = F.conv(F.substring(digits, 33, 8), 16, 10).cast("long")
+    return repeated.select(F.col("node").bitwiseXOR(text_key).bitwiseXOR(line).alias("node"))
 
 
 def filter_bits(nodes: DataFrame) -> np.ndarray:
@@ -271,8 +301,9 @@ def is_set(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
     return (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def asked_sets(docs: DataFrame, order, min_words: int, bits) -> DataFrame:
-    """node, items, doc, text_key, line of the lines whose bit is set, once per slice of texts with their first place in it."""
+def asked_sets(docs: DataFrame, order, min_words: int, bits, seconds) -> DataFrame:
+    """node, items, doc, text_key, line of the lines whose bit is set and that may be the first of their class, once per
+    slice of texts with their first place in it."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,7 +312,10 @@ def asked_sets(docs: DataFrame, order, min_words: int, bits) -> DataFrame:
                 key, at = lines.key, lines.at
                 doc = pc.fill_null(part.column("doc_id"), LAST).to_numpy()[lines.owner]
                 text_key = part.column("text_key").to_numpy()[lines.owner]
-                wanted = np.flatnonzero(is_set(bits.value, lines.node))
+                repeated, first = seconds.value
+                wanted = is_set(bits.value, lines.node)
+                wanted &= ~is_set(repeated, lines.node) | is_set(first, lines.node ^ part.column("text_key").to_numpy()[lines.owner] ^ lines.number)
+                wanted = np.flatnonzero(wanted)
                 wanted = wanted[np.lexsort((lines.number[wanted], text_key[wanted], doc[wanted], lines.node[wanted]))]
                 node, first = np.unique(lines.node[wanted], return_index=True)
                 asked = wanted[first]
@@ -325,18 +359,20 @@ def compared_and_shared(docs: DataFrame, percent: int, min_words: int) -> tuple[
     texts = keyed(docs)
     both = stored(scanned(texts, min_words), "lines")
     order, hot_rank = rarity(both.where("class is not null"))
-    share = docs.sparkSession.sparkContext.broadcast
+    share = docs.sparkSession.sparkContext.broadcast  # filters have FILTER_BITS / 8 bytes each
     order = share(order)  # twice CLASSES numbers
     found = both.where("class is null").drop("class", "n")
     repeated = found.groupBy("node", "check").agg(F.min(rank("doc_id")).alias("own"), F.count("*").alias("n"))
     repeated = stored(repeated.where("n > 1").drop("n"), "line-classes")
-    dealt = postings(texts, order, hot_rank, percent, min_words).repartition("cell").sortWithinPartitions("cell", "place", "node")
-    groups = stored(graph.components(dealt.mapInArrow(lambda batches: close_rows(batches, percent), "u long, v long")), "line-groups")
+    seconds = share((filter_bits(repeated), filter_bits(first_places(repeated))))
+    # a line has about five prefix words; the number of fragments follows the lines
+    fragments = max(1, -(-5 * both.count() // FRAGMENT))
+    dealt = postings(texts, order, hot_rank, percent, min_words, seconds, fragments).groupBy("fragment")
+    groups = stored(graph.components(dealt.applyInArrow(lambda group: close_rows(group, percent), "u long, v long")), "line-groups")
     linkable = filter_bits(groups)
     members = groups.withColumn("all", F.lit(True))
-    members = members.join(graph.block_numbers(members, "all", "all"), "component")
-    # FILTER_BITS / 8 bytes each
-    asked = asked_sets(texts, order, min_words, share(linkable)).select("node", "items", rank("doc").alias("rank"))
+    members = members.join(graph.block_numbers(members, "all", "all", BLOCK), "component")
+    asked = asked_sets(texts, order, min_words, share(linkable), seconds).select("node", "items", rank("doc").alias("rank"))
     sets = stored(  # both sides of the cells read it
         asked.join(members, "node").groupBy("node", "component", "all", "_lefts", "_rights").agg(
             F.min_by("items", "rank").alias("items"), F.min("rank").alias("rank")
@@ -345,7 +381,7 @@ def compared_and_shared(docs: DataFrame, percent: int, min_words: int) -> tuple[
     )
     links = graph.in_cells(sets, "all", "all", percent, graph.link_counts, "node long, links long, first binary")
     links = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("first").alias("first")).where("links > 0")
-    rows = shared_lines(found, share(linkable | filter_bits(repeated))).withColumn("rank", rank("doc_id"))
+    rows = shared_lines(found, share(linkable | seconds.value[0])).withColumn("rank", rank("doc_id"))
     # classes first, so that lines move once; a class without an equal line has no check here
     classes = repeated.join(links, "node", "full_outer").withColumnsRenamed({"node": "_node", "check": "_check"})
     same = (F.col("node") == F.col("_node")) & (F.col("_check").isNull() | (F.col("check") == F.col("_check")))

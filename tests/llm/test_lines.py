@@ -10,7 +10,7 @@ WORD = re.compile("[^\x20\x09-\x0d]+")
 DDL = "doc_id long, text string, node string, line int"
 
 
-def brute(rows, percent=80, min_words=5):
+def brute(rows, percent=80, min_words=1):
     """(doc_id, text) -> (lines compared, links, removed line numbers), by comparing all sets."""
     docs = sorted({(i is None, i or 0, t or "") for i, t, *_ in rows})
     found = [(d, k, frozenset(WORD.findall(line))) for d in docs for k, line in enumerate(d[2].split("\n"))]
@@ -23,7 +23,9 @@ def brute(rows, percent=80, min_words=5):
 
 @pytest.mark.parametrize("grid", [False, True])
 def test_against_brute_force(frame, prose, grid, monkeypatch):
-    monkeypatch.setattr("labelscope.llm.graph.BLOCK", 8)
+    monkeypatch.setattr(lines, "BLOCK", 8)
+    monkeypatch.setattr(lines, "FRAGMENT", 300)
+    monkeypatch.setattr(lines, "SLICES", 2)
     if grid:
         monkeypatch.setattr(lines, "HOT", 0.0)
     r = random.Random(8)
@@ -60,10 +62,12 @@ def test_against_brute_force(frame, prose, grid, monkeypatch):
 
 def test_texts_after_removal(frame):
     one, two = "a b c d e f g", "h i j k l m n"
-    rows = [(1, f"{one}\n\nx y\n{two}", "s", 1), (2, f"new words of its own\nx y\n{one} \n{two}", "t", 2), (3, one, "u", 3), (4, "x y", "v", 4), (5, None, "w", 5), (6, "", "z", 6)]
+    rows = [(1, f"{one}\n\nx y\n{two}", "s", 1), (2, f"new words of its own\nx z\n{one} \n{two}", "t", 2), (3, one, "u", 3), (4, "x  y", "v", 4), (5, None, "w", 5), (6, "", "z", 6)]
     kept = {r.doc_id: r for r in lines.dedup_lines(frame(rows, DDL)).collect()}
-    assert sorted(kept) == [1, 2, 4, 5, 6]
-    assert kept[1].text == rows[0][1] and kept[2].text == "new words of its own\nx y" and kept[4].text == "x y" and kept[5].text is None
+    assert sorted(kept) == [1, 2, 5, 6]
+    assert kept[1].text == rows[0][1] and kept[2].text == "new words of its own\nx z" and kept[5].text is None
+    long = {r.doc_id: r for r in lines.dedup_lines(frame(rows, DDL), min_words=5).collect()}
+    assert sorted(long) == [1, 2, 4, 5, 6] and long[4].text == "x  y"
     assert lines.dedup_lines(frame(rows, DDL)).columns == ["doc_id", "text", "node", "line"]
     assert lines.dedup_lines(frame([], DDL)).collect() == []
 
