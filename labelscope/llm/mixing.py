@@ -13,11 +13,12 @@ ends in the middle of a document where the words run out. Inverting the demand a
 read so far gives the time at which a placement is trained on.
 
 Running sums are taken in two steps (per cell of the hash order, then inside a cell), so a
-source with a third of all rows is no single group. The number of sources is that of a class
-table.
+source with a third of all rows is no single group. The order is that of a hash of id and text, so rows that
+share an id, or have none, spread over the cells too; the cells get finer with the corpus, to some PER_CELL
+rows each. The number of sources is that of a class table.
 
 A null text has size 0 and is taken 0 times. Repeated rows are separate documents. A null
-doc_id sorts as an empty id. Extra columns pass through ``assign`` only when named in ``keep``.
+doc_id counts as an empty id, and sorts first among equal hashes. Rows that agree in id and text are read one after the other. Extra columns pass through ``assign`` only when named in ``keep``.
 An empty table gives an empty result.
 """
 
@@ -33,21 +34,23 @@ from labelscope.runtime import stored
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-CELLS = 4096
+#: Rows of a cell of the reading order, about.
+PER_CELL = 1 << 12
 #: (time, weight) knots per entry of WEIGHTS: heavy sources early, light ones late.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
 
 
 def reading_order() -> Column:
-    """32 bits of a digest of the id."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
+    """32 bits of a digest of id and text."""
+    return F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("_digest"))), 1, 8), 16, 10).cast("long")
 
 
 def sized(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
     return docs.select(
         "doc_id", F.col("source").alias("source"), *keep,
-        F.size(words_of(F.coalesce("text", F.lit("")))).cast("long").alias("size"), reading_order().alias("_order"),
-    ).withColumn("_cell", F.shiftright("_order", 20))
+        F.size(words_of(text)).cast("long").alias("size"), F.md5(text).alias("_digest"),
+    ).withColumn("_order", reading_order())
 
 
 def target_table(cells: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -97,6 +100,8 @@ def assign(
     reading, null if it has none.
     """
     rows = stored(sized(docs, keep), "sizes")
+    fine = max(1, -(-rows.count() // PER_CELL)).bit_length()
+    rows = rows.withColumn("_cell", F.shiftright("_order", max(0, 32 - fine)))
     cells = stored(rows.groupBy("source", "_cell").agg(F.sum("size").alias("_words")), "cells")
     ahead = Window.partitionBy("source").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.withColumn("_offset", F.coalesce(F.sum("_words").over(ahead), F.lit(0)))
@@ -104,7 +109,7 @@ def assign(
     named = offsets.join(plan, offsets.source.eqNullSafe(plan.source)).select(
         offsets.source.alias("_source"), offsets["_cell"].alias("_in"), "_offset", "source_size", "slot", "target"
     )
-    inside = Window.partitionBy("source", "_cell").orderBy("_order", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "_cell").orderBy("_order", F.col("doc_id").asc_nulls_first(), "_digest", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         rows.withColumn("_within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(named, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_cell") == F.col("_in")))
@@ -122,6 +127,12 @@ def assign(
     )
 
 
+def in_training_order(assigned: DataFrame) -> DataFrame:
+    """The rows of ``assign`` range-sorted by position; documents without a reading come last."""
+    order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_first()]
+    return assigned.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def position(words: Column, schedules) -> Column:
     """Time at which a source has been asked for ``words`` words."""
     share = words / F.col("target")

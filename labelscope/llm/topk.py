@@ -9,8 +9,12 @@ size of the table; every query meets every candidate.
 
 Vectors that are null, or hold a null or non-finite component, and rows with a null vec_id
 take no part. A shorter vector has zeros in the missing dimensions. Rows with the query's own
-vec_id are not its candidates; a vec_id that occurs again with another vector is another
-candidate. Ties go to the smaller vec_id. Sums wrap at 64 bits. Empty tables give an empty result.
+vec_id are not its candidates. Every row counts for itself: a repeated candidate is found as often as it is stored,
+and a vec_id that several query rows have gets a list for each of them. Ties go to the smaller
+vec_id. Sums wrap at 64 bits. Empty tables give an empty result.
+
+A cell's blocks follow the length of the vectors: BLOCK_BYTES each, so a table of n candidates
+is copied once per lot of queries of that many bytes.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ from pyspark.sql import functions as F
 
 from labelscope.runtime import stored
 
-CANDIDATES, QUERIES = 8192, 1024
+#: Bytes of the vectors of a block, candidates or queries.
+BLOCK_BYTES = 1 << 23
 
 
 def components(vector: Column, scale: int) -> Column:
@@ -69,33 +74,33 @@ def search_cell(table: pa.Table, k: int) -> pa.Table:
     queries = table.filter(pc.equal(table["side"], 0))
     ids, terms = postings(table.filter(pc.equal(table["side"], 1)))
     found = []
-    for query, weights in zip(queries["vec_id"].to_pylist(), queries["v"].to_pylist(), strict=True):
+    for row, query, weights in zip(*(queries[c].to_pylist() for c in ("row", "vec_id", "v")), strict=True):
         scores = np.zeros(len(ids), np.int64)
         for weight, (where, values) in zip(weights, terms):
             if weight:
                 scores[where] += weight * values
         others = np.flatnonzero(ids != query) if len(ids) else np.zeros(0, np.int64)
         chosen = others[best(scores[others], k)]
-        found.append((np.full(len(chosen), query), ids[chosen], scores[chosen]))
-    parts = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*found)] or [np.zeros(0, np.int64)] * 3
-    return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, parts))))
+        found.append((np.full(len(chosen), row), np.full(len(chosen), query), ids[chosen], scores[chosen]))
+    parts = [np.concatenate(x) for x in zip(*found)] or [np.zeros(0, np.int64)] * 4
+    return pa.table(dict(zip(("row", "query_id", "vec_id", "score"), map(pa.array, parts))))
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of each row where ``is_query`` holds."""
-    rows = stored(usable(vectors, scale), "vectors")
-    rows = rows.dropDuplicates(["vec_id", "v"])
+    rows = stored(usable(vectors, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = rows.where(is_query)
-    n, m = rows.count(), queries.count()
-    blocks, lots = max(1, -(-n // CANDIDATES)), max(1, -(-m // QUERIES))
-    place = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
+    n, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    block = max(1, BLOCK_BYTES // (8 * max(1, width)))
+    blocks, lots = max(1, -(-n // block)), max(1, -(-queries.count() // block))
+    place = lambda count: F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
     copies = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    left = queries.select("vec_id", "v", place(lots).alias("lot"), copies(blocks).alias("block"), F.lit(0).alias("side"))
-    right = rows.select("vec_id", "v", copies(lots).alias("lot"), place(blocks).alias("block"), F.lit(1).alias("side"))
+    left = queries.select("row", "vec_id", "v", place(lots).alias("lot"), copies(blocks).alias("block"), F.lit(0).alias("side"))
+    right = rows.select("row", "vec_id", "v", copies(lots).alias("lot"), place(blocks).alias("block"), F.lit(1).alias("side"))
     partial = left.union(right).groupBy("lot", "block").applyInArrow(
-        lambda table: search_cell(table, k), "query_id long, vec_id long, score long"
+        lambda table: search_cell(table, k), "row long, query_id long, vec_id long, score long"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (
         partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

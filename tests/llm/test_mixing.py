@@ -38,7 +38,9 @@ def test_against_brute_force(frame, prose):
     for i, text, source, _, _ in rows:
         n = len(WORD.findall(text or ""))
         sizes[source] += n
-        by_source[source].append((int(hashlib.md5(str(i if i is not None else "").encode()).hexdigest()[:8], 16), i if i is not None else -1, n))
+        digest = hashlib.md5((text or "").encode()).hexdigest()
+        key = "%s:%s" % (i if i is not None else "", digest)
+        by_source[source].append((int(hashlib.md5(key.encode()).hexdigest()[:8], 16), i if i is not None else -1, n))
     wanted, goal = [], targets(sizes)
     for source, items in by_source.items():
         due, seen = round(goal[source]), 0
@@ -66,6 +68,20 @@ def test_positions_follow_the_schedules(frame, prose):
     assert early["s2"] == pytest.approx(0.375, abs=0.02)
 
 
+@pytest.mark.parametrize("per_cell", [1 << 12, 5])
+def test_a_third_without_ids(frame, prose, per_cell, monkeypatch):
+    monkeypatch.setattr(mixing, "PER_CELL", per_cell)
+    rows = [(None if k % 3 == 0 else 5 if k % 3 == 1 else k, prose(k, 4), "s%d" % (k % 2), 0, "") for k in range(300)]
+    ordered = mixing.in_training_order(mixing.assign(frame(rows, DDL), keep=("text",))).collect()
+    again = mixing.in_training_order(mixing.assign(frame(rows[::-1], DDL), keep=("text",))).collect()
+    key = lambda r: repr((r.text, r.taken, r.readings, r.position))
+    assert sorted(map(key, ordered)) == sorted(map(key, again))  # reruns agree on which text is cut
+    assert [r.position for r in ordered] == sorted((r.position for r in ordered), key=lambda x: (x is None, x))
+    assert len({r.before for r in ordered if r.source == "s0"}) == 150  # every row has words of its own
+    cells = mixing.sized(frame(rows, DDL)).select("_order").distinct().count()
+    assert cells == 300
+
+
 def test_empty(frame):
     assert mixing.assign(frame([], DDL)).collect() == []
     assert [r.taken for r in mixing.assign(frame([(1, None, None, 0, "")], DDL)).collect()] == [0]
