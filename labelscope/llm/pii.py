@@ -4,9 +4,10 @@ An Aho-Corasick automaton finds anchors in the whole text: at-signs, plus signs,
 ``://`` and cue words of accounts and secrets. At each anchor a local parser expands to the
 left and right and validates what it found. The base kinds give, per kind, the leftmost
 non-overlapping matches of their patterns; a match that fails its check is dropped without a
-second try. The method adds ``secret`` (cue, ``=`` or ``:``, a long value), ``iban`` (two capitals, two
-check digits, 11 to 30 more characters, mod-97 check) and ``login`` (user data inside a
-url's authority); base spans stay as they are.
+second try. The method adds ``secret`` (cue, ``=`` or ``:``, a value of 16 or more letters, digits and ``+/_.-``; after a password
+cue any value of 6 or more signs without blanks or quotes that is not letters alone), ``iban`` (two capitals, two
+check digits, 11 to 30 more characters, mod-97 check; as many as a text holds, with or without a cue) and ``login`` (user data
+inside a url's authority); base spans stay as they are.
 
 Positions are code points, end exclusive. A null or empty text has no spans. Repeated rows and
 null ids come back as they are. Extra columns are ignored. An empty table gives an empty result.
@@ -34,10 +35,12 @@ ADDRESS = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 VALUE = re.compile(r"""[\x20\t]{0,4}[=:][\x20\t]{0,4}["']?([A-Za-z0-9+/_.-]{16,})""")
+PASSWORD = re.compile(r"""[\x20\t]{0,4}[=:][\x20\t]{0,4}["']?([^\s"'<>]{6,})""")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 AUTHORITY = re.compile(r"([^\s/?#@:\"'<>]+:[^\s/?#@\"'<>]+)@")
-CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "private_key")
-IBAN_CUES = ("iban",)
+CUES = ("token", "secret", "api_key", "apikey", "access_key", "private_key")
+PASSWORD_CUES = ("password", "passwd", "passphrase")
+CAPITALS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -46,7 +49,7 @@ def automaton() -> ahocorasick.Automaton:
         found.add_word(digit, ("digit", 1))
     for sign, kind in (("@", "at"), ("+", "plus"), ("://", "scheme")):
         found.add_word(sign, (kind, len(sign)))
-    for kind, cues in (("cue", CUES), ("iban", IBAN_CUES)):
+    for kind, cues in (("cue", CUES), ("password", PASSWORD_CUES)):
         for cue in cues:
             for form in {cue, cue.upper(), cue.capitalize()}:
                 found.add_word(form, (kind, len(form)))
@@ -72,6 +75,8 @@ def spans_of(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int,
     spans, free = [], dict.fromkeys(KINDS, 0)
 
     def digit(at: int) -> None:
+        if at >= 2 and text[at - 1] in CAPITALS:
+            iban(at - 2)
         if at >= free["ip"] and (at == free["ip"] or text[at - 1] not in DIGITS) and (m := ADDRESS.match(text, at)):
             free["ip"] = m.end()
             if address_holds(m.groups()):
@@ -96,19 +101,21 @@ def spans_of(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int,
             if 9 <= sum(c in DIGITS for c in m[0]) <= 15:
                 spans.append((at, 3, m.end()))
 
-    def cue(at: int, end: int) -> None:
-        if (m := VALUE.match(text, end)) and m.start(1) >= free["secret"]:
+    def cue(end: int, value: re.Pattern) -> None:
+        m = value.match(text, end)
+        if m and m.start(1) >= free["secret"] and (value is VALUE or not m[1].isalpha()):
             free["secret"] = m.end(1)
             spans.append((m.start(1), 4, m.end(1)))
 
-    def iban(at: int, end: int) -> None:
-        m = IBAN.search(text, end, end + 64)
-        if m and m.start() >= free["iban"]:
-            for stop in (m.end(), *(k for k in range(m.end() - 1, m.start() + 14, -1) if text[k] == " ")):
-                code = text[m.start():stop].replace(" ", "")
-                if 15 <= len(code) <= 34 and iban_holds(code):
+    def iban(at: int) -> None:
+        if at < free["iban"] or not (text[at:at + 1] in CAPITALS and text[at + 1] in CAPITALS) or at and text[at - 1] in ALNUM:
+            return
+        if m := IBAN.match(text, at):
+            for stop in (m.end(), *(k for k in range(m.end() - 1, at + 14, -1) if text[k] == " ")):
+                code = text[at:stop].replace(" ", "")
+                if 15 <= len(code) <= 34 and text[stop:stop + 1] not in ALNUM and iban_holds(code):
                     free["iban"] = stop
-                    spans.append((m.start(), 5, stop))
+                    spans.append((at, 5, stop))
                     break
 
     def scheme(end: int) -> None:
@@ -123,9 +130,9 @@ def spans_of(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int,
         elif kind == "plus":
             plus(last)
         elif kind == "cue":
-            cue(last - size + 1, last + 1)
-        elif kind == "iban":
-            iban(last - size + 1, last + 1)
+            cue(last + 1, VALUE)
+        elif kind == "password":
+            cue(last + 1, PASSWORD)
         else:
             scheme(last + 1)
     return sorted(spans)

@@ -57,5 +57,24 @@ def test_whole_operator(frame):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [base.count(k + ":") for k in PATTERNS]
         assert [x for x in r.spans.split(",") if x.split(":")[0] in PATTERNS] == [x for x in base.split(",") if x]
     by = {r.doc_id: r for r in found}
-    assert by[6].n_secret == 2 and by[7].n_iban == 2 and by[8].n_login == 1
+    assert by[6].n_secret == 3 and by[7].n_iban == 2 and by[8].n_login == 1
     assert pii.find(frame([], "doc_id long, text string")).collect() == []
+
+
+def found(text, kind):
+    return [text[s:e] for s, k, e in pii.spans_of(text, ANCHORS) if pii.KINDS[k] == kind]
+
+
+def test_accounts_without_a_cue_and_several_of_them():
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    assert found(f"IBANs: {german}, {british}", "iban") == [german, british]
+    assert found(f"pay to {british} AND OTHERS or {german}.", "iban") == [british, german]
+    assert found(f"the number {'word ' * 30}{german}", "iban") == [german]
+    for text in (f"X{british}", f"{british}7", "DE88 3704 0044 0532 0130 00", "AB12", "A", "12", "ZZ99 " * 9):
+        assert found(text, "iban") == []
+
+
+def test_short_passwords():
+    assert found("password=hunter2 Passwd: 'p@ss!word' PASSWORD = x1y2z3", "secret") == ["hunter2", "p@ss!word", "x1y2z3"]
+    for text in ("password: required", "the password is hunter2", "password=ab1", "password reset link", "token=short1"):
+        assert found(text, "secret") == []

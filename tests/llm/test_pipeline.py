@@ -90,3 +90,42 @@ def test_encoding(steps):
     decoded = lambda ids: b"".join(table.bytes_of[k] for k in ids)[1:].decode()
     assert sorted((r.doc_id, decoded(r.ids)) for r in steps[5]) == sorted((r.doc_id, r.text) for r in steps[4])
     assert all(r.n_pieces == len(r.ids) for r in steps[5])
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+EXTRA = "component_id long, _key string, size int, position double, row int, removed int, u long"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Labels for the quality stage."""
+    path = str(tmp_path_factory.mktemp("labels"))
+    spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def made(frame, rows):
+    return frame([(i, t, "en", s, len(t or ""), 1, "k", 2, 3.0, 4, 5, 6) for i, t, s in rows], f"{COLUMNS}, {EXTRA}")
+
+
+def test_empty_tables_and_extra_columns(spark, frame, folder):
+    for name, stage in corpus_pipeline.STAGES:
+        empty = made(frame, [])
+        found = stage(spark, empty, folder)
+        assert found.collect() == [] and (name == corpus_pipeline.STAGES[-1][0] or found.columns == empty.columns)
+
+
+def test_null_and_repeated_ids(spark, frame, folder, prose):
+    one, two, three = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(None, one, "a"), (None, two, "a"), (None, one, "b"), (7, two, "a"), (7, three, "a"), (7, three, "a"), (9, prose(4, 60), None), (None, None, "a"), (8, "", None)]
+    kept = corpus_pipeline.one_of_each_group(spark, made(frame, rows), folder).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(
+        [(None, one), (7, two), (7, three), (9, rows[6][1]), (None, None), (8, "")], key=repr)
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, made(frame, rows), folder).collect()
+
+
+def test_short_lines_that_repeat_go(spark, frame, folder, prose):
+    rows = [(k, f"Read more\n{prose(k, 20)}\nTop", "a") for k in range(6)]
+    kept = {r.doc_id: r.text for r in corpus_pipeline.without_repeated_lines(spark, made(frame, rows), folder).collect()}
+    assert kept == {k: t if k == 0 else t.split("\n")[1] for k, t, _ in rows}
