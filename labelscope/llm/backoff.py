@@ -2,18 +2,24 @@
 
 Tokens are the words of a text with A-Z lower-cased, then one end mark. The model is learned
 from all training texts: p1(w) = (c + 0.5) / (N + 0.5 (V + 1)) over single tokens, and for a
-previous token v, p(w | v) = (c(v, w) + (MU + c'(v)) p1(w)) / (c(v) + MU), where c'(v) counts the
-pairs of v that the model leaves out; both sum to one. It keeps every pair; with PAIRS set, a pair
-is kept when it makes up at least 1 / PAIRS of all tokens.
+previous token v, p(w | v) = (c(v, w) + MU p1(w)) / (c(v) + MU); both sum to one. Every pair is kept.
 
-log p(w | v) is the root's arc log p1(w), plus the failure weight log((MU + c'(v)) / (c(v) + MU)) of
-the previous token, plus the gain log(1 + c(v, w) / ((MU + c'(v)) p1(w))) of a kept pair. So a text's score
-is the sum of root arcs and failure weights of its tokens and of the gains of its pairs.
+As an automaton: a state is the previous token (or the start of a text). An arc (v, w) that training has seen leads
+to state w; all others take the failure arc of v, of weight MU / (c(v) + MU), to the root, and the root's arc
+to w, of weight p1(w). A text is traversed once from left to right. With log p(w | v) = log p1(w) + the failure
+weight of v + log(1 + c(v, w) / (MU p1(w))) the steps of a traversal add up in any order, so they are taken where
+their arcs are:
 
-Tokens and pairs that make up at least 1 / WORDS and 1 / ARCS of all tokens (at most WORDS and ARCS) are
-broadcast. The rest, however many, go through joins by token and by pair and are added per text. These
-two numbers change what is joined and not the scores. Counts and joins grow with the corpus; what tasks hold
-does not. Tokens and pairs are known by 64-bit hashes.
+1. One count of single tokens gives N, V, and the words that make up 1 / HOT of all tokens or more.
+2. Tasks walk the texts, some CHUNK tokens at a time, and hand out the steps: per distinct pair of a chunk its
+   training count and the rows (texts) that take it. Steps are dealt by their word, so that one fragment has all arcs into a
+   word and with them its count; those into a hot word are dealt by pair and get its count from the table of hot words
+   (HOT entries at most). Each fragment adds up the counts, weighs its arcs, and returns for each chunk one sum per row.
+3. The sums meet by chunk and become one score per row. A pair that NAMED rows of a chunk or more take sends
+   no rows: its weight comes back under a number, and the rows stay with the chunk. So neither a frequent word
+   nor a frequent pair is more than an entry per chunk anywhere.
+
+Words are known by 64-bit hashes, of which 48 bits travel besides the fragment.
 
 A null text is empty: it has the end mark alone. A null doc_id counts as the empty text for the
 split, so it trains. Repeated rows are counted and scored as often as they occur. Without
@@ -23,46 +29,23 @@ training texts N and V are 0 and every token is unknown. Extra columns are ignor
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelscope.llm import tokens
 from labelscope.runtime import stored
 
-WORDS, ARCS = 1 << 20, 1 << 20
-#: Inverse of the share of all tokens from which the model keeps a pair; None keeps every pair.
-PAIRS = None
 MU = 1000.0
-CHUNK = 1 << 21
+#: Tokens that are walked at once; steps of a fragment, about; inverse share of a hot word; rows from which a pair is named.
+CHUNK, FRAGMENT, HOT, NAMED = 1 << 21, 3 << 20, 1 << 12, 256
+#: Rows of a chunk, numbered in two bytes.
+ROWS = 1 << 16
 END, START = np.uint64(0xE4D), np.uint64(0x57A)
-
-
-class Automaton(NamedTuple):
-    """``hashes``: sorted token hashes, token k has id k + 1; ``root``, ``failure``: log10 p1 and failure weight by id;
-    ``start``: failure weight of the start of a text; ``arcs``, ``gains``: sorted pair hashes and their gain."""
-
-    hashes: np.ndarray
-    root: np.ndarray
-    failure: np.ndarray
-    start: float
-    arcs: np.ndarray
-    gains: np.ndarray
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Ids of tokens; 0 for those outside."""
-        return places(self.hashes, hashes) + 1
-
-
-def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Index of each key in ``sorted_keys``; -1 where it is not there."""
-    if not len(sorted_keys):
-        return np.full(len(keys), -1)
-    place = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[place] == keys, place, -1)
+BITS = np.uint64((1 << 48) - 1)
 
 
 def held_out() -> Column:
@@ -77,20 +60,6 @@ def with_ends(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return row[order], np.concatenate([words.hash, np.full(len(rows), END)])[order]
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
-    """Tokens of some slices at a time, about CHUNK of them."""
-    held, size = [], 0
-    for batch in batches:
-        for part in tokens.text_slices(batch):
-            held.append(with_ends(part.column("text")))
-            size += len(held[-1][0])
-            if size >= CHUNK:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
-
-
 def before(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """The token before each one; START at the first of a text."""
     first = np.ones(len(row), bool)
@@ -98,152 +67,212 @@ def before(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(first, START, np.concatenate([[START], hashes[:-1]]))
 
 
-def pair_keys(prev: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return tokens.mixed(tokens.mixed(prev) + word)
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
+    """(slices, row, hash) of about CHUNK tokens and at most ROWS rows at a time."""
+    parts, held, size, rows = [], [], 0, 0
 
+    def joined():
+        return parts, np.concatenate([r for r, _ in held]), np.concatenate([h for _, h in held])
 
-def signed(hashes: np.ndarray) -> pa.Array:
-    return pa.array(hashes.view(np.int64))
+    for batch in batches:
+        for whole in tokens.text_slices(batch):
+            for start in range(0, whole.num_rows, ROWS):
+                part = whole.slice(start, ROWS)
+                if rows and (size >= CHUNK or rows + part.num_rows > ROWS):
+                    yield joined()
+                    parts, held, size, rows = [], [], 0, 0
+                row, hashes = with_ends(part.column("text"))
+                parts.append(part)
+                held.append((row + rows, hashes))
+                size, rows = size + len(row), rows + part.num_rows
+    if rows:
+        yield joined()
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
     """word (hash), c: count of each token in ``texts``."""
 
     def task(batches):
-        for held in chunks(batches):
-            found, n = np.unique(np.concatenate([hashes for _, hashes in held]), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"word": signed(found), "n": pa.array(n)})
+        for _, _, hashes in chunks(batches):
+            found, n = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"word": pa.array(found.view(np.int64)), "n": pa.array(n)})
 
     return texts.select("text").mapInArrow(task, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """prev, word (hashes), n: count of each pair of neighbours in ``texts``."""
-
-    def task(batches):
-        for held in chunks(batches):
-            word = np.concatenate([hashes for _, hashes in held])
-            prev = np.concatenate([before(*part) for part in held])
-            _, first, n = np.unique(pair_keys(prev, word), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"prev": signed(prev[first]), "word": signed(word[first]), "n": pa.array(n)})
-
-    return texts.select("text").mapInArrow(task, "prev long, word long, n long").groupBy("prev", "word").agg(F.sum("n").alias("n"))
-
-
-def with_spare(counts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``counts`` with spare = MU + c'(v). When all pairs are kept, every token but the end mark starts as many as it occurs."""
-    if PAIRS is None:
-        kept = F.when(F.col("word") == int(END), F.lit(0)).otherwise(F.col("c"))
-        return counts.withColumn("spare", MU + F.col("c") - kept)
-    starts = pairs.groupBy(F.col("prev").alias("word")).agg(F.sum("n").alias("_kept"))
-    return counts.join(starts, "word", "left").select("word", "c", (MU + F.col("c") - F.coalesce("_kept", F.lit(0))).alias("spare"))
-
-
-def build(words: DataFrame, pairs: DataFrame, total: int, distinct: int, documents: int) -> Automaton:
-    """The automaton of the stored ``words`` and ``pairs``; at most WORDS tokens and ARCS pairs come to the driver."""
-    log_p1 = lambda c: np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
-    known = words.where(F.col("c") * WORDS >= total).toArrow()
-    hashes, c, spare = known["word"].to_numpy().view(np.uint64), known["c"].to_numpy(), known["spare"].to_numpy()
-    order = np.argsort(hashes)
-    hashes, c, spare = hashes[order], c[order], spare[order]
-    kept = pairs.where(F.col("prev") == int(START)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    start = MU + documents - kept
-    root = np.concatenate([[0.0], log_p1(c)])
-    found = pairs.where(F.col("n") * arcs_of() >= total).toArrow()
-    prev, word, n = found["prev"].to_numpy().view(np.uint64), found["word"].to_numpy().view(np.uint64), found["n"].to_numpy()
-    left = np.concatenate([[start], spare])[places(hashes, prev) + 1]  # a previous token that is not there is START
-    gains = np.log10(1 + n / (left * 10.0 ** root[places(hashes, word) + 1]))
-    keys = pair_keys(prev, word)
-    order = np.argsort(keys)
-    return Automaton(
-        hashes, root, np.concatenate([[0.0], np.log10(spare / (c + MU))]), float(np.log10(start / (documents + MU))), keys[order], gains[order]
-    )
-
-
-def arcs_of() -> int:
-    """A broadcast pair's tokens are broadcast too."""
-    return min(ARCS, WORDS)
-
-
-def joined_pairs(pairs: DataFrame, words: DataFrame, automaton, total: int, p1, start: float) -> DataFrame:
-    """pair (hash), gain: of the pairs that are not broadcast. p1 of the broadcast tokens needs no join."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Automaton = automaton.value
-        for batch in batches:
-            prev, word = (batch.column(x).to_numpy().view(np.uint64) for x in ("prev", "word"))
-            ids = model.ids(word)
-            yield pa.RecordBatch.from_pydict({
-                "prev": batch.column("prev"), "word": batch.column("word"), "n": batch.column("n"), "pair": signed(pair_keys(prev, word)),
-                "p1": pa.array(10.0 ** model.root[ids], mask=ids == 0),
-            })
-
-    rare = pairs.where(F.col("n") * arcs_of() < total).mapInArrow(task, "prev long, word long, n long, pair long, p1 double")
-    if PAIRS is None:
-        rare = rare.withColumn("spare", F.lit(MU))
-    else:
-        first = words.sparkSession.createDataFrame([(int(START), start)], "prev long, spare double")
-        rare = rare.join(words.select(F.col("word").alias("prev"), "spare").union(first), "prev")
-    gain = lambda p: F.log10(1 + F.col("n") / (F.col("spare") * p)).alias("gain")
-    here = rare.where("p1 is not null").select("pair", gain(F.col("p1")))
-    return here.union(rare.where("p1 is null").join(words.select("word", "c"), "word").select("pair", gain(p1("c"))))
-
-
-def traverse(docs: DataFrame, automaton) -> DataFrame:
-    """doc_id, held_out, n_tokens, known, base, score over what is broadcast, and the ``rest`` of the words and ``pairs``."""
+def packed(hashes: np.ndarray) -> bytes:
+    """The low 48 bits of each hash, six bytes each."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    whole = np.zeros((len(data) // 6, 8), np.uint8)
+    whole[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return whole.view("<u8").ravel().astype(np.uint64)
+
+
+def heads(*columns: np.ndarray) -> np.ndarray:
+    """Whether any of the columns differs from the row before."""
+    found = np.ones(len(columns[0]), bool)
+    found[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return found
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
+
+
+STEPS = ("fragment long, chunk long, words binary, pairs binary, prevs binary, counts binary, takers binary, rows binary, times binary, "
+         "named binary, names binary, doc_ids array<long>, held array<boolean>, lengths array<long>")
+
+
+def dealt_steps(docs: DataFrame, fragments: int, hot) -> DataFrame:
+    """STEPS of all texts: a row per chunk and fragment, and one per chunk (with a negative fragment) for its texts.
+
+    ``words``: distinct words, 6 bytes each; ``pairs``: arcs into each; ``prevs``, ``counts``, ``takers``: the arcs'
+    previous word, training count and number of rows; ``rows``, ``times``: rows and how often each takes the arc;
+    ``named``, ``names``: places and numbers of the named arcs. The row of the texts has the named arcs' rows.
+    """
+
+    def cut(fragment, chunk, word, prev, count, takers, row, times, name) -> Iterator[dict]:
+        """Arcs sorted by fragment and word, with their takers behind one another, as a row per fragment."""
+        ends = np.concatenate([[0], np.cumsum(takers)])
+        used, first = np.unique(fragment, return_index=True)
+        for f, a, b in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(fragment)]):
+            head = np.flatnonzero(heads(word[a:b]))
+            some = np.flatnonzero(name[a:b] >= 0)
+            yield {
+                "fragment": f, "chunk": chunk, "words": packed(word[a:b][head]), "pairs": np.diff(np.append(head, b - a)).astype("<u4").tobytes(),
+                "prevs": packed(prev[a:b]), "counts": count[a:b].astype("<u4").tobytes(), "takers": takers[a:b].astype("<u2").tobytes(),
+                "rows": row[ends[a]:ends[b]].astype("<u2").tobytes(), "times": times[ends[a]:ends[b]].astype("<u4").tobytes(),
+                "named": some.astype("<u4").tobytes(), "names": name[a:b][some].astype("<u4").tobytes(),
+            }
+
+    def steps(chunk: int, parts: list[pa.RecordBatch], row: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
+        held = np.concatenate([p.column("held_out").to_numpy(zero_copy_only=False) for p in parts]).astype(bool)
+        prev = before(row, word)
+        word, prev, lengths = word & BITS, prev & BITS, np.bincount(row, minlength=len(held))
+        fragment = tokens.mixed(word)
+        frequent = np.isin(word, hot.value[0])
+        fragment[frequent] = tokens.mixed(fragment[frequent] + tokens.mixed(prev[frequent]))
+        fragment = (fragment % np.uint64(fragments)).astype(np.int64)
+        order = np.lexsort((row, prev, word, fragment))
+        fragment, word, prev, row = fragment[order], word[order], prev[order], row[order]
+        # steps of one row along one arc, then arcs
+        head = np.flatnonzero(heads(fragment, word, prev, row))
+        times = np.diff(np.append(head, len(row)))
+        fragment, word, prev, row = fragment[head], word[head], prev[head], row[head]
+        arc = np.flatnonzero(heads(fragment, word, prev))
+        takers = np.diff(np.append(arc, len(row)))
+        trained = np.concatenate([[0], np.cumsum(times * ~held[row])])
+        count = np.diff(trained[np.append(arc, len(row))])
+        name = np.full(len(arc), -1)
+        large = np.flatnonzero(takers >= NAMED)
+        name[large] = np.arange(len(large))
+        apart = np.repeat(name >= 0, takers)
+        own = {"fragment": -1 - chunk, "chunk": chunk, "takers": takers[large].astype("<u4").tobytes(), "rows": row[apart].astype("<u2").tobytes(),
+               "times": times[apart].astype("<u4").tobytes(), "doc_ids": sum((p.column("doc_id").to_pylist() for p in parts), []),
+               "held": held.tolist(), "lengths": lengths.tolist()}
+        sent = np.where(name >= 0, 0, takers)
+        found = [own, *cut(fragment[arc], chunk, word[arc], prev[arc], count, sent, row[~apart], times[~apart], name)]
+        return pa.RecordBatch.from_pylist(found, schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Automaton = automaton.value
-        for batch in batches:
-            for part in tokens.text_slices(batch):
-                row, hashes = with_ends(part.column("text"))
-                ids, at = model.ids(hashes), tokens.segments(row, part.num_rows)
-                keys = pair_keys(before(row, hashes), hashes)
-                arc, outside = places(model.arcs, keys), ids == 0
-                gain = np.concatenate([model.gains, [0.0]])[arc]
-                per_text = lambda values: np.add.reduceat(values, at[:-1])  # every text has its end mark
-                base = per_text(model.root[ids])
-                some = lambda values, which: tokens.lists(
-                    values[which].view(np.int64), np.concatenate([[0], np.cumsum(per_text(which.astype(np.int64)))])
-                )
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "n_tokens": pa.array(np.diff(at)),
-                    "known": pa.array(per_text((~outside).astype(np.int64))), "base": pa.array(base),
-                    "score": pa.array(base + model.start + per_text(model.failure[ids] + gain)),
-                    "rest": some(hashes, outside), "pairs": some(keys, arc < 0),
-                })
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out")).mapInArrow(
-        task, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<long>, pairs array<long>"
-    )
+        from pyspark import TaskContext
+
+        at = TaskContext.get().partitionId() << 32
+        for k, (parts, row, hashes) in enumerate(chunks(batches)):
+            yield steps(at + k, parts, row, hashes)
+
+    schema = arrow_schema(STEPS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out")).mapInArrow(task, STEPS)
+
+
+SUMS = ("chunk long, rows binary, base binary, score binary, known binary, names binary, name_base binary, name_score binary, "
+        "name_known binary, takers binary, times binary, doc_ids array<long>, held array<boolean>, lengths array<long>")
+
+
+def weighed(group: pa.Table, total: int, distinct: int, hot) -> pa.Table:
+    """SUMS of one fragment: for each chunk what its rows get from the arcs of this fragment."""
+    rows, schema = group.to_pylist(), arrow_schema(SUMS)
+    if rows[0]["fragment"] < 0:
+        return pa.Table.from_pylist([{c: row[c] for c in ("chunk", "rows", "takers", "times", "doc_ids", "held", "lengths")} for row in rows], schema)
+    numbers = lambda name, kind: np.frombuffer(b"".join(row[name] for row in rows), kind).astype(np.int64)
+    words, prev = unpacked(b"".join(row["words"] for row in rows)), unpacked(b"".join(row["prevs"] for row in rows))
+    count, takers = numbers("counts", "<u4"), numbers("takers", "<u2")
+    found, place = np.unique(words, return_inverse=True)
+    word = np.repeat(place, numbers("pairs", "<u4"))
+    c = np.bincount(word, weights=count, minlength=len(found))
+    names, known = hot
+    if len(names):
+        at = np.minimum(np.searchsorted(names, found), len(names) - 1)
+        c = np.where(names[at] == found, known[at], c)
+    _, arc = np.unique(tokens.mixed(prev ^ tokens.mixed(word.astype(np.uint64))), return_inverse=True)
+    n = np.bincount(arc, weights=count)[arc]
+    all_mass = total + 0.5 * (distinct + 1)
+    root = np.log10((c + 0.5) / all_mass)
+    failure = np.where(found == END, 0.0, np.log10(MU / (c + MU)))
+    base = root[word]
+    score = base + failure[word] + np.log10(1 + n * all_mass / (MU * (c[word] + 0.5)))
+    seen = (c > 0)[word]
+    result, a = [], 0
+    for row in rows:
+        b = a + len(row["prevs"]) // 6
+        own = np.repeat(np.arange(a, b), np.frombuffer(row["takers"], "<u2"))
+        taker, times = np.frombuffer(row["rows"], "<u2"), np.frombuffer(row["times"], "<u4")
+        used, place = np.unique(taker, return_inverse=True)
+        summed = lambda values: np.bincount(place, weights=times * values[own], minlength=len(used)).tobytes()
+        named = a + np.frombuffer(row["named"], "<u4").astype(np.int64)
+        result.append({
+            "chunk": row["chunk"], "rows": used.astype("<u2").tobytes(), "base": summed(base), "score": summed(score), "known": summed(seen.astype(float)),
+            "names": row["names"], "name_base": base[named].tobytes(), "name_score": score[named].tobytes(), "name_known": seen[named].astype(float).tobytes(),
+        })
+        a = b
+    return pa.Table.from_pylist(result, schema)
+
+
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def gathered(group: pa.Table, start: float) -> pa.Table:
+    """SCORES of the texts of one chunk."""
+    rows = group.to_pylist()
+    own = next(row for row in rows if row["doc_ids"] is not None)
+    columns = ("base", "score", "known")
+    sums = {c: np.zeros(len(own["doc_ids"])) for c in columns}
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(own["takers"], "<u4").astype(np.int64))])
+    takers, times = np.frombuffer(own["rows"], "<u2"), np.frombuffer(own["times"], "<u4")
+    for row in rows:
+        if row is own:
+            continue
+        used = np.frombuffer(row["rows"], "<u2")
+        for c in columns:
+            sums[c][used] += np.frombuffer(row[c])
+        for k, name in enumerate(np.frombuffer(row["names"], "<u4").tolist()):
+            span = slice(ends[name], ends[name + 1])
+            for c in columns:
+                sums[c][takers[span]] += times[span] * np.frombuffer(row[f"name_{c}"])[k]
+    return pa.table({
+        "doc_id": pa.array(own["doc_ids"], pa.int64()), "held_out": pa.array(own["held"], pa.bool_()), "n_tokens": pa.array(own["lengths"], pa.int64()),
+        "n_known": pa.array(np.rint(sums["known"]).astype(np.int64)), "base_score": pa.array(sums["base"]), "score": pa.array(sums["score"] + start),
+    })
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``."""
-    texts = docs.where(~held_out())
-    counts = stored(token_counts(texts), "token-counts")
+    counts = stored(token_counts(docs.where(~held_out())), "token-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = counts.where(F.col("word") == int(END)).select("c").first()
     documents = ends[0] if ends else 0
-    pairs = pair_counts(texts)
-    pairs = stored(pairs if PAIRS is None else pairs.where(F.col("n") * PAIRS >= total), "pair-counts")
-    words = counts.transform(with_spare, pairs)
-    words = words if PAIRS is None else stored(words, "token-spares")
-    model = build(words, pairs, total, distinct, documents)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = stored(traverse(docs, shared).withColumn("row", F.monotonically_increasing_id()), "traversed")
-    p1 = lambda c: (F.coalesce(c, F.lit(0)) + 0.5) / F.lit(total + 0.5 * (distinct + 1))
-    rest = (
-        rows.select("row", F.explode("rest").alias("word")).join(words, "word", "left").groupBy("row").agg(
-            F.sum(F.log10(p1("c"))).alias("_root"), F.count_if(F.col("c") > 0).alias("_known"),
-            F.sum(F.log10(F.col("spare") / (F.col("c") + MU))).alias("_failure"),
-        )
-    )
-    start = float(10.0 ** model.start * (documents + MU))
-    gains = rows.select("row", F.explode("pairs").alias("pair")).join(joined_pairs(pairs, words, shared, total, p1, start), "pair")
-    gains = gains.groupBy("row").agg(F.sum("gain").alias("_gain"))
-    more = lambda column, *by: sum((F.coalesce(x, F.lit(0)) for x in by), F.col(column))
-    return rows.drop("rest", "pairs").join(rest, "row", "left").join(gains, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", more("known", "_known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        more("base", "_root").alias("base_score"), more("score", "_root", "_failure", "_gain").alias("score"),
-    )
+    often = counts.where(F.col("c") * HOT >= total).toArrow()  # HOT rows at most
+    names = often["word"].to_numpy().view(np.uint64) & BITS
+    order = np.argsort(names)
+    hot = docs.sparkSession.sparkContext.broadcast((names[order], often["c"].to_numpy()[order].astype(float)))
+    # held-out texts have steps too: a quarter as many again, about
+    fragments = max(1, -(-5 * total // (4 * FRAGMENT)))
+    steps = dealt_steps(docs, fragments, hot).groupBy("fragment")
+    sums = steps.applyInArrow(lambda group: weighed(group, total, distinct, hot.value), SUMS)
+    start = float(np.log10(MU / (documents + MU)))
+    found = sums.groupBy("chunk").applyInArrow(lambda group: gathered(group, start), SCORES)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
