@@ -42,7 +42,7 @@ GRID = 8
 HOT = 0.01
 LAST = 2**63 - 1
 #: Postings of a fragment, about; slices of texts whose postings go out together; lines of a block.
-FRAGMENT, SLICES, BLOCK = 1 << 20, 16, 1024
+FRAGMENT, SLICES, BLOCK = 1 << 20, 64, 1024
 #: Size of the filter that picks the lines of candidate components; a fuller one lets more through.
 FILTER_BITS = 1 << 26
 
@@ -240,8 +240,8 @@ def on_grid(own, place, cell, role, hot, node):
 def close_rows(group: pa.Table, percent: int) -> pa.Table:
     """Edges (u, v) between postings of one cell that pass all filters, for the cells of one fragment.
 
-    In order of cell and length, posting r is compared with the postings d = 1, 2, ... before it for as long as these are in
-    its cell and long enough; all postings move on together. What edges have joined already gives no further edge.
+    In order of cell and length, every probing posting is compared with the indexed ones before it, the last one first, for as
+    long as these are in its cell and long enough; all move on together. What edges have joined gives no further edge.
     """
     rows = {name: pc.list_flatten(group[name].combine_chunks()).to_numpy(zero_copy_only=False) for name in FIELDS}
     by = np.lexsort([rows[name] for name in ("node", "place", "cell")])
@@ -250,29 +250,35 @@ def close_rows(group: pa.Table, percent: int) -> pa.Table:
     again[1:] = np.logical_and.reduce([rows[x][1:] == rows[x][:-1] for x in ("cell", "node", "place")])
     rows = {name: values[~again] for name, values in rows.items()}
     cell, packed, node = rows["cell"], rows["place"], rows["node"]
-    n, place, role, size = packed >> 32, (packed >> 2) & ((1 << 30) - 1), packed & 3, len(node)
+    n = packed >> 32
+    after, role, size = n - ((packed >> 2) & ((1 << 30) - 1)), packed & 3, len(node)
     change = np.ones(size, bool)
     change[1:] = cell[1:] != cell[:-1]
-    start = np.maximum.accumulate(np.where(change, np.arange(size), 0))
-    top, found, d = np.arange(size), [(node[:0], node[:0])], 1
-    late = np.arange(size)
+    indexed = np.flatnonzero(role & INDEXED)
+    n_indexed, after_indexed = n[indexed], after[indexed]
+    number = np.searchsorted(indexed, np.arange(size))  # indexed postings before each one
+    first = number[np.maximum.accumulate(np.where(change, np.arange(size), 0))]
+    top, found = np.arange(size), [(node[:0], node[:0])]
+    late = np.flatnonzero((role & PROBING > 0) & (number > first))
+    early, first, n_late, after_late = number[late] - 1, first[late], n[late], after[late]
     while len(late):
-        late = late[late - d >= start[late]]
-        late = late[100 * n[late - d] >= percent * n[late]]
-        early = late - d
-        least = needed(n[early], n[late], percent)
-        ok = np.minimum(n[early] - place[early], n[late] - place[late]) >= least
-        ok &= (role[early] & INDEXED > 0) & (role[late] & PROBING > 0) & (top[early] != top[late]) & (node[early] != node[late])
-        a, b = early[ok], late[ok]
-        apart = sum(np.bitwise_count((rows[x][a] ^ rows[x][b]).view(np.uint64)).astype(np.int64) for x in ("sketch_a", "sketch_b"))
-        close = apart <= n[a] + n[b] - 2 * least[ok]
-        a, b = a[close], b[close]
+        n_early = n_indexed[early]
+        ok = np.minimum(after_indexed[early], after_late) * (100 + percent) >= percent * (n_early + n_late)
+        a, b = indexed[early[ok]], late[ok]
+        apart_from = top[a] != top[b]
+        a, b = a[apart_from], b[apart_from]
+        if len(a):
+            apart = sum(np.bitwise_count((rows[x][a] ^ rows[x][b]).view(np.uint64)).astype(np.int64) for x in ("sketch_a", "sketch_b"))
+            close = apart <= n[a] + n[b] - 2 * needed(n[a], n[b], percent)
+            a, b = a[close], b[close]
         if len(a):
             found.append((node[a], node[b]))
             np.minimum.at(top, np.maximum(top[a], top[b]), np.minimum(top[a], top[b]))
             while (top[top] != top).any():
                 top = top[top]
-        d += 1
+        early = early - 1
+        more = np.flatnonzero((early >= first) & (100 * n_indexed[early] >= percent * n_late))
+        late, early, first, n_late, after_late = (x[more] for x in (late, early, first, n_late, after_late))
     u, v = (np.concatenate(x) for x in zip(*found))
     return pa.table({"u": pa.array(u), "v": pa.array(v)})
 

@@ -7,6 +7,7 @@ whole rows, so that memory follows the slice and the longest text only.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -14,11 +15,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
-BLANK = np.zeros(256, bool)
-BLANK[[32, 9, 10, 11, 12, 13]] = True
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
+SLICE_BYTES = 1 << 19
+FULL = np.ones(256, bool)
+FULL[[32, 9, 10, 11, 12, 13]] = False
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: The low 0 to 8 bytes of a number; bytes from which a word is digested alone.
+LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LONG = 256
 
 
 class Words(NamedTuple):
@@ -38,24 +42,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values(lower: bool) -> np.ndarray:
-    values = mixed(np.arange(256, dtype=np.uint64) + np.uint64(1 << 40))
-    if lower:
-        values[65:91] = values[97:123]
-    return values
-
-
-VALUES = {flag: _byte_values(flag) for flag in (False, True)}
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power_table(base: int, n: int) -> np.ndarray:
-    table = _powers.get(base)
-    if table is None or len(table) < n:
-        steps = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
-        steps[0] = 1
-        table = _powers[base] = np.cumprod(steps, dtype=np.uint64)
-    return table[:n]
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, taken eight bytes at a time over all words together."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each place on
+    size = end - start
+    hashes = mixed((eight[start] & LOW[np.minimum(size, 8)]) + size.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+    more, at = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(more):
+        part = eight[start[more] + at] & LOW[np.minimum(size[more] - at, 8)]
+        hashes[more] = mixed((hashes[more] ^ part) + np.uint64(at))
+        at += 8
+        more = more[size[more] > at]
+    for k in np.flatnonzero(size > LONG).tolist():
+        hashes[k] = int.from_bytes(hashlib.blake2b(data[start[k]:end[k]], digest_size=8).digest(), "little")
+    return hashes
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -88,7 +90,7 @@ def split_words(texts: pa.Array, lower: bool, line_breaks: bool = False) -> Word
     n = len(data)
     if not n:
         return Words(*(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint64))
-    full = ~BLANK[data]
+    full = FULL[data]
     first = full.copy()
     first[1:] &= ~full[:-1]
     heads = ends[:-1][ends[:-1] < n]
@@ -98,12 +100,10 @@ def split_words(texts: pa.Array, lower: bool, line_breaks: bool = False) -> Word
     tails = ends[1:][ends[1:] > 0] - 1
     last[tails] = full[tails]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(VALUES[lower][data] * _power_table(BASE, n), out=sums[1:])
-    polynomial = (sums[end] - sums[start]) * _power_table(INVERSE, n)[start]
-    hashes = mixed(polynomial ^ ((end - start).astype(np.uint64) << np.uint64(48)))
+    hashes = word_hashes(LOWER[data] if lower else data, start, end)
     bounds = line_starts(data, ends) if line_breaks else ends[:-1]
-    return Words(np.searchsorted(bounds, start, side="right") - 1, start, end, hashes)
+    held = np.diff(np.append(np.searchsorted(start, bounds), len(start)))
+    return Words(np.repeat(np.arange(len(bounds)), held), start, end, hashes)
 
 
 def line_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
