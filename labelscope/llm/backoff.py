@@ -11,13 +11,13 @@ weight of v + log(1 + c(v, w) / (MU p1(w))) the steps of a traversal add up in a
 their arcs are:
 
 1. One count of single tokens gives N, V, and the words that make up 1 / HOT of all tokens or more.
-2. Tasks walk the texts, some CHUNK tokens at a time, and hand out the steps: per distinct pair of a chunk its
-   training count and the rows (texts) that take it. Steps are dealt by their word, so that one fragment has all arcs into a
-   word and with them its count; those into a hot word are dealt by pair and get its count from the table of hot words
-   (HOT entries at most). Each fragment adds up the counts, weighs its arcs, and returns for each chunk one sum per row.
-3. The sums meet by chunk and become one score per row. A pair that NAMED rows of a chunk or more take sends
-   no rows: its weight comes back under a number, and the rows stay with the chunk. So neither a frequent word
-   nor a frequent pair is more than an entry per chunk anywhere.
+2. Tasks walk the texts, some CHUNK tokens at a time, and hand out each chunk's distinct arcs with their training counts.
+   Arcs are dealt by their word, so that one fragment has all arcs into a word and with them its count; those into a
+   hot word are dealt by pair and get its count from the table of hot words (HOT entries at most). Each fragment adds
+   up the counts and answers every chunk with the counts of its words and arcs, in the order they came.
+3. Which texts take which arc stays with the chunk, in the same order. Where the answers meet it, arcs are weighed and
+   every text adds up the steps of its traversal. A frequent word or pair is an entry per chunk anywhere, and
+   what moves grows with the tokens.
 
 Words are known by 64-bit hashes, of which 48 bits travel besides the fragment.
 
@@ -40,8 +40,8 @@ from labelscope.llm import tokens
 from labelscope.runtime import stored
 
 MU = 1000.0
-#: Tokens that are walked at once; steps of a fragment, about; inverse share of a hot word; rows from which a pair is named.
-CHUNK, FRAGMENT, HOT, NAMED = 1 << 21, 3 << 20, 1 << 12, 256
+#: Tokens that are walked at once; tokens whose arcs make up a fragment, about; inverse share of a hot word.
+CHUNK, FRAGMENT, HOT = 1 << 20, 1 << 21, 1 << 12
 #: Rows of a chunk, numbered in two bytes.
 ROWS = 1 << 16
 END, START = np.uint64(0xE4D), np.uint64(0x57A)
@@ -124,29 +124,25 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 
 STEPS = ("fragment long, chunk long, words binary, pairs binary, prevs binary, counts binary, takers binary, rows binary, times binary, "
-         "named binary, names binary, doc_ids array<long>, held array<boolean>, lengths array<long>")
+         "ends binary, doc_ids array<long>, held array<boolean>, lengths array<long>")
 
 
 def dealt_steps(docs: DataFrame, fragments: int, hot) -> DataFrame:
-    """STEPS of all texts: a row per chunk and fragment, and one per chunk (with a negative fragment) for its texts.
+    """STEPS of all texts: a row per chunk and fragment with its arcs, and one per chunk (with a negative fragment) with its texts.
 
-    ``words``: distinct words, 6 bytes each; ``pairs``: arcs into each; ``prevs``, ``counts``, ``takers``: the arcs'
-    previous word, training count and number of rows; ``rows``, ``times``: rows and how often each takes the arc;
-    ``named``, ``names``: places and numbers of the named arcs. The row of the texts has the named arcs' rows.
+    ``words``: distinct words, 6 bytes each; ``pairs``: arcs into each; ``prevs``, ``counts``: the arcs' previous word and
+    training count. With the texts, over the arcs of all fragments in order: ``takers``, rows that take an arc; ``rows``,
+    ``times``: which ones and how often; ``ends``: places of the end mark among the words.
     """
+    schema = arrow_schema(STEPS)
 
-    def cut(fragment, chunk, word, prev, count, takers, row, times, name) -> Iterator[dict]:
-        """Arcs sorted by fragment and word, with their takers behind one another, as a row per fragment."""
-        ends = np.concatenate([[0], np.cumsum(takers)])
+    def cut(fragment, chunk, word, prev, count) -> Iterator[dict]:
         used, first = np.unique(fragment, return_index=True)
         for f, a, b in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(fragment)]):
             head = np.flatnonzero(heads(word[a:b]))
-            some = np.flatnonzero(name[a:b] >= 0)
             yield {
                 "fragment": f, "chunk": chunk, "words": packed(word[a:b][head]), "pairs": np.diff(np.append(head, b - a)).astype("<u4").tobytes(),
-                "prevs": packed(prev[a:b]), "counts": count[a:b].astype("<u4").tobytes(), "takers": takers[a:b].astype("<u2").tobytes(),
-                "rows": row[ends[a]:ends[b]].astype("<u2").tobytes(), "times": times[ends[a]:ends[b]].astype("<u4").tobytes(),
-                "named": some.astype("<u4").tobytes(), "names": name[a:b][some].astype("<u4").tobytes(),
+                "prevs": packed(prev[a:b]), "counts": count[a:b].astype("<u4").tobytes(),
             }
 
     def steps(chunk: int, parts: list[pa.RecordBatch], row: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
@@ -164,19 +160,16 @@ def dealt_steps(docs: DataFrame, fragments: int, hot) -> DataFrame:
         times = np.diff(np.append(head, len(row)))
         fragment, word, prev, row = fragment[head], word[head], prev[head], row[head]
         arc = np.flatnonzero(heads(fragment, word, prev))
-        takers = np.diff(np.append(arc, len(row)))
-        trained = np.concatenate([[0], np.cumsum(times * ~held[row])])
-        count = np.diff(trained[np.append(arc, len(row))])
-        name = np.full(len(arc), -1)
-        large = np.flatnonzero(takers >= NAMED)
-        name[large] = np.arange(len(large))
-        apart = np.repeat(name >= 0, takers)
-        own = {"fragment": -1 - chunk, "chunk": chunk, "takers": takers[large].astype("<u4").tobytes(), "rows": row[apart].astype("<u2").tobytes(),
-               "times": times[apart].astype("<u4").tobytes(), "doc_ids": sum((p.column("doc_id").to_pylist() for p in parts), []),
-               "held": held.tolist(), "lengths": lengths.tolist()}
-        sent = np.where(name >= 0, 0, takers)
-        found = [own, *cut(fragment[arc], chunk, word[arc], prev[arc], count, sent, row[~apart], times[~apart], name)]
-        return pa.RecordBatch.from_pylist(found, schema)
+        bounds = np.append(arc, len(row))
+        count = np.diff(np.concatenate([[0], np.cumsum(times * ~held[row])])[bounds])
+        fragment, word, prev = fragment[arc], word[arc], prev[arc]
+        own = {
+            "fragment": -1 - chunk, "chunk": chunk, "takers": np.diff(bounds).astype("<u4").tobytes(),
+            "rows": row.astype("<u2").tobytes(), "times": times.astype("<u4").tobytes(),
+            "ends": np.flatnonzero(word[heads(fragment, word)] == END).astype("<u4").tobytes(),
+            "doc_ids": sum((p.column("doc_id").to_pylist() for p in parts), []), "held": held.tolist(), "lengths": lengths.tolist(),
+        }
+        return pa.RecordBatch.from_pylist([own, *cut(fragment, chunk, word, prev, count)], schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -185,77 +178,63 @@ def dealt_steps(docs: DataFrame, fragments: int, hot) -> DataFrame:
         for k, (parts, row, hashes) in enumerate(chunks(batches)):
             yield steps(at + k, parts, row, hashes)
 
-    schema = arrow_schema(STEPS)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out")).mapInArrow(task, STEPS)
 
 
-SUMS = ("chunk long, rows binary, base binary, score binary, known binary, names binary, name_base binary, name_score binary, "
-        "name_known binary, takers binary, times binary, doc_ids array<long>, held array<boolean>, lengths array<long>")
+ANSWERS = ("fragment long, chunk long, counts binary, pairs binary, together binary, takers binary, rows binary, times binary, ends binary, "
+           "doc_ids array<long>, held array<boolean>, lengths array<long>")
 
 
-def weighed(group: pa.Table, total: int, distinct: int, hot) -> pa.Table:
-    """SUMS of one fragment: for each chunk what its rows get from the arcs of this fragment."""
-    rows, schema = group.to_pylist(), arrow_schema(SUMS)
-    if rows[0]["fragment"] < 0:
-        return pa.Table.from_pylist([{c: row[c] for c in ("chunk", "rows", "takers", "times", "doc_ids", "held", "lengths")} for row in rows], schema)
-    numbers = lambda name, kind: np.frombuffer(b"".join(row[name] for row in rows), kind).astype(np.int64)
-    words, prev = unpacked(b"".join(row["words"] for row in rows)), unpacked(b"".join(row["prevs"] for row in rows))
-    count, takers = numbers("counts", "<u4"), numbers("takers", "<u2")
+def answered(group: pa.Table, hot: tuple[np.ndarray, np.ndarray]) -> pa.Table:
+    """ANSWERS of one fragment to each chunk: the counts of its words (``counts``), the arcs into each (``pairs``), and the
+    counts of its arcs (``together``); the texts of a chunk pass."""
+    schema = arrow_schema(ANSWERS)
+    if group["fragment"][0].as_py() < 0:
+        return pa.table({f.name: group[f.name] if f.name in group.column_names and f.name not in ("counts", "pairs") else pa.nulls(group.num_rows, f.type) for f in schema})
+    joined = lambda name: b"".join(group[name].to_pylist())
+    words, prev = unpacked(joined("words")), unpacked(joined("prevs"))
+    count, pairs = np.frombuffer(joined("counts"), "<u4"), np.frombuffer(joined("pairs"), "<u4").astype(np.int64)
     found, place = np.unique(words, return_inverse=True)
-    word = np.repeat(place, numbers("pairs", "<u4"))
-    c = np.bincount(word, weights=count, minlength=len(found))
+    word = np.repeat(place, pairs)
+    total = np.bincount(word, weights=count, minlength=len(found))
     names, known = hot
     if len(names):
         at = np.minimum(np.searchsorted(names, found), len(names) - 1)
-        c = np.where(names[at] == found, known[at], c)
+        total = np.where(names[at] == found, known[at], total)
+    total = total.astype("<u8")[place]
     _, arc = np.unique(tokens.mixed(prev ^ tokens.mixed(word.astype(np.uint64))), return_inverse=True)
-    n = np.bincount(arc, weights=count)[arc]
-    all_mass = total + 0.5 * (distinct + 1)
-    root = np.log10((c + 0.5) / all_mass)
-    failure = np.where(found == END, 0.0, np.log10(MU / (c + MU)))
-    base = root[word]
-    score = base + failure[word] + np.log10(1 + n * all_mass / (MU * (c[word] + 0.5)))
-    seen = (c > 0)[word]
-    result, a = [], 0
-    for row in rows:
-        b = a + len(row["prevs"]) // 6
-        own = np.repeat(np.arange(a, b), np.frombuffer(row["takers"], "<u2"))
-        taker, times = np.frombuffer(row["rows"], "<u2"), np.frombuffer(row["times"], "<u4")
-        used, place = np.unique(taker, return_inverse=True)
-        summed = lambda values: np.bincount(place, weights=times * values[own], minlength=len(used)).tobytes()
-        named = a + np.frombuffer(row["named"], "<u4").astype(np.int64)
-        result.append({
-            "chunk": row["chunk"], "rows": used.astype("<u2").tobytes(), "base": summed(base), "score": summed(score), "known": summed(seen.astype(float)),
-            "names": row["names"], "name_base": base[named].tobytes(), "name_score": score[named].tobytes(), "name_known": seen[named].astype(float).tobytes(),
-        })
-        a = b
-    return pa.Table.from_pylist(result, schema)
+    together = np.bincount(arc, weights=count).astype("<u8")[arc]
+    n_words = np.cumsum([0, *(len(x) // 6 for x in group["words"].to_pylist())]).tolist()
+    n_pairs = np.cumsum([0, *(len(x) // 6 for x in group["prevs"].to_pylist())]).tolist()
+    rows = [
+        {"fragment": f, "chunk": c, "counts": total[a:b].tobytes(), "pairs": p, "together": together[x:y].tobytes()}
+        for f, c, p, a, b, x, y in zip(
+            group["fragment"].to_pylist(), group["chunk"].to_pylist(), group["pairs"].to_pylist(), n_words, n_words[1:], n_pairs, n_pairs[1:])
+    ]
+    return pa.Table.from_pylist(rows, schema)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def gathered(group: pa.Table, start: float) -> pa.Table:
-    """SCORES of the texts of one chunk."""
-    rows = group.to_pylist()
-    own = next(row for row in rows if row["doc_ids"] is not None)
-    columns = ("base", "score", "known")
-    sums = {c: np.zeros(len(own["doc_ids"])) for c in columns}
-    ends = np.concatenate([[0], np.cumsum(np.frombuffer(own["takers"], "<u4").astype(np.int64))])
-    takers, times = np.frombuffer(own["rows"], "<u2"), np.frombuffer(own["times"], "<u4")
-    for row in rows:
-        if row is own:
-            continue
-        used = np.frombuffer(row["rows"], "<u2")
-        for c in columns:
-            sums[c][used] += np.frombuffer(row[c])
-        for k, name in enumerate(np.frombuffer(row["names"], "<u4").tolist()):
-            span = slice(ends[name], ends[name + 1])
-            for c in columns:
-                sums[c][takers[span]] += times[span] * np.frombuffer(row[f"name_{c}"])[k]
+def traversed(group: pa.Table, total: int, distinct: int, documents: int) -> pa.Table:
+    """SCORES of the texts of one chunk: its arcs weighed, and added up along each text."""
+    group = group.sort_by("fragment")  # the texts first, then the answers in the order of the arcs
+    texts = group.slice(0, 1).to_pylist()[0]
+    joined = lambda name, kind: np.frombuffer(b"".join(group[name].slice(1).to_pylist()), kind)
+    c, n = joined("counts", "<u8").astype(float), joined("together", "<u8").astype(float)
+    word = np.repeat(np.arange(len(c)), joined("pairs", "<u4"))
+    mass = total + 0.5 * (distinct + 1)
+    root, failure = np.log10((c + 0.5) / mass), np.log10(MU / (c + MU))
+    failure[np.frombuffer(texts["ends"], "<u4")] = 0.0  # nothing follows the end
+    arc = root[word] + failure[word] + np.log10(1 + n * mass / (MU * (c[word] + 0.5)))
+    own = np.repeat(np.arange(len(n)), np.frombuffer(texts["takers"], "<u4"))
+    row, times = np.frombuffer(texts["rows"], "<u2"), np.frombuffer(texts["times"], "<u4")
+    summed = lambda values: np.bincount(row, weights=times * values[own], minlength=len(texts["lengths"]))
     return pa.table({
-        "doc_id": pa.array(own["doc_ids"], pa.int64()), "held_out": pa.array(own["held"], pa.bool_()), "n_tokens": pa.array(own["lengths"], pa.int64()),
-        "n_known": pa.array(np.rint(sums["known"]).astype(np.int64)), "base_score": pa.array(sums["base"]), "score": pa.array(sums["score"] + start),
+        "doc_id": pa.array(texts["doc_ids"], pa.int64()), "held_out": pa.array(texts["held"], pa.bool_()), "n_tokens": pa.array(texts["lengths"], pa.int64()),
+        "n_known": pa.array(np.rint(summed((c > 0)[word].astype(float))).astype(np.int64)), "base_score": pa.array(summed(root[word])),
+        "score": pa.array(summed(arc) + np.log10(MU / (documents + MU))),
     })
 
 
@@ -269,10 +248,9 @@ def score(docs: DataFrame) -> DataFrame:
     names = often["word"].to_numpy().view(np.uint64) & BITS
     order = np.argsort(names)
     hot = docs.sparkSession.sparkContext.broadcast((names[order], often["c"].to_numpy()[order].astype(float)))
-    # held-out texts have steps too: a quarter as many again, about
+    # held-out texts have arcs too: a quarter as many again, about
     fragments = max(1, -(-5 * total // (4 * FRAGMENT)))
     steps = dealt_steps(docs, fragments, hot).groupBy("fragment")
-    sums = steps.applyInArrow(lambda group: weighed(group, total, distinct, hot.value), SUMS)
-    start = float(np.log10(MU / (documents + MU)))
-    found = sums.groupBy("chunk").applyInArrow(lambda group: gathered(group, start), SCORES)
+    answers = steps.applyInArrow(lambda group: answered(group, hot.value), ANSWERS)
+    found = answers.groupBy("chunk").applyInArrow(lambda group: traversed(group, total, distinct, documents), SCORES)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
