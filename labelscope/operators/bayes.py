@@ -73,26 +73,60 @@ class BayesModel:
                           spark.read.parquet(f"{path}/terms"))
 
 
+#: Classes up to which a row's sums are separate columns (generated code); beyond, arrays are added.
+COLUMNS = 64
+
+
 def weighted_sums(hits: DataFrame, classes: int) -> DataFrame:
     """(row_id, _s): per row the sum of weight * w over its hits (row_id, weight, w), class by class."""
-    sums = [F.sum(F.col("weight") * F.col("w")[i]) for i in range(classes)]
-    return hits.groupBy("row_id").agg(F.array(*sums).alias("_s"))
+    if classes <= COLUMNS:
+        sums = [F.sum(F.col("weight") * F.col("w")[i]) for i in range(classes)]
+        return hits.groupBy("row_id").agg(F.array(*sums).alias("_s"))
+    scaled = lambda hit: F.transform(hit["w"], lambda x: x * hit["weight"])
+    rows = hits.groupBy("row_id").agg(F.collect_list(F.struct("weight", "w")).alias("_hits"))
+    zero = F.array_repeat(F.lit(0.0), classes)
+    return rows.select("row_id", F.aggregate(
+        "_hits", zero, lambda total, hit: F.zip_with(total, scaled(hit), lambda a, b: a + b)
+    ).alias("_s"))
 
 
 def class_sums(weights: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], DataFrame, list[float]]:
     """Classes, their row counts, weight sums per term and class, and per class.
 
-    Only class-sized results reach the driver. Term sums are partially aggregated in each
-    task, so a class with a third of all rows shuffles one row per term and task.
+    Only class-sized results reach the driver. Sums are rows (term, label), partially aggregated in each
+    task, so a class with a third of all rows shuffles one row per term and task, and a term is as long as
+    the classes it occurs in, until it becomes an array.
     """
     counts = labels.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").collect()
+    sums = weights.groupBy("term", "label").agg(F.sum("weight").alias("s"))
     classes = [r["label"] for r in counts]
-    sums = F.array(
-        *[F.sum(F.when(F.col("label") == c, F.col("weight")).otherwise(0.0)) for c in classes]
-    )
-    per_term = stored(weights.groupBy("term").agg(sums.alias("s")), "term-sums")
-    totals = per_term.agg(*[F.sum(F.col("s")[i]) for i in range(len(classes))]).first()
-    return classes, [r["n"] for r in counts], per_term, [t or 0.0 for t in totals]
+    return classes, [r["n"] for r in counts], *sums_by_class(sums, classes)
+
+
+def sums_by_class(sums: DataFrame, classes: list[str]) -> tuple[DataFrame, list[float]]:
+    """(term, s array in class order), and the total per class, of the rows (term, label, s)."""
+    long = stored(sums, "term-sums")
+    cells = F.map_from_entries(F.collect_list(F.struct("label", "s"))).alias("cells")
+    names = F.array(*[F.lit(c) for c in classes])
+    at = lambda c: F.coalesce(F.try_element_at("cells", c), F.lit(0.0))
+    per_term = stored(long.groupBy("term").agg(cells).select("term", F.transform(names, at).alias("s")), "class-sums")
+    totals = {r["label"]: r["t"] for r in long.groupBy("label").agg(F.sum("s").alias("t")).collect()}
+    return per_term, [totals.get(c, 0.0) for c in classes]
+
+
+def fit_soft_nb(weights: DataFrame, soft: DataFrame, alpha: float = 1.0, n_terms: int | None = None) -> BayesModel:
+    """Multinomial Naive Bayes on soft labels: a row counts for each class as much as its teacher gives that class.
+
+    ``weights`` has (row_id, term, weight), ``soft`` (row_id, classes, scores) with one class order and scores
+    that sum to 1, such as the probabilities of another model or of cached answers. Rows without scores count for nothing.
+    """
+    classes = list((soft.select("classes").first() or [[]])[0])
+    shares = soft.where("scores is not null").select("row_id", F.inline(F.arrays_zip(F.col("classes").alias("label"), F.col("scores").alias("p"))))
+    shares = stored(shares.where("p > 0"), "soft-labels")
+    counts = {r["label"]: r["n"] for r in shares.groupBy("label").agg(F.sum("p").alias("n")).collect()}
+    sums = weights.join(shares, "row_id").groupBy("term", "label").agg(F.sum(F.col("weight") * F.col("p")).alias("s"))
+    per_term, totals = sums_by_class(sums, classes)
+    return multinomial_from_sums(classes, [counts.get(c, 0.0) for c in classes], per_term, totals, alpha, True, n_terms)
 
 
 def fit_multinomial_nb(
@@ -112,7 +146,7 @@ def multinomial_from_sums(
 ) -> BayesModel:
     size = per_term.count() if n_terms is None else n_terms
     n = sum(counts)
-    start = [math.log(c / n) if fit_prior else -math.log(len(classes)) for c in counts]
+    start = [(math.log(c / n) if c else float("-inf")) if fit_prior else -math.log(len(classes)) for c in counts]
     logs = F.lit([math.log(t + alpha * size) for t in totals])
     table = per_term.select(
         "term", F.zip_with("s", logs, lambda s, t: F.log(s + F.lit(float(alpha))) - t).alias("w")

@@ -7,7 +7,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from labelscope.functions import scores as sc
+from labelscope.functions import text as tx
 from labelscope.operators import audit as au
+from labelscope.operators import augment as ag
 from labelscope.operators import bayes as nb
 from labelscope.operators import chunks as ck
 from labelscope.operators import features as ft
@@ -303,6 +305,58 @@ def _(spark, d):
     return au.confident_joint(confident(spark, d)).withColumn("share", F.round("share", 6))
 
 
+
+# ---- augmentation, distillation
+
+AUGMENT = f"""{C}, cut AS (SELECT row_id, label, copy, unnest(l) AS w, generate_subscripts(l, 1) - 1 AS i FROM (
+    SELECT row_id, label, list_filter(regexp_split_to_array({i.strip_sql('text')}, '[{i.WS}]+'), lambda w: w <> '') AS l FROM corpus WHERE split = 'train'), range(1, 3) t(copy)),
+  drawn AS (SELECT *, {i.h("concat(row_id, ':42:', copy, ':d:', i)")} % 1000 AS d FROM cut),
+  left_over AS (SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY row_id, copy) AS n FROM
+    (SELECT * FROM drawn QUALIFY d >= 100 OR (i = 0 AND max(d) OVER (PARTITION BY row_id, copy) < 100)) WINDOW w AS (PARTITION BY row_id, copy ORDER BY i)),
+  placed AS (SELECT *, {i.h("concat(row_id, ':42:', copy, ':o')")} % 2 AS o FROM left_over),
+  pairs AS (SELECT *, CASE WHEN k < o THEN k ELSE o + (k - o) // 2 * 2 END AS first FROM placed),
+  moved AS (SELECT *, CASE WHEN k >= o AND first + 1 < n AND {i.h("concat(row_id, ':42:', copy, ':s:', first)")} % 1000 < 100 THEN 2 * first + 1 - k ELSE k END AS spot FROM pairs),
+  made AS (SELECT row_id, label, copy, string_agg(w, ' ' ORDER BY spot) AS text, count(*) AS n FROM moved GROUP BY ALL)"""
+
+
+@query("augment_text", f"""WITH {AUGMENT} SELECT c.row_id, c.label, t.copy, md5(coalesce(m.text, '')) AS digest, CAST(coalesce(m.n, 0) AS BIGINT) AS n_words
+  FROM corpus c CROSS JOIN range(1, 3) t(copy) LEFT JOIN made m ON m.row_id = c.row_id AND m.copy = t.copy WHERE c.split = 'train' AND c.text IS NOT NULL""")
+def _(spark, d):
+    made = ag.augment(i.train_part(i.corpus(spark, d)), 2, 0.1, 0.1)
+    return made.select("row_id", "label", "copy", F.md5("text").alias("digest"), F.size(tx.words(F.col("text"))).cast("bigint").alias("n_words"))
+
+
+POOL = i.h("concat(row_id, ':pool')") + " % 2 = 0"
+
+
+def rows_cte(fit: str, rest: str) -> str:
+    return f"rows AS (SELECT row_id, label, text, true AS fit FROM corpus WHERE {fit} UNION ALL SELECT row_id, label, text, false FROM corpus WHERE {rest})"
+
+
+DISTIL = f"""{C},
+  teacher AS (WITH {rows_cte(f"split = 'train' AND NOT {POOL}", f"split = 'test' OR {POOL}")}, {bayes_sql()} SELECT row_id, y_true, c, s FROM jll),
+  said AS (SELECT row_id, c, exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY row_id) AS p FROM (SELECT *, max(s) OVER (PARTITION BY row_id) AS m FROM teacher)),
+  {rows_cte(f"split = 'train' AND {POOL}", "split = 'test'")}, {tfidf_sql()},
+  tc AS (SELECT w.term, s.c, sum(w.weight * s.p) AS s FROM weights w JOIN said s ON s.row_id = w.row_id WHERE w.fit GROUP BY ALL),
+  prior AS (SELECT s.c, sum(s.p) AS nc FROM said s JOIN rows r ON r.row_id = s.row_id WHERE r.fit GROUP BY s.c),
+  tot AS (SELECT c, sum(s) AS t FROM tc GROUP BY c), v AS (SELECT count(DISTINCT term) AS v FROM weights WHERE fit),
+  ll AS (SELECT x.row_id, tot.c, sum(x.weight * (ln(coalesce(tc.s, 0) + 1.0) - ln(tot.t + v))) AS l FROM weights x CROSS JOIN tot CROSS JOIN v
+         LEFT JOIN tc ON tc.term = x.term AND tc.c = tot.c WHERE NOT x.fit GROUP BY ALL),
+  student AS (SELECT r.row_id, r.label AS y_true, p.c, ln(p.nc / (SELECT sum(nc) FROM prior)) + coalesce(ll.l, 0) AS s
+              FROM rows r CROSS JOIN prior p LEFT JOIN ll ON ll.row_id = r.row_id AND ll.c = p.c WHERE NOT r.fit),
+  both_preds AS (SELECT a.row_id, a.y_true, a.t, b.s FROM (SELECT row_id, any_value(y_true) AS y_true, arg_min(c, (-s, c)) AS t FROM teacher GROUP BY row_id) a
+    JOIN (SELECT row_id, arg_min(c, (-s, c)) AS s FROM student GROUP BY row_id) b USING (row_id))"""
+
+
+@query("distil", f"""WITH {DISTIL} SELECT count(*) AS n, round(avg(CAST(y_true = t AS INT)), 6) AS teacher_acc, round(avg(CAST(y_true = s AS INT)), 6) AS student_acc,
+  round(avg(CAST(t = s AS INT)), 6) AS agreement FROM both_preds""")
+def _(spark, d):
+    train, test = lang_parts(spark, d)
+    in_pool = i.hash_number(F.col("row_id"), ":pool") % 2 == 0
+    teacher, student = tn.distil(train.where(~in_pool), train.where(in_pool))
+    return tn.agreement(teacher(test), student(test))
+
+
 # ---- tuning
 
 HEAD_STEPS = [("alpha=0.1", {"alpha": 0.1}), ("uniform prior", {"fit_prior": False})]
@@ -374,18 +428,18 @@ def _(spark, d):
     return found.select("config", F.round("val_acc", 6).alias("val_acc"), F.round("val_macro_f1", 6).alias("val_macro_f1"))
 
 
-def curve_sql(size: int) -> str:
+def curve_sql(size: int | None) -> str:
     used = f"""SELECT row_id, label, text FROM (SELECT *, row_number() OVER (PARTITION BY label
-      ORDER BY substr(md5(concat(row_id, ':42')), 1, 8), row_id) AS p FROM parts WHERE part = 'train') WHERE p <= {size}"""
+      ORDER BY substr(md5(concat(row_id, ':42')), 1, 8), row_id) AS p FROM parts WHERE part = 'train') {f"WHERE p <= {size}" if size else ""}"""
     return f"""(WITH used AS ({used}), rows AS (SELECT row_id, label, text, true AS fit FROM used UNION ALL
       SELECT row_id, label, text, false FROM parts WHERE part = 'val' UNION ALL SELECT -1 - row_id, label, text, false FROM used), {bayes_sql()},
     sides AS (SELECT CASE WHEN row_id < 0 THEN 'train' ELSE 'val' END AS model_key, row_id, y_true, y_pred FROM predictions),
     {i.METRICS_SQL.replace('FROM predictions', 'FROM sides')}
-    SELECT CAST({size} AS BIGINT) AS per_class, (SELECT round(macro_f1, 6) FROM metrics WHERE model_key = 'train') AS train_f1,
+    SELECT CAST({size or 'NULL'} AS BIGINT) AS per_class, (SELECT round(macro_f1, 6) FROM metrics WHERE model_key = 'train') AS train_f1,
       (SELECT round(macro_f1, 6) FROM metrics WHERE model_key = 'val') AS val_f1)"""
 
 
-CURVE = f"WITH {C20}, {part_sql()}, curve AS ({curve_sql(4)} UNION ALL {curve_sql(16)})"
+CURVE = f"WITH {C20}, {part_sql()}, curve AS ({curve_sql(4)} UNION ALL {curve_sql(16)} UNION ALL {curve_sql(None)})"
 
 
 @query("learning_curve", f"{CURVE} SELECT * FROM curve")
@@ -394,12 +448,12 @@ def _(spark, d):
     return tn.learning_curve(train, val, [4, 16])
 
 
-@query("bias_variance_flag", f"""{CURVE} SELECT concat('n=', per_class) AS step, train_f1, val_f1,
+@query("bias_variance_flag", f"""{CURVE} SELECT concat('n=', coalesce(CAST(per_class AS VARCHAR), 'all')) AS step, train_f1, val_f1,
   CASE WHEN train_f1 < 0.8 THEN 'bias' WHEN train_f1 - val_f1 > 0.1 THEN 'variance' ELSE 'balanced' END AS reading FROM curve""")
 def _(spark, d):
     train, val, _ = source_parts(spark, d)
     curve = tn.learning_curve(train, val, [4, 16])
-    return tn.bias_variance_flag(curve.select(F.concat(F.lit("n="), "per_class").alias("step"), "train_f1", "val_f1"))
+    return tn.bias_variance_flag(curve.select(F.concat(F.lit("n="), F.coalesce(F.col("per_class").cast("string"), F.lit("all"))).alias("step"), "train_f1", "val_f1"))
 
 
 # ---- neighbours
@@ -507,6 +561,34 @@ def _(spark, d):
         "logreg": lambda t: hd.logistic_head(t, C=3), "linear_svc": lambda t: hg.squared_hinge_head(t)})
 
 
+LINEAR_STEPS = [("min_df=2", {"min_df": 2}, None), ("C=10", None, {"C": 10.0}), ("balanced", None, {"class_weight": "balanced"})]
+
+
+@query("tune_linear")
+def _(spark, d):
+    train, val, _ = source_parts(spark, d)
+    return tn.tune_linear(train, val, LINEAR_STEPS, "linear_svc")[2]
+
+
+@query("refit_linear")
+def _(spark, d):
+    rows = i.corpus(spark, d, "source")
+    return tn.refit_linear(i.train_part(rows), i.test_part(rows), {"min_df": 2, "C": 10.0}, head="linear_svc")
+
+
+@query("tune_dense")
+def _(spark, d):
+    return tn.tune_dense(*vector_features(spark, d), [("C=3", {"C": 3.0}), ("balanced", {"class_weight": "balanced"})])[1]
+
+
+@query("best_head")
+def _(spark, d):
+    train, test = vector_features(spark, d)
+    is_val = i.hash_number(F.col("row_id"), ":val") % 5 == 0
+    parts = [stored(train.where(c), "vectors") for c in (~is_val, is_val)]
+    return tn.best_head(*parts, test, {"logreg": ("logreg", {"C": 3.0}), "linear_svc": ("linear_svc", {}), "forest": ("forest", {})})[1]
+
+
 @query("project_vectors")
 def _(spark, d):
     return hd.project_vectors(i.vectors(spark, d), 3).select("vec_id", "label", *[
