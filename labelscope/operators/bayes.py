@@ -161,7 +161,12 @@ def fit_complement_nb(
 
     ``norm`` divides each class's weights by their sum.
     """
-    classes, counts, per_term, totals = class_sums(weights, labels)
+    return complement_from_sums(*class_sums(weights, labels), alpha, norm)
+
+
+def complement_from_sums(
+    classes: list[str], counts: list[int], per_term: DataFrame, totals: list[float], alpha: float = 1.0, norm: bool = False
+) -> BayesModel:
     size, everything = per_term.count(), sum(totals)
     a = float(alpha)
     logs = F.lit([math.log(everything + a * size - t) for t in totals])
@@ -170,8 +175,9 @@ def fit_complement_nb(
     table = per_term.select("term", logged.alias("w"))
     if norm:
         table = stored(table, "complement")
-        sums = table.agg(*[F.sum(F.col("w")[i]) for i in range(len(classes))]).first()
-        table = table.select("term", F.zip_with("w", F.lit(list(sums)), lambda w, t: w / t).alias("w"))
+        long = table.select(F.posexplode("w").alias("c", "x")).groupBy("c").agg(F.sum("x").alias("t"))
+        sums = {r["c"]: r["t"] for r in long.collect()}
+        table = table.select("term", F.zip_with("w", F.lit([sums[c] for c in range(len(classes))]), lambda w, t: w / t).alias("w"))
     else:
         table = table.select("term", F.transform("w", lambda w: -w).alias("w"))
     return BayesModel(classes, [0.0] * len(classes), table)

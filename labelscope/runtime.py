@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,8 +43,29 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Paths given out so far, by application.
+_given: dict[str, list[str]] = {}
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the intermediate tables made inside when it ends; frames that read them must be used up by then."""
+    given = _given.setdefault(spark.sparkContext.applicationId, [])
+    start = len(given)
+    try:
+        yield
+    finally:
+        jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+        for name in given[start:]:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(settings).delete(path, True)
+        del given[start:]
 
 
 def written(df: DataFrame, name: str) -> str:

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 import random
 from collections import Counter
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from labelscope.operators import selection as sl
 from labelscope.operators import split as sp
-from labelscope.runtime import ranked, shared_folder, stored
+from labelscope.runtime import ranked, scratch, shared_folder, stored
 
 
 def corpus(spark, sizes):
@@ -130,3 +131,16 @@ def test_stored_table_lies_in_the_shared_folder(spark):
     table = stored(spark.range(3).withColumn("v", F.array(F.lit(1.5))), "probe")
     assert table.count() == 3
     assert shared_folder(spark).split(":")[-1] in table.inputFiles()[0]
+
+
+def test_scratch_tables_go_at_the_end(spark):
+    outside = stored(spark.range(4), "outside")
+    with scratch(spark):
+        inside = stored(spark.range(3), "inside")
+        path = inside.inputFiles()[0].split(":")[-1]
+        assert inside.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path)) and outside.count() == 4
+    with pytest.raises(ValueError), scratch(spark):
+        path = stored(spark.range(2), "failed").inputFiles()[0].split(":")[-1]
+        raise ValueError
+    assert not os.path.exists(path)
