@@ -25,7 +25,8 @@ NON_SPACE = r"(?U)[^\s\x1c-\x1f]"
 DIGIT_CLASS = (
     r"[\p{Nd}²³¹፩-፱᧚⁰⁴-⁹₀-₉"
     r"①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿"
-    r"❶-❾➀-➈➊-➒]"
+    r"❶-❾➀-➈➊-➒"
+    r"\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}\x{11052}-\x{1105A}\x{11F50}-\x{11F59}\x{16AC0}-\x{16AC9}\x{1E4F0}-\x{1E4F9}\x{1F100}-\x{1F10A}]"
 )
 WORD = "[a-z]+"
 TERM = r"[\p{L}\p{N}_]{2,}"

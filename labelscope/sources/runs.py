@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from labelscope.functions.answers import message
 from labelscope.functions.scores import generation, rounded
 from labelscope.operators.metrics import evaluate_runs
+from labelscope.runtime import stored
 
 
 def upsert_results(registry: DataFrame, new: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ def evaluate_and_save(
     spark = predictions.sparkSession
     save_predictions(predictions, predictions_path)
     keys = [r["model_key"] for r in details.select("model_key").collect()]  # one per run
-    fresh = evaluate_runs(load_predictions(spark, predictions_path, keys), details)
+    fresh = stored(evaluate_runs(load_predictions(spark, predictions_path, keys), details), "fresh-results")  # read twice
     version, registry = read_registry(spark, registry_root)
     merged = upsert_results(fresh.limit(0) if registry is None else registry, fresh)
     merged.write.parquet(f"{registry_root}/version={version + 1}")
