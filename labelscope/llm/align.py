@@ -265,7 +265,10 @@ def pair_counts(rows: DataFrame, models: Models, hashed) -> np.ndarray:
         own: perfect.PerfectHash = hashed.value
         total = np.zeros(len(own.keys) + 1, np.int64)  # the last place takes pairs of other slices
         for _, part in aligned_parts(batches, models):
-            total += np.bincount(own.verified(part.links) % len(total), minlength=len(total))
+            keys, n = np.unique(part.links, return_counts=True)  # a pair is hashed once per part
+            place = own.verified(keys)
+            total[place[place >= 0]] += n[place >= 0]
+            total[-1] += n[place < 0].sum()
         branch = TaskContext.get().partitionId() // BRANCH
         for piece, at in enumerate(range(0, len(total) - 1, PIECE)):
             counts = total[at:min(at + PIECE, len(total) - 1)]
@@ -323,7 +326,8 @@ def looked_up(rows: DataFrame, models: Models, tables) -> DataFrame:
         both = tokenizers_of(models)
         table = decimal_table(max(len(both.bytes_a), len(both.bytes_b)))
         for batch, part in aligned_parts(batches, models):
-            place = own.verified(part.links)
+            keys, again = np.unique(part.links, return_inverse=True)
+            place = own.verified(keys)[again]
             yield pa.RecordBatch.from_pydict({
                 "row": batch.column("row"), "doc_id": batch.column("doc_id"), "n_a": pa.array(np.diff(part.a_at)), "n_b": pa.array(np.diff(part.b_at)),
                 "n_groups": pa.array(tokens.summed(part.a_ends.astype(np.int64), part.a_at)), "n_links": pa.array(np.diff(part.at)),

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from labelscope.llm import minhash, tokens
+from labelscope.llm.queries import QUERIES
 
 BLANK = re.compile("[\x20\x09-\x0d]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -88,3 +89,8 @@ def test_word_splitting():
     cut = [w for t in texts for w in BLANK.split(t) if w]
     assert len(words.hash) == len(cut) == len(set(words.hash.tolist()))
     assert words.row.tolist() == [0, 0, 0, 2, 2, 4]
+
+
+def test_registered_query_against_brute_force(spark):
+    rows = [tuple(x) for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    assert sorted(map(tuple, QUERIES["op5_minhash"](spark, "/root/testdata/sf0.001").collect())) == brute(rows, 85)

@@ -4,6 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from labelscope.llm import pii
+from labelscope.llm.queries import QUERIES
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -78,3 +79,12 @@ def test_short_passwords():
     assert found("password=hunter2 Passwd: 'p@ss!word' PASSWORD = x1y2z3", "secret") == ["hunter2", "p@ss!word", "x1y2z3"]
     for text in ("password: required", "the password is hunter2", "password=ab1", "password reset link", "token=short1"):
         assert found(text, "secret") == []
+
+
+def test_registered_query_against_regex(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {x.doc_id: x.text or "" for x in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = QUERIES["op2_pii"](spark, folder).collect()
+    assert len(rows) == len(texts) and sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in rows) > 10
+    for r in rows:
+        assert r.base_sha256 == hashlib.sha256(brute(texts[r.doc_id]).encode()).hexdigest()
