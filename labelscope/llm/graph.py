@@ -187,7 +187,7 @@ def shared_counts(cell: Cell) -> Iterator[tuple[int, np.ndarray]]:
     """|left ∩ right| of a cell in blocks: (first right row, rights x lefts).
 
     Left items are sorted once; each right item is looked up and adds one to the left rows
-    that hold it. A block expands at most MATCHES hits, or those of one right row.
+    that hold it. A block expands at most MATCHES hits and counts, or those of one right row.
     """
     flat, at = cell.left()
     by = np.argsort(flat, kind="stable")
@@ -198,7 +198,8 @@ def shared_counts(cell: Cell) -> Iterator[tuple[int, np.ndarray]]:
     hits = np.concatenate([[0], np.cumsum(high - low)])
     bounds, start = hits[ends], 0
     while start < len(ends) - 1:
-        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + MATCHES, "right")) - 1)
+        stop = min(int(np.searchsorted(bounds, bounds[start] + MATCHES, "right")) - 1, start + MATCHES // max(1, cell.lefts), len(ends) - 1)
+        stop = max(start + 1, stop)
         a, b = ends[start], ends[stop]
         n = high[a:b] - low[a:b]
         left = owner[np.repeat(low[a:b] - hits[a:b], n) + np.arange(hits[a], hits[b])]

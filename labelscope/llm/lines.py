@@ -42,7 +42,7 @@ GRID = 8
 HOT = 0.01
 LAST = 2**63 - 1
 #: Postings of a fragment, about; slices of texts whose postings go out together; lines of a block.
-FRAGMENT, SLICES, BLOCK = 1 << 20, 64, 1024
+FRAGMENT, SLICES, BLOCK = 1 << 20, 64, 4096
 #: Size of the filter that picks the lines of candidate components; a fuller one lets more through.
 FILTER_BITS = 1 << 26
 
