@@ -272,3 +272,15 @@ def test_ids_of_different_sources_stay_apart(spark, tmp_path):
     assert [tuple(r) for r in split_leakage(rows).collect()] == [("same text", 1, 1)]
     shared_ids = rows.withColumn("row_id", F.get_json_object("row_id", "$.row_id"))
     assert [tuple(r) for r in split_leakage(shared_ids).collect()] == [("same text", 1, 1)]
+
+
+def test_parts_that_count_terms_follow_the_size_of_the_texts(spark):
+    # 24 MB of text that a shuffle squeezes to a fraction: merged by that size, one task would count all of it
+    rows = spark.range(240).select(
+        F.col("id").alias("row_id"), F.lit("x").alias("label"),
+        F.array_join(F.transform(F.sequence(F.lit(0), F.lit(9_999)), lambda i: F.concat(F.lit("a"), F.lpad((i % 200).cast("string"), 8, "0"))), " ").alias("text"),
+    )
+    counts = ft.term_counts(rows, ft.TfidfOptions(), ("label",))
+    parts = counts.groupBy(F.spark_partition_id()).agg(F.countDistinct("row_id").alias("n"), F.sum("tf").alias("tf")).collect()
+    assert sum(r["n"] for r in parts) == 240 and sum(r["tf"] for r in parts) == 2_400_000
+    assert max(r["n"] for r in parts) <= 100
