@@ -284,3 +284,26 @@ def test_parts_that_count_terms_follow_the_size_of_the_texts(spark):
     parts = counts.groupBy(F.spark_partition_id()).agg(F.countDistinct("row_id").alias("n"), F.sum("tf").alias("tf")).collect()
     assert sum(r["n"] for r in parts) == 240 and sum(r["tf"] for r in parts) == 2_400_000
     assert max(r["n"] for r in parts) <= 100
+
+
+def test_small_cells_travel_in_bundles(spark):
+    # 1024 cells of 60 vectors and one of 900 in three parts: a query came once for each of them
+    count, parts = np.array([60] * 1024 + [900]), np.array([1] * 1024 + [3])
+    found = nn.bundled(count, parts, np.random.default_rng(1).permutation(1025), 400)
+    held = np.bincount(found[:-1], count[:-1])
+    assert held.max() <= 400 and len(set(found[:-1])) <= 1024 * 60 / 300
+    assert not set(found[:-1]) & set(range(found[-1], found[-1] + 3))
+
+    # many cells to a bundle, queries outside of the base, and cells in parts: the same neighbours as brute force
+    rng = np.random.default_rng(2)
+    rows = np.round(rng.normal(size=(900, 6)), 3)
+    rows[400:] = rows[400] + np.round(rng.normal(size=(500, 6)), 3) / 1000
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(k, v.tolist(), "a") for k, v in enumerate(rows)], "vec_id long, v array<double>, label string")
+    got = {}
+    for r in nn.nearest(frame.where("vec_id % 3 = 0").select("vec_id", "v"), frame.where("vec_id % 3 > 0"), 4, block_rows=90).orderBy("place").collect():
+        got.setdefault(r["query_id"], []).append(r["neighbour_id"])
+    base = [k for k in range(900) if k % 3]
+    for q in range(0, 900, 3):
+        near = np.round(unit[base] @ unit[q], nn.DIGITS)
+        assert got[q] == [base[j] for j in np.lexsort((base, -near))[:4]]
