@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelscope.operators import features as ft
+from labelscope.operators.bayes import fit_multinomial_nb
 from labelscope.operators import heads as hd
 from labelscope.operators import hinge as hg
 from labelscope.operators import metrics as mt
@@ -307,3 +308,20 @@ def test_small_cells_travel_in_bundles(spark):
     for q in range(0, 900, 3):
         near = np.round(unit[base] @ unit[q], nn.DIGITS)
         assert got[q] == [base[j] for j in np.lexsort((base, -near))[:4]]
+
+
+def test_rows_meet_the_vocabulary_in_their_part(spark, monkeypatch):
+    monkeypatch.setattr(ft, "TEXT_BYTES", 200)
+    train = spark.createDataFrame([(k, f"aa w{k % 7} w{k % 5} w{k % 5}", "xy"[k % 2]) for k in range(60)], "row_id long, text string, label string")
+    test = spark.createDataFrame([(1, "w1 w2 aa w1"), (2, "unseen words"), (3, None), (None, "aa w3"), (4, "w4"), (4, "w6 w4")], "row_id long, text string")
+    model = ft.fit_tfidf(train)
+    fitted = fit_multinomial_nb(model.transform(train, ("label",)), train.select("row_id", "label"), n_terms=model.n_terms)
+    counts = stored(ft.term_counts(train, model.options, ("label",)), "terms")
+    assert counts.select("part").distinct().count() > 3
+    assert counts.groupBy("row_id").agg(F.countDistinct("part").alias("n")).where("n > 1").isEmpty()
+    found = lambda df: sorted((str(r["row_id"]), r["y_pred"], [round(x, 9) for x in r["scores"]]) for r in df.collect())
+    for rows in (train, test):
+        cut = stored(ft.term_counts(rows, model.options, ("label",) if rows is train else ()), "terms")
+        assert found(fitted.predict_counts(rows, cut, model)) == found(fitted.predict(rows, model.transform(rows)))
+    norms = model.weigh(stored(ft.term_counts(test, model.options), "terms")).groupBy("row_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n"))
+    assert sorted((str(r["row_id"]), round(r["n"], 9)) for r in norms.collect()) == [("1", 1.0), ("4", 1.0), ("None", 1.0)]
