@@ -1,15 +1,14 @@
 """Encoding to the pieces of a SentencePiece model, and decoding.
 
-Each word of a text gets a lattice: its substrings of bounded length, joined to the piece
-table, are edges grouped by word. The model in use is a BPE model, whose own rule is not the
+Each word of a text gets a lattice: its substrings that the piece table holds are edges, looked up as
+soon as the two symbols they go over are there. The model in use is a BPE model, whose own rule is not the
 path of the best score sum but the merge of the best edge over two neighbouring symbols, again
 and again, so that is how edges are folded here (see the README for the figures). Characters
 that no piece covers become byte pieces.
 
 A word is a run of spaces with what follows up to the next space or line feed; no piece goes over such
 a border, so words are independent. A text gets one space in front, as the model asks for. Words
-of any length are folded whole; those of more than SHORT code points with a heap, which takes n log n
-steps for n of them. A U+2581 that a text itself holds is
+of any length are folded whole with a heap, which takes n log n steps for n code points. A U+2581 that a text itself holds is
 encoded as bytes, so that decoding gives back every text.
 
 Words repeat: a task keeps the ids of the short words it has seen, at most KEPT of them. Nothing is
@@ -34,7 +33,7 @@ from pyspark.sql import types as T
 from labelscope.llm import tokens
 
 SPACE = "▁"
-#: Code points of a word up to which its edges are folded from a list, and its ids are kept.
+#: Code points of a word up to which its ids are kept.
 SHORT = 64
 KEPT = 400_000
 PREFIX = -1.0
@@ -76,25 +75,11 @@ def load(model_file: str) -> PieceTable:
     return PieceTable(ids, rank, byte_ids, bytes_of, max(map(len, ids), default=1))
 
 
-def edges_of(word: str, table: PieceTable) -> list[tuple[float, int, int]]:
-    """Lattice of a word: (rank, start, end) of its substrings that are pieces of two or more characters, best first."""
-    rank, n, longest, found = table.rank.get, len(word), table.longest, []
-    for start in range(n - 1):
-        for end in range(start + 2, min(n, start + longest) + 1):
-            place = rank(word[start:end])
-            if place is None:
-                break
-            if place > 0:
-                found.append((place, start, end))
-    found.sort()
-    return found
-
-
 def fold(word: str, table: PieceTable) -> list[int]:
     """Ids of a word: the best edge over two neighbouring symbols is merged until there is none."""
     n = len(word)
     ends = list(range(1, n + 1)) + [0]  # end of the symbol that starts here; 0 inside a symbol
-    (merge_list if n <= SHORT else merge_heap)(word, table, ends)
+    merge(word, table, ends)
     ids, at = [], 0
     while at < n:
         symbol = word[at:ends[at]]
@@ -107,50 +92,23 @@ def fold(word: str, table: PieceTable) -> list[int]:
     return ids
 
 
-def merge_list(word: str, table: PieceTable, ends: list[int]) -> None:
-    """Merges the symbols in ``ends``.
-
-    Edges are tried from the best down. A merge can make a better edge possible only if it
-    starts or ends with the new symbol; the search then goes back to that edge.
-    """
-    edges, k = edges_of(word, table), 0
-    while k < len(edges):
-        _, start, end = edges[k]
-        middle = ends[start]
-        if middle and middle < end and ends[middle] == end:
-            ends[start], ends[middle] = end, 0
-            for better in range(k):
-                _, a, b = edges[better]
-                if (a == start or b == end) and ends[a] and ends[a] < b and ends[ends[a]] == b:
-                    k = better
-                    break
-            else:
-                k += 1
-        else:
-            k += 1
-
-
-def merge_heap(word: str, table: PieceTable, ends: list[int]) -> None:
-    """The same merges; only edges over two present symbols are held, in a heap."""
-    n, longest, rank = len(word), table.longest, table.rank.get
+def merge(word: str, table: PieceTable, ends: list[int]) -> None:
+    """Merges the symbols in ``ends``, best edge first. An edge is looked up when both its symbols are there; a heap holds them."""
+    n, rank = len(word), table.rank.get
     heads = list(range(-1, n))  # start of the symbol that ends here, for ends of symbols
-    found = []
-
-    def add(start: int, end: int) -> None:
-        if end - start <= longest and (place := rank(word[start:end])) is not None and place > 0:
-            heapq.heappush(found, (place, start, end))
-
-    for start in range(n - 1):
-        add(start, start + 2)
+    # a piece is at most ``longest`` long, so longer substrings have no rank
+    found = [(place, start, start + 2) for start in range(n - 1) if (place := rank(word[start:start + 2], PREFIX)) > 0]
+    heapq.heapify(found)
+    pop, push = heapq.heappop, heapq.heappush
     while found:
-        _, start, end = heapq.heappop(found)
+        _, start, end = pop(found)
         middle = ends[start]
         if middle and middle < end and ends[middle] == end:
             ends[start], ends[middle], heads[end] = end, 0, start
-            if start:
-                add(heads[start], end)
-            if end < n:
-                add(start, ends[end])
+            if start and (place := rank(word[heads[start]:end], PREFIX)) > 0:
+                push(found, (place, heads[start], end))
+            if end < n and (place := rank(word[start:ends[end]], PREFIX)) > 0:
+                push(found, (place, start, ends[end]))
 
 
 def encode_text(text: str, table: PieceTable, known: dict[str, bytes]) -> bytes:

@@ -51,3 +51,19 @@ def test_operator(frame, monkeypatch):
     assert all(x.decoded == (x.text or "") for x in found)
     assert [len(x.ids) for x in found if x.doc_id in (0, 1)] == [0, 0]
     assert pieces.encode(frame([], "doc_id long, text string"), TABLE).collect() == []
+
+
+def test_only_edges_over_present_symbols_are_looked_up():
+    # every run of 2 to 15 letters is a piece: looking up all substrings takes some 300 steps
+    lengths = range(2, 16)
+    looked = []
+
+    class Ranks(dict):
+        def get(self, key, default=None):
+            looked.append(key)
+            return super().get(key, default)
+
+    names = ["a", *("a" * n for n in lengths)]
+    table = pieces.PieceTable({p: k for k, p in enumerate(names)}, Ranks({"a" * n: float(n) for n in lengths}), [0] * 256, [p.encode() for p in names], 15)
+    assert "".join(names[k] for k in pieces.fold("a" * 30, table)) == "a" * 30
+    assert len(looked) <= 90
