@@ -87,13 +87,15 @@ def meet(
     """What ``use`` makes of each group of parts of ``rows`` and of the rows of ``table`` that its keys ``on`` find.
 
     ``rows`` is stored and has (part, *on, ...), ``table`` one row per key. ``GROUPED`` parts make a group; its keys, each
-    about once, are looked up and the answers come back to the group, which is in one task. Rows travel packed. ``use``
+    about once, are looked up and the answers come back to the group, which has a task of its own (dealt by a hash,
+    several groups would share one, and the more the larger the input). Rows travel packed. ``use``
     gets the group's rows whose key was found, with ``at``, the place of the answer, and the answers.
     """
     groups = (rows.agg(F.max("part")).first()[0] or 0) // GROUPED + 1
     group = F.floor(F.col("part") / GROUPED).cast("int").alias("group")
     keys = rows.select(group, *on)
-    answers = keys.mapInArrow(asked, keys.schema).join(table, [*on])
+    # as many parts as groups on both sides: a task's keys are those of one group, on the average
+    answers = keys.mapInArrow(asked, keys.schema).repartition(groups, *on).join(table.repartition(groups, *on), [*on])
     sent = rows.select(group, "*")
     names, wanted, kinds = schema.names, to_arrow_schema(schema), to_arrow_schema(rows.schema)
 
@@ -104,7 +106,7 @@ def meet(
         found = mine.join(first, [*on], join_type="inner", use_threads=False)
         return use(found, theirs).select(names).cast(wanted)
 
-    left, right = (side.repartition(groups, "group").groupBy("group") for side in (sent.mapInArrow(pack, "group int, rows binary"), answers))
+    left, right = (side.repartitionById(groups, F.col("group")).groupBy("group") for side in (sent.mapInArrow(pack, "group int, rows binary"), answers))
     return left.cogroup(right).applyInArrow(joined, schema)
 
 

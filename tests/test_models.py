@@ -325,3 +325,20 @@ def test_rows_meet_the_vocabulary_in_their_part(spark, monkeypatch):
         assert found(fitted.predict_counts(rows, cut, model)) == found(fitted.predict(rows, model.transform(rows)))
     norms = model.weigh(stored(ft.term_counts(test, model.options), "terms")).groupBy("row_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n"))
     assert sorted((str(r["row_id"]), round(r["n"], 9)) for r in norms.collect()) == [("1", 1.0), ("4", 1.0), ("None", 1.0)]
+
+
+def test_every_group_of_parts_has_a_task_of_its_own(spark, monkeypatch):
+    from pyspark.sql import types as T
+    monkeypatch.setattr(ft, "GROUPED", 1)
+    rows = stored(spark.range(400).select(F.col("id").alias("row_id"), F.concat(F.lit("t"), F.col("id") % 7).alias("term"),
+                                          F.lit(1).cast("bigint").alias("tf"), (F.col("id") % 40).cast("int").alias("part")), "rows")
+    table = rows.select("term").distinct().withColumn("idf", F.lit(1.0))
+
+    def where(found, answers):
+        import pyarrow as pa
+        from pyspark import TaskContext
+        return pa.table({"task": [TaskContext.get().partitionId()], "n": [len(found)]})
+
+    kind = T.StructType([T.StructField("task", T.LongType()), T.StructField("n", T.LongType())])
+    found = ft.meet(rows, table, kind, where).collect()
+    assert len({r["task"] for r in found}) == len(found) == 40 and {r["n"] for r in found} == {10}
