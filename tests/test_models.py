@@ -342,3 +342,18 @@ def test_every_group_of_parts_has_a_task_of_its_own(spark, monkeypatch):
     kind = T.StructType([T.StructField("task", T.LongType()), T.StructField("n", T.LongType())])
     found = ft.meet(rows, table, kind, where).collect()
     assert len({r["task"] for r in found}) == len(found) == 40 and {r["n"] for r in found} == {10}
+
+
+@pytest.mark.parametrize("again", [[], [(0, "card card rate", "arrival"), (None, "no card", "atm"), (None, "late", "atm")]])
+def test_texts_are_cut_once(spark, monkeypatch, again):
+    rows = stored(spark.createDataFrame([*DOCS, *TEST, *again], SCHEMA), "rows")
+    learn = F.coalesce(F.col("row_id") < 100, F.lit(True))
+    wanted = ft.fit_tfidf(rows.where(learn), ngram_range=(1, 2)).transform(rows).collect()
+    cut, real = [], ft.terms
+    monkeypatch.setattr(ft, "terms", lambda options: cut.append(1) or real(options))
+    model, found = ft.fit_transform_tfidf(rows, learn, ngram_range=(1, 2))
+    key = lambda r: (str(r["row_id"]), r["term"])
+    found = sorted(found.collect(), key=key)
+    assert [key(r) for r in found] == sorted(map(key, wanted))
+    assert [r["weight"] for r in found] == pytest.approx([r["weight"] for r in sorted(wanted, key=key)])
+    assert model.n_docs == len(DOCS) + len(again) and len(cut) == (2 if again else 1)
