@@ -1,6 +1,7 @@
 """Squared hinge SVM: the optimum by an independent Newton method, sparse and dense rows, saved heads."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -105,6 +106,25 @@ def test_one_class_and_no_rows(spark):
     assert hinge.squared_hinge_head(none).classes == []
 
 
+def test_the_driver_holds_no_weights(spark, monkeypatch):
+    monkeypatch.setattr(hinge, "LINEAGE", 3, raising=False)
+    size, r = 400_000, random.Random(8)
+    data = [(k, "abcde"[k % 5], Vectors.sparse(size, sorted(r.sample(range(size), 4)) + [size - 1], [0.1, 0.2, 0.3, 0.4, 0.1 * (k % 5)]))
+            for k in range(40)]
+    features = stored(stored_features(spark, data), "wide")
+    tracemalloc.start()
+    try:
+        head = hinge.squared_hinge_head(features, tolerance=1e-2)
+        scored = {x["row_id"]: x["scores"] for x in head.predict(features).collect()}
+        assert tracemalloc.get_traced_memory()[1] < size * 5 * 8 / 2  # half of one columns x classes matrix
+    finally:
+        tracemalloc.stop()
+    weights = head.weights
+    assert weights.shape == (size + 1, 5)
+    for k, _, v in data:
+        assert np.allclose(scored[k], v.values @ weights[v.indices] + weights[-1])
+
+
 def test_spark_heads_are_saved_too(spark):
     data = stored_features(spark, rows(60, 4, list("ab"), 3, sparse=False))
     path = new_path(spark, "head")
