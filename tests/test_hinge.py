@@ -132,3 +132,33 @@ def test_spark_heads_are_saved_too(spark):
     head.save(path)
     assert heads.Head.load(path).predict(data).exceptAll(head.predict(data)).count() == 0
     assert stored(head.predict(data).drop("features"), "p").count() == 61
+
+
+def test_matrices_of_a_group_stay_where_they_are(spark):
+    data = rows(60, 9, list("abc"), 4)
+    features = stored_features(spark, data).selectExpr("row_id", "int(ascii(label) - 97) as y", "features")
+    packs, parts = hinge.groups_of(features, 9, 600, ["row_id", "y"], 5)
+    up, down, vectors = hinge.begin(packs, parts, 5, 3)
+    said = spark.sparkContext.accumulator({}, hinge.Said())
+    order = hinge.Order(np.zeros(3, bool), np.full(3, -1), np.zeros((21, 3)), np.zeros(3), np.ones(3, bool))
+    after = dict(hinge.one_pass(up, down, vectors, order, said, parts, 5, np.ones(3), np.ones(3)).collect())
+    assert said.value.keys() == after.keys()
+    # what a pass hands on has a number per row and class, and none per nonzero
+    assert all(x.size == 2 * len(v.y) * 3 for v in after.values() for x in (v.point, v.slope, v.step, v.trial_slope))
+    pull, product = (np.concatenate([after[g].trial_slope[k] for g in sorted(after)]) for k in (0, 1))
+    matrix = []
+    for g, part in sorted(down.collect()):
+        mine = np.zeros((len(part.shared.at) - 1, 10))
+        for columns, some in ((dict(up.collect())[g].shared.columns, part.shared), (part.own.columns, part.own_rows)):
+            row = np.repeat(np.arange(len(mine)), np.diff(some.at))
+            mine[row, columns[some.index]] = some.value
+        matrix.append(mine)
+    matrix = np.concatenate(matrix)
+    assert matrix.sum() == pytest.approx(sum(v.toArray().sum() + 1 for _, _, v in data))
+    assert np.allclose(product, matrix @ (matrix.T @ pull))
+
+
+def test_products_of_rows_without_numbers():
+    at, index, value = np.array([0, 0, 2, 2, 3, 3]), np.array([0, 1, 1]), np.array([2.0, 3.0, 5.0])
+    found = hinge.margins(at, index, value, np.array([[1.0, 10.0], [100.0, 1000.0]]))
+    assert found.tolist() == [[0, 0], [302, 3020], [0, 0], [500, 5000], [0, 0]]
