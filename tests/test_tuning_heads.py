@@ -92,3 +92,22 @@ def test_the_winner_is_fitted_again(spark):
     assert found.where("y_true = y_pred").count() > 54
     best, protocol = tuning.tune_dense(train, val, [("C=9", {"C": 9.0})])
     assert protocol.count() == 2 and set(best) <= {"C"}
+
+
+@pytest.mark.parametrize("extra", [[], [(5, "ax1 ax2 zz", "b"), (None, "bx1", "a"), (None, "cx2", "a"), (5, "ax1", None)]])
+def test_vectors_are_made_where_the_counts_lie(spark, monkeypatch, extra):
+    rows = [*topics(60, list("abc")), (900, "", "a"), (901, None, "b"), *extra]
+    train, other = (stored(spark.createDataFrame(part, SCHEMA), "part") for part in (rows, [(1, "ax1 ax1 new", "a"), (2, "new", "b")]))
+    for options in (features.TfidfOptions(min_df=2), features.TfidfOptions(sublinear_tf=True, ngram_range=(1, 2))):
+        model = features.fit_tfidf(train, min_df=options.min_df, sublinear_tf=options.sublinear_tf, ngram_range=options.ngram_range)
+        wanted = [features.sparse_features(model.transform(part, ("label",)), model, ("label",)) for part in (train, other)]
+        cut, calls, real = {}, [], features.term_counts
+        monkeypatch.setattr(features, "term_counts", lambda *a: calls.append(a) or real(*a))
+        for _ in range(2):  # texts are cut once
+            found = features.text_vectors(train, [other], options, ("label",), cut)[1]
+        assert len(calls) == 2
+        monkeypatch.setattr(features, "term_counts", real)
+        for mine, theirs in zip(found, wanted):
+            a, b = (sorted(((r["row_id"], r["label"], r["features"]) for r in x.collect()), key=lambda r: repr(r[:2])) for x in (mine, theirs))
+            assert [r[:2] for r in a] == [r[:2] for r in b]
+            assert all(x.size == y.size and x.indices.tolist() == y.indices.tolist() and np.allclose(x.values, y.values) for (_, _, x), (_, _, y) in zip(a, b))
